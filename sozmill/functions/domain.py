@@ -17,21 +17,31 @@ from .rules import (
     WORD,
     caseless,
     caseless_any,
+    fixed_part,
+    literal,
     whole,
 )
 from .text import squeeze_spaces
 
 
+def _mentions(lowered: Column, words) -> Column:
+    """One of ``words`` stands in the text; a plain search goes first."""
+    found = F.lit(False)
+    for part in sorted({fixed_part(word) for word in words}):
+        found = found | lowered.contains(part)
+    return found & lowered.rlike(whole(caseless_any(words)))
+
+
 def detect_domain(text: Column) -> Column:
     """``news``, ``social``, ``reviews`` or ``general``, the first that fits."""
     lowered = F.lower(text)
     social = lowered.contains("@") | lowered.contains("#")
     for word in SOCIAL_WORDS:
-        social = social | lowered.rlike(whole(word))
+        social = social | lowered.rlike(whole(literal(word)))
     return (
-        F.when(lowered.rlike(whole(caseless_any(NEWS_HINTS))), "news")
+        F.when(_mentions(lowered, NEWS_HINTS), "news")
         .when(social, "social")
-        .when(lowered.rlike(whole(caseless_any(REVIEW_HINTS))), "reviews")
+        .when(_mentions(lowered, REVIEW_HINTS), "reviews")
         .otherwise("general")
     )
 

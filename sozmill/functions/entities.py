@@ -76,17 +76,28 @@ def _numeric(reference: Column) -> Column:
     )
 
 
-def _piece(piece: Column) -> Column:
-    """What the text after one ``&`` becomes, ``&`` included if it stays."""
-    reference = F.regexp_extract(piece, _REFERENCE, 1)
+def _read_piece(piece: Column) -> Column:
+    """The text after one ``&`` with the reference it may start with."""
+    return F.struct(
+        piece.alias("piece"), F.regexp_extract(piece, _REFERENCE, 1).alias("reference")
+    )
+
+
+def _look_up(read: Column) -> Column:
+    reference = read["reference"]
+    value = F.when(reference.startswith("#"), _numeric(reference)).otherwise(_named(reference))
+    return F.struct(read["piece"].alias("piece"), reference.alias("reference"), value.alias("value"))
+
+
+def _write_piece(found: Column) -> Column:
+    piece, reference = found["piece"], found["reference"]
     bare = F.regexp_extract(reference, _bare_names_pattern(), 1)
 
     def then_rest(value, used):
         return F.concat(value, F.substr(piece, F.length(used) + 1))
 
     return F.coalesce(
-        F.when(reference.startswith("#"), then_rest(_numeric(reference), reference)),
-        then_rest(_named(reference), reference),
+        then_rest(found["value"], reference),
         then_rest(_named(bare), bare),
         F.concat(F.lit("&"), piece),
     )
@@ -96,4 +107,6 @@ def unescape_html(text: Column) -> Column:
     """Replace every character reference once, as HTML5 readers do."""
     pieces = F.split(text, "&", -1)
     tail = F.slice(pieces, 2, F.size(pieces))
-    return F.concat(F.element_at(pieces, 1), F.array_join(F.transform(tail, _piece), ""))
+    # One transform for each step, so that no step is evaluated twice.
+    tail = F.transform(F.transform(F.transform(tail, _read_piece), _look_up), _write_piece)
+    return F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))

@@ -12,21 +12,25 @@ from pyspark.sql import Column, functions as F
 from .entities import unescape_html
 from .rules import (
     ASCII_CAPITAL_I,
+    CODED_LETTERS,
+    CODED_TAGS,
     DIGIT,
-    LOWER_LETTERS,
+    LETTER_CODES,
     NEGATION_SUFFIX,
     OBSERVED,
     REVIEW_TAGS,
     SPACE,
+    SUFFIX_CODE,
     TAG_CHARS,
     TAG_CLASS,
+    TAG_CODES,
     TAG_SWEPT,
     TOKEN_LETTERS,
     TOKEN_TAGS,
     WORD,
     RulePack,
     any_of,
-    literal,
+    coded,
 )
 
 __all__ = [
@@ -83,7 +87,8 @@ _LIGATURES = (
 )
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + chr(0x3000)
 _NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
-_CONTROL = r"[\x00-\x08\x0E-\x1F\x7F\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFC}]"
+_ASCII_CONTROL = "".join(rf"\x{c:02X}" for c in (*range(9), *range(14, 32), 127))
+_CONTROL = rf"[{_ASCII_CONTROL}\x{{206A}}-\x{{206F}}\x{{FEFF}}\x{{FFF9}}-\x{{FFFC}}]"
 
 
 def nfc(text: Column) -> Column:
@@ -100,12 +105,18 @@ def nfc(text: Column) -> Column:
     )
 
 
-def needs_repair() -> str:
-    """Pattern for a row that ``repair_characters`` could change."""
+def needs_repair(text: Column) -> Column:
+    """False only where the emoji and encoding rules change nothing.
+
+    Coarse on purpose: each test is one range or one bit set.
+    """
     leads = "".join(sorted({wrong[0] for wrong, _ in _mojibake_pairs()}))
-    seconds = literal("".join(sorted({wrong[1] for wrong, _ in _mojibake_pairs()})))
-    ligatures = "".join(ligature for ligature, _ in _LIGATURES)
-    return f"[{leads}][{seconds}]|[{ligatures}{literal(_WIDE)}]|{_CONTROL}"
+    return (
+        text.rlike(r"[\x{E000}-\x{1FFFF}]")
+        | text.rlike(rf"[{leads}][^\x00-\x7F]")
+        | text.rlike(f"[{_ASCII_CONTROL}]")
+        | text.rlike(r"[\x{206A}-\x{206F}]")
+    )
 
 
 def repair_characters(text: Column) -> Column:
@@ -135,6 +146,13 @@ def tag_emails(text: Column, tag: str = "<EMAIL>") -> Column:
     return F.regexp_replace(text, _EMAIL, f" {tag} ")
 
 
+def may_have_phone(text: Column) -> Column:
+    """Coarse test: seven characters in a row that a phone number could have."""
+    space = r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F\x20\x85\xA0"
+    run = rf"[0123456789{space}\-()\x{{300}}-\x{{10FFFF}}]"
+    return text.rlike(rf"{run}{{6}}[\p{{Nd}}]|{run}{{7}}")
+
+
 def tag_phones(text: Column, tag: str = "<PHONE>") -> Column:
     return F.regexp_replace(text, _PHONE, f" {tag} ")
 
@@ -214,21 +232,22 @@ def fix_spelling(token: Column, rules: RulePack = OBSERVED) -> Column:
     return F.coalesce(F.try_element_at(_map_literal(rules.spelling), token), token)
 
 
-def _mark_scope(spaced: Column, rules: RulePack, tag: str, not_tag: str) -> Column:
+def _mark_scope(spaced: Column, negators, scope: int, tag: str, word: str, suffix: str) -> Column:
     """Suffix the tokens in the scope of a negator, one pass for each place.
 
     Pass k reads a negator, the k words already suffixed after it and any tags
-    in between, and suffixes the next word unless that is a negator.
+    in between, and suffixes the next word unless that is a negator. ``tag``
+    matches one tag and ``word`` one character of a word.
     """
-    negator = any_of(rules.negators)
+    negator = any_of(negators)
     tags = rf"(?: +{tag})*+"
-    done = rf"(?: +{not_tag}+{NEGATION_SUFFIX}(?= ){tags})"
-    for place in range(rules.negation_scope):
+    done = rf"(?: +{word}+{suffix}(?= ){tags})"
+    for place in range(scope):
         pattern = (
             rf"( (?:{negator})(?= ){tags}{done}{{{place}}}) +"
-            rf"(?!(?:{negator}) )({not_tag}+)(?= )"
+            rf"(?!(?:{negator}) )({word}+)(?= )"
         )
-        spaced = F.regexp_replace(spaced, pattern, f"$1 $2{NEGATION_SUFFIX}")
+        spaced = F.regexp_replace(spaced, pattern, f"$1 $2{suffix}")
     return spaced
 
 
@@ -240,7 +259,11 @@ def mark_negation(text: Column, rules: RulePack = OBSERVED) -> Column:
     if not (rules.negation and rules.negators):
         return text
     spaced = F.concat(F.lit(" "), text, F.lit(" "))
-    return F.trim(_mark_scope(spaced, rules, r"<[^ ]*", r"[^ <]"))
+    return F.trim(
+        _mark_scope(
+            spaced, rules.negators, rules.negation_scope, "<[^ ]*", "[^ <]", NEGATION_SUFFIX
+        )
+    )
 
 
 def drop_short_tokens(tokens: Column, rules: RulePack = OBSERVED) -> Column:
@@ -279,56 +302,74 @@ def whitespace_tokens(text: Column) -> Column:
 
 
 # --- The chain on one string -------------------------------------------------
-# From here on the tokens are kept in one string, two spaces apart, with one
-# private-use character for each tag: string passes are far cheaper than
-# arrays of tokens.
+# From here on the tokens are kept in one string with a space around each,
+# letters and tags coded as said in the rules module: string passes are far
+# cheaper than arrays of tokens.
 
 def sweep_tag_chars(text: Column) -> Column:
     return F.regexp_replace(text, f"[{TAG_CLASS}{ASCII_CAPITAL_I}]", TAG_SWEPT)
 
 
 def to_spaced_tokens(lowered: Column, rules: RulePack) -> Column:
-    """Lowercased text to spaced tokens, spelling repaired."""
-    number = TAG_CHARS["<NUM>"]
+    """Lowercased text to spaced coded tokens, spelling repaired."""
     if rules.numbers_to_token:
-        lowered = F.regexp_replace(lowered, f"{DIGIT}+", f" {number} ")
-    spaced = F.regexp_replace(lowered, f"[^{LOWER_LETTERS}{TAG_CLASS}]+", "  ")
-    spaced = F.regexp_replace(spaced, f"([{LOWER_LETTERS}])\\1{{2,}}", "$1$1")
+        lowered = F.regexp_replace(lowered, f"{DIGIT}+", f" {TAG_CODES['<NUM>']} ")
+    if rules.intended:
+        for tag, char in TAG_CHARS.items():
+            lowered = F.replace(lowered, F.lit(char), F.lit(TAG_CODES[tag]))
+    for letter, code in LETTER_CODES.items():
+        lowered = F.replace(lowered, F.lit(letter), F.lit(code))
+    spaced = F.regexp_replace(lowered, f"[^{CODED_LETTERS}{CODED_TAGS}]+", " ")
+    spaced = F.regexp_replace(spaced, r"([^ ])\1\1+", "$1$1")
     return respell(F.concat(F.lit(" "), spaced, F.lit(" ")), rules)
 
 
 def respell(spaced: Column, rules: RulePack) -> Column:
-    chained = set(rules.spelling) & set(rules.spelling.values())
-    if len(rules.spelling) > 16 or chained:
-        words = F.transform(F.split(spaced, " +", -1), lambda t: fix_spelling(t, rules))
-        return F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
-    for word, repaired in rules.spelling.items():
-        spaced = F.replace(spaced, F.lit(f" {word} "), F.lit(f" {repaired} "))
+    if not rules.spelling:
+        return spaced
+    table = {coded(word): coded(repaired) for word, repaired in rules.spelling.items()}
+    if len(table) > 16 or set(table) & set(table.values()):
+        words = F.transform(
+            F.split(F.trim(spaced), " +", -1),
+            lambda t: F.coalesce(F.try_element_at(_map_literal(table), t), t),
+        )
+        return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    for word, repaired in table.items():
+        # Neighbours share a space, so one pass can miss every second one.
+        for _ in range(2):
+            spaced = F.replace(spaced, F.lit(f" {word} "), F.lit(f" {repaired} "))
     return spaced
 
 
+def _coded_negators(rules: RulePack) -> list[str]:
+    return [coded(word) for word in rules.negators]
+
+
 def has_negator(spaced: Column, rules: RulePack) -> Column:
-    return spaced.rlike(f" (?:{any_of(rules.negators)}) ")
+    return spaced.rlike(f" (?:{any_of(_coded_negators(rules))}) ")
 
 
 def negate_spaced(spaced: Column, rules: RulePack) -> Column:
-    return _mark_scope(spaced, rules, f"[{TAG_CLASS}]", f"[^ {TAG_CLASS}]")
+    return _mark_scope(
+        spaced,
+        _coded_negators(rules),
+        rules.negation_scope,
+        f"[{CODED_TAGS}]",
+        f"[{CODED_LETTERS}]",
+        SUFFIX_CODE,
+    )
 
 
 def finish_spaced(spaced: Column, rules: RulePack) -> Column:
-    """Drop short tokens, write the tags out, single-space the rest."""
-    dropped = "".join(c for c in LOWER_LETTERS if c not in rules.kept_short_tokens)
-    out = F.regexp_replace(spaced, f"(?<= )[{dropped}](?= )", "")
-    out = F.trim(F.regexp_replace(out, " {2,}", " "))
-    for tag in active_tags(rules):
-        out = F.replace(out, F.lit(TAG_CHARS[tag]), F.lit(tag))
-    return out
-
-
-def active_tags(rules: RulePack) -> tuple:
-    if rules.intended:
-        return TOKEN_TAGS + REVIEW_TAGS
-    return ("<NUM>",) if rules.numbers_to_token else ()
+    """Drop short tokens and write the codes out."""
+    kept = {coded(token) for token in rules.kept_short_tokens}
+    dropped = "".join(c for c in CODED_LETTERS if c not in kept)
+    out = F.trim(F.regexp_replace(spaced, f" [{dropped}](?= )", ""))
+    for letter, code in LETTER_CODES.items():
+        out = F.replace(out, F.lit(code), F.lit(letter))
+    for tag in TAG_CODES if rules.intended else ["<NUM>"]:
+        out = F.replace(out, F.lit(TAG_CODES[tag]), F.lit(tag))
+    return F.replace(out, F.lit(SUFFIX_CODE), F.lit(NEGATION_SUFFIX))
 
 
 def normalize(text: Column, rules: RulePack = OBSERVED) -> Column:

@@ -17,9 +17,10 @@ from ..functions.rules import (
     OBSERVED,
     POSITIVE_RATING,
     TAG_CHARS,
-    TAG_CLASS,
+    TAG_CODES,
     RulePack,
     any_of,
+    coded,
 )
 
 _WORK = "__sozmill_text"
@@ -37,12 +38,17 @@ def _set(df: DataFrame, rule) -> DataFrame:
 
 def _decode(df: DataFrame, rules: RulePack) -> DataFrame:
     """Emoji, encoding repair, NFC."""
-    odd = f"[{TAG_CLASS}]|{any_of(rules.emoji_positive + rules.emoji_negative)}|"
+    emoji = rules.emoji_positive + rules.emoji_negative
+    other = [e for e in emoji if not any(0xE000 <= ord(c) <= 0x1FFFF for c in e)]
+
+    def test(text: Column) -> Column:
+        found = X.needs_repair(text)
+        return found | text.rlike(any_of(other)) if other else found
 
     def rule(text: Column) -> Column:
         return X.repair_characters(X.map_emoji(X.sweep_tag_chars(text), rules))
 
-    df = _apply(df, lambda t: t.rlike(odd + X.needs_repair()), rule)
+    df = _apply(df, test, rule)
     return _set(df, X.nfc)
 
 
@@ -63,7 +69,7 @@ def _web_items(df: DataFrame, tag) -> DataFrame:
 
 def _people_items(df: DataFrame, tag, rules: RulePack) -> DataFrame:
     """Phone numbers, mentions, hashtags."""
-    df = _set(df, lambda t: X.tag_phones(t, tag("<PHONE>")))
+    df = _apply(df, X.may_have_phone, lambda t: X.tag_phones(t, tag("<PHONE>")))
     df = _apply(df, lambda t: t.contains("@"), lambda t: X.tag_mentions(t, tag("<USER>")))
     return _apply(df, lambda t: t.contains("#"), lambda t: X.open_hashtags(t, rules))
 
@@ -93,7 +99,9 @@ def _observed(df: DataFrame, raw: Column, domain: Column | None, rules: RulePack
     if domain is not None:
         # After the steps above only the two rating phrases can be left.
         df = _apply(
-            df, lambda t: domain == "reviews", lambda t: X.squeeze_spaces(D.tag_ratings(t))
+            df,
+            lambda t: domain == "reviews",
+            lambda t: F.trim(F.regexp_replace(D.tag_ratings(t), " {2,}", " ")),
         )
     return df
 
@@ -115,7 +123,7 @@ def protect_items(df: DataFrame, text: str, rules: RulePack) -> DataFrame:
     """
     df = df.withColumn(_WORK, F.coalesce(F.col(text), F.lit("")))
     df = _markup(_set(df, X.sweep_tag_chars))
-    df = _apply(df, lambda t: t.rlike(X.needs_repair()), X.repair_characters)
+    df = _apply(df, X.needs_repair, X.repair_characters)
     df = _set(df, lambda t: _chars_for_emoji(X.nfc(t), rules))
     return _web_items(df, _char)
 
@@ -134,7 +142,7 @@ def _intended_rest(df: DataFrame, domain: Column | None, rules: RulePack) -> Dat
     def ratings(spaced: Column) -> Column:
         for phrase, tag in ((POSITIVE_RATING, "<RATING_POS>"), (NEGATIVE_RATING, "<RATING_NEG>")):
             words = " +".join(phrase.split())
-            spaced = F.regexp_replace(spaced, f"(?<= ){words}(?= )", _char(tag))
+            spaced = F.regexp_replace(spaced, f"(?<= ){coded(words)}(?= )", TAG_CODES[tag])
         return spaced
 
     df = _apply(df, lambda t: review, amounts)
