@@ -72,31 +72,50 @@ def read_table(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
         raise
 
 
-def with_row_order(df: DataFrame, name: str = "row_ord") -> DataFrame:
+# Offsets are one small row for each file or split; more than this many are
+# joined by a shuffle instead of a broadcast.
+MAX_BROADCAST_OFFSETS = 500_000
+
+
+def with_row_order(df: DataFrame, name: str = "row_ord", fmt: str = "parquet") -> DataFrame:
     """Number the rows of a file-backed table in file order.
 
-    Rows are counted for each file split first. That small table gives each
-    split its offset, and rows are numbered inside their split as they are
-    read, so no sort and no shuffle of the rows is needed. The work on one task
-    grows with the number of splits only.
+    Parquet knows the place of a row in its file; other formats are numbered
+    inside each split as they are read. Rows are counted for each file or
+    split, and that small table gives the offsets, so there is no sort and no
+    shuffle of the rows.
     """
+    if fmt == "parquet":
+        files = len(df.inputFiles())
+        if files == 1:
+            return df.select("*", F.col("_metadata.row_index").alias(name))
+        keys, place = ["__file"], F.col("_metadata.row_index")
+    else:
+        files = None
+        keys, place = ["__file", "__block"], F.monotonically_increasing_id()
     placed = df.select(
         "*",
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__id"),
+        place.alias("__place"),
     )
-    splits = placed.groupBy("__file", "__block").agg(
-        F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows")
+    counts = placed.groupBy(*keys).agg(
+        F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__rows")
     )
-    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn(
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn(
         "__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0).cast("long"))
     ).drop("__rows")
-    numbered = placed.join(offsets, ["__file", "__block"])
+    if files is None:
+        # The number of splits is only known once they have been counted.
+        offsets = offsets.cache()
+        files = offsets.count()
+    if files <= MAX_BROADCAST_OFFSETS:
+        offsets = F.broadcast(offsets)
+    numbered = placed.join(offsets, keys)
     return numbered.withColumn(
-        name, F.col("__offset") + F.col("__id") - F.col("__first")
-    ).drop("__file", "__block", "__id", "__first", "__offset")
+        name, F.col("__offset") + F.col("__place") - F.col("__first")
+    ).drop("__file", "__block", "__place", "__first", "__offset")
 
 
 def missing_columns(df: DataFrame, spec: SourceSpec) -> list[str]:
@@ -115,7 +134,7 @@ def canonical(df: DataFrame, spec: SourceSpec, source_ord: int = 0) -> DataFrame
     """Project a raw table to the canonical columns; only these are read."""
     df = df.drop(*JUNK_COLUMNS)
     if spec.order_col is None:
-        df = with_row_order(df, "__row_ord")
+        df = with_row_order(df, "__row_ord", spec.fmt)
         order = F.col("__row_ord")
     else:
         order = F.col(f"`{spec.order_col}`")
