@@ -531,10 +531,10 @@ def oracle_sql() -> dict[str, str]:
           GROUP BY word, i) GROUP BY word),
       m AS ({means('(' + pair_cosines() + ')')}),
       n AS ({means('(' + pair_cosines('composed') + ')')}),
-      cov AS (SELECT label::VARCHAR AS source, count(*)::DOUBLE AS n,
+      cov AS (SELECT e.label::VARCHAR AS source, count(*)::DOUBLE AS n,
                 count(x.word) / count(*)::DOUBLE AS c
               FROM embeddings e LEFT JOIN vectors x
-                ON x.word = 'w' || (e.vec_id + 1) GROUP BY label)
+                ON x.word = 'w' || (e.vec_id + 1) GROUP BY e.label)
       SELECT NULL::VARCHAR AS source, 'syn_mean' AS metric, round(m.syn, 6) AS plain,
              round(n.syn, 6) AS subword FROM m, n
       UNION ALL SELECT NULL, 'ant_mean', round(m.ant, 6), round(n.ant, 6) FROM m, n

@@ -81,7 +81,7 @@ def nearest_neighbours(
     table = vectors.select("word", "vector", norm(F.col("vector")).alias("__norm"))
     groups = -(-seeds.count() // SEEDS_AT_ONCE)
     if groups <= 1:
-        scored = _scores(table, wanted.agg(_packed()).scalar())
+        scored = _scores(table.withColumn("__seeds", wanted.agg(_packed()).scalar()))
     else:
         group = F.pmod(F.xxhash64("word"), F.lit(groups)).alias("__group")
         salts = F.explode(F.sequence(F.lit(0), F.lit(SEED_SALTS - 1))).alias("__salt")
@@ -91,7 +91,7 @@ def nearest_neighbours(
             F.pmod(F.hash("word"), F.lit(SEED_SALTS)).alias("__salt"),
             F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long").alias("__group"),
         )
-        scored = _scores(spread.join(arrays, ["__group", "__salt"]), F.col("__seeds"))
+        scored = _scores(spread.join(arrays, ["__group", "__salt"]))
     # Spark keeps only the k best of each task before this window's shuffle.
     best = Window.partitionBy("seed").orderBy(F.desc("cosine"), "word")
     return (
@@ -112,13 +112,13 @@ def _packed() -> Column:
     )
 
 
-def _scores(table: DataFrame, packed: Column) -> DataFrame:
+def _scores(table: DataFrame) -> DataFrame:
     def score(s: Column) -> Column:
         product = dot(F.col("vector"), s["vector"])
         value = cosine_from(product, F.col("__norm"), s["norm"])
         return F.struct(s["seed"].alias("seed"), value.alias("cosine"))
 
-    exploded = table.select("word", F.explode(F.transform(packed, score)).alias("s"))
+    exploded = table.select("word", F.explode(F.transform("__seeds", score)).alias("s"))
     return exploded.select(F.col("s.seed").alias("seed"), "word", F.col("s.cosine").alias("cosine"))
 
 

@@ -15,12 +15,13 @@ def ngrams(word: Column, min_n: int = 3, max_n: int = 6) -> Column:
     if not 1 <= min_n <= max_n:
         raise ValueError("need 1 <= min_n <= max_n")
     framed = F.concat(F.lit("<"), word, F.lit(">"))
-    parts = []
-    for n in range(min_n, max_n + 1):
+
+    def of_length(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.length(framed) - (n - 1))
-        grams = F.transform(starts, lambda i, n=n: F.substr(framed, i, F.lit(n)))
-        parts.append(F.when(F.length(framed) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(*parts))
+        grams = F.transform(starts, lambda i: F.substr(framed, i, F.lit(n)))
+        return F.when(F.length(framed) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*[of_length(n) for n in range(min_n, max_n + 1)]))
 
 
 def explode_ngrams(words: DataFrame, min_n: int = 3, max_n: int = 6) -> DataFrame:
