@@ -411,11 +411,12 @@ def oracle_sql() -> dict[str, str]:
         SELECT {collapsed('t')} AS token FROM (
           SELECT unnest(regexp_extract_all({lowered('text')}, '[{LETTERS}]+')) AS t FROM docs))
       GROUP BY token"""
-    sql["deasciify_changes"] = f"""WITH {DOCS} SELECT source, domain, count(*) AS tokens,
-        count(*) FILTER (WHERE {spelled('token')} <> token) AS changed FROM (
-        SELECT source, domain, {collapsed('t')} AS token FROM (
-          SELECT source, {domain('text')} AS domain,
-                 unnest(regexp_extract_all({lowered('text')}, '[{LETTERS}]+')) AS t FROM docs))
+    sql["deasciify_changes"] = f"""WITH {DOCS},
+        tagged AS (SELECT doc_id, source, {domain('text')} AS domain FROM docs),
+        {cleaned('docs', 'doc_id')}
+      SELECT source, domain, count(*) AS tokens,
+        count(*) FILTER (WHERE {spelled('token')} <> token) AS changed
+      FROM (SELECT doc_id, {collapsed('token')} AS token FROM c7) JOIN tagged USING (doc_id)
       GROUP BY source, domain"""
     words = f"""WITH {DOCS},
       l AS (SELECT doc_id, regexp_extract_all({lowered('text')}, '[{LETTERS}]+') AS l FROM docs),

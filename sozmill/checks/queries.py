@@ -15,6 +15,7 @@ from ..operators.training import train_word2vec
 from ..plans import evaluate as E, tune as U
 from ..plans.clean import clean_rows, row_counts
 from ..plans.corpus import corpus_lines, of_domain
+from ..sources.tables import materialize, spread
 from .snippets import SNIPPETS
 
 TRI_LABELS = ("pos", "neu", "neg", "müsbət", "2", "junk")
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose texts are worked on without a shuffle before."""
+    return spread(table(spark, sf, name))
+
+
 def pick(values, index: Column) -> Column:
     """The element of a literal list at ``index`` modulo its length."""
     literal = F.array(*[F.lit(v) for v in values])
@@ -37,7 +43,8 @@ def with_snippet(text: Column, length: Column) -> Column:
 
 def docs(spark, sf) -> DataFrame:
     text = with_snippet(F.col("text"), F.col("n_chars"))
-    return table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", text.alias("text"))
+    return texts(spark, sf, "documents").select(
+        "doc_id", "lang", "source", "n_chars", text.alias("text"))
 
 
 def doc_rule(rule) -> Callable:
@@ -55,10 +62,10 @@ def _rows(df, name, order, source_ord, text, has_label, value):
     )
 
 
-def rows_all(spark, sf) -> DataFrame:
+def rows_all(spark, sf, read=table) -> DataFrame:
     """Three labelled sources in canonical form."""
-    documents = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    talk = table(spark, sf, "conversations")
+    documents = read(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    talk = read(spark, sf, "conversations")
     bench = table(spark, sf, "benchmark")
     text, quality = F.col("text"), F.col("quality")
 
@@ -127,13 +134,13 @@ def head_n_sentences(spark, sf):
 
 def html_unescape(spark, sf):
     html = with_snippet(F.col("html"), F.length("html"))
-    return table(spark, sf, "pages").select("page_id", X.unescape_html(html).alias("t"))
+    return texts(spark, sf, "pages").select("page_id", X.unescape_html(html).alias("t"))
 
 
 def html_url_email_tags(spark, sf):
     text = F.concat_ws(" ", "html", "url", pick(SNIPPETS, F.length("html")))
     tagged = X.tag_emails(X.tag_urls(X.strip_tags(text)))
-    return table(spark, sf, "pages").select("page_id", tagged.alias("t"))
+    return texts(spark, sf, "pages").select("page_id", tagged.alias("t"))
 
 
 def phone_number_tags(spark, sf):
@@ -238,11 +245,11 @@ def rows_by_source(spark, sf):
 
 
 def corpus(spark, sf):
-    return corpus_lines(rows_all(spark, sf)).select("source", "row_ord", "domain", "value")
+    return corpus_lines(rows_all(spark, sf, texts)).select("source", "row_ord", "domain", "value")
 
 
 def corpus_domain_filter(spark, sf):
-    return of_domain(corpus_lines(rows_all(spark, sf)), "reviews").select("source", "row_ord", "value")
+    return of_domain(corpus_lines(rows_all(spark, sf, texts)), "reviews").select("source", "row_ord", "value")
 
 
 # --- tokens, vocabularies, coverage -------------------------------------------
@@ -276,7 +283,7 @@ def stopword_candidates(spark, sf):
 
 def subsample_tokens(spark, sf):
     draw = (F.col("doc_id") * 7919 + F.col("pos") * 104729) % 1000003 / F.lit(1000003.0)
-    cleaned = clean_docs(spark, sf)
+    cleaned = materialize(clean_docs(spark, sf).select("doc_id", "cleaned_text"))
     kept = K.subsample_tokens(cleaned, K.token_counts(cleaned, ()), 0.001, draw=draw)
     return kept.groupBy("token").agg(
         F.count(F.lit(1)).alias("kept"), F.sum(F.col("doc_id") * 31 + F.col("pos")).alias("mark"))
@@ -397,13 +404,14 @@ TOY = dict(vector_size=16, window=3, min_count=5, epochs=1, seed=42, sample=None
 
 
 def word2vec_vectors(spark, sf):
-    vectors = train_word2vec(clean_docs(spark, sf), TOY, num_partitions=8)
+    cleaned = materialize(clean_docs(spark, sf).select("cleaned_text"))
+    vectors = train_word2vec(cleaned, TOY, num_partitions=8)
     return vectors.select("word", F.size("vector").alias("size"), "cnt")
 
 
 def param_sweep(spark, sf):
     """Two trials over all documents; pairs are the commonest words."""
-    cleaned = clean_docs(spark, sf).select(
+    cleaned = materialize(clean_docs(spark, sf)).select(
         F.lit(0).alias("source_ord"), F.col("doc_id").alias("row_ord"), "source", "cleaned_text")
     common = K.vocabulary(K.token_counts(cleaned, ()), 5).orderBy(F.desc("cnt"), "word").limit(8)
     words = [r.word for r in common.select("word").collect()]

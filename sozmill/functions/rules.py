@@ -49,10 +49,7 @@ STOPWORD_CANDIDATES = (
 # out instead of using \w, \s and (?U) so that they mean the same in every
 # engine and every Java release.
 WORD = r"\p{L}\p{N}_"
-SPACE = (
-    r"\t-\r\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+SPACE = r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F\x85\p{Z}"
 DIGIT = r"\p{Nd}"
 
 # While a text is one string, a private-use character stands for each tag; the

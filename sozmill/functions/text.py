@@ -105,35 +105,54 @@ def nfc(text: Column) -> Column:
     )
 
 
-def needs_repair(text: Column) -> Column:
+def has_wide(text: Column) -> Column:
+    return text.rlike(r"[\x{FF01}-\x{FF5E}]")
+
+
+def may_need_repair(text: Column) -> Column:
     """False only where the emoji and encoding rules change nothing.
 
-    Coarse on purpose: each test is one range or one bit set.
+    One pass over one character class; coarse, so that the class stays simple.
     """
     leads = "".join(sorted({wrong[0] for wrong, _ in _mojibake_pairs()}))
-    return (
-        text.rlike(r"[\x{E000}-\x{1FFFF}]")
-        | text.rlike(rf"[{leads}][^\x00-\x7F]")
-        | text.rlike(f"[{_ASCII_CONTROL}]")
-        | text.rlike(r"[\x{206A}-\x{206F}]")
-    )
+    return text.rlike(rf"[{leads}{_ASCII_CONTROL}\x{{206A}}-\x{{206F}}\x{{E000}}-\x{{1FFFF}}]")
 
 
-def repair_characters(text: Column) -> Column:
-    for wrong, letter in _mojibake_pairs():
-        text = F.replace(text, F.lit(wrong), F.lit(letter))
+def narrow(text: Column) -> Column:
+    return F.translate(text, _WIDE, _NARROW)
+
+
+def split_ligatures(text: Column) -> Column:
     for ligature, letters in _LIGATURES:
         text = F.replace(text, F.lit(ligature), F.lit(letters))
-    return F.regexp_replace(F.translate(text, _WIDE, _NARROW), _CONTROL, "")
+    return text
+
+
+def repair_mojibake(text: Column) -> Column:
+    for wrong, letter in _mojibake_pairs():
+        text = F.replace(text, F.lit(wrong), F.lit(letter))
+    return text
+
+
+def drop_control(text: Column) -> Column:
+    return F.regexp_replace(text, _CONTROL, "")
 
 
 def repair_encoding(text: Column) -> Column:
     """Repair common mojibake, wide forms, ligatures, controls; then NFC."""
-    return nfc(repair_characters(text))
+    return nfc(drop_control(narrow(split_ligatures(repair_mojibake(text)))))
 
 
 # --- T4-T9: markup, special items, hashtags --------------------------------
 
+def may_have_url(text: Column) -> Column:
+    """Coarse test by plain searches, which are far cheaper than a pattern."""
+    found = text.contains("://")
+    for end in ("ww.", "WW.", "wW.", "Ww."):
+        found = found | text.contains(end)
+    return found
+
+
 def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", " ")
 
@@ -310,10 +329,15 @@ def sweep_tag_chars(text: Column) -> Column:
     return F.regexp_replace(text, f"[{TAG_CLASS}{ASCII_CAPITAL_I}]", TAG_SWEPT)
 
 
+MAX_CHAINED_WORDS = 16
+
+
+def code_numbers(lowered: Column) -> Column:
+    return F.regexp_replace(lowered, f"{DIGIT}+", f" {TAG_CODES['<NUM>']} ")
+
+
 def to_spaced_tokens(lowered: Column, rules: RulePack) -> Column:
-    """Lowercased text to spaced coded tokens, spelling repaired."""
-    if rules.numbers_to_token:
-        lowered = F.regexp_replace(lowered, f"{DIGIT}+", f" {TAG_CODES['<NUM>']} ")
+    """Lowercased text with coded numbers to spaced coded tokens."""
     if rules.intended:
         for tag, char in TAG_CHARS.items():
             lowered = F.replace(lowered, F.lit(char), F.lit(TAG_CODES[tag]))
@@ -321,14 +345,28 @@ def to_spaced_tokens(lowered: Column, rules: RulePack) -> Column:
         lowered = F.replace(lowered, F.lit(letter), F.lit(code))
     spaced = F.regexp_replace(lowered, f"[^{CODED_LETTERS}{CODED_TAGS}]+", " ")
     spaced = F.regexp_replace(spaced, r"([^ ])\1\1+", "$1$1")
-    return respell(F.concat(F.lit(" "), spaced, F.lit(" ")), rules)
+    return F.concat(F.lit(" "), spaced, F.lit(" "))
+
+
+def _has_any(spaced: Column, words) -> Column:
+    found = F.lit(False)
+    for word in words:
+        found = found | spaced.contains(f" {coded(word)} ")
+    return found
+
+
+def needs_respelling(spaced: Column, rules: RulePack) -> Column:
+    # A long dictionary is looked up by token, with no search for each word.
+    if len(rules.spelling) > MAX_CHAINED_WORDS:
+        return F.lit(True)
+    return _has_any(spaced, rules.spelling)
 
 
 def respell(spaced: Column, rules: RulePack) -> Column:
     if not rules.spelling:
         return spaced
     table = {coded(word): coded(repaired) for word, repaired in rules.spelling.items()}
-    if len(table) > 16 or set(table) & set(table.values()):
+    if len(table) > MAX_CHAINED_WORDS or set(table) & set(table.values()):
         words = F.transform(
             F.split(F.trim(spaced), " +", -1),
             lambda t: F.coalesce(F.try_element_at(_map_literal(table), t), t),
@@ -346,7 +384,7 @@ def _coded_negators(rules: RulePack) -> list[str]:
 
 
 def has_negator(spaced: Column, rules: RulePack) -> Column:
-    return spaced.rlike(f" (?:{any_of(_coded_negators(rules))}) ")
+    return _has_any(spaced, rules.negators)
 
 
 def negate_spaced(spaced: Column, rules: RulePack) -> Column:
@@ -378,7 +416,9 @@ def normalize(text: Column, rules: RulePack = OBSERVED) -> Column:
         raise ValueError("use sozmill.operators.normalize for the intended rules")
     out = strip_tags(unescape_html(repair_encoding(map_emoji(sweep_tag_chars(text), rules))))
     out = tag_mentions(tag_phones(tag_emails(tag_urls(out))))
-    out = to_spaced_tokens(lower_az(open_hashtags(out, rules)), rules)
+    out = lower_az(open_hashtags(out, rules))
+    out = to_spaced_tokens(code_numbers(out) if rules.numbers_to_token else out, rules)
+    out = respell(out, rules)
     if rules.negation and rules.negators:
         out = negate_spaced(out, rules)
     return finish_spaced(out, rules)

@@ -9,6 +9,8 @@ stage: no shuffle, no Python worker, no array of tokens.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import domain as D, text as X
@@ -24,6 +26,8 @@ from ..functions.rules import (
 )
 
 _WORK = "__sozmill_text"
+_ODD = "__sozmill_odd"
+_DIGITS = "__sozmill_digits"
 
 
 def _apply(df: DataFrame, test, rule) -> DataFrame:
@@ -36,20 +40,27 @@ def _set(df: DataFrame, rule) -> DataFrame:
     return df.withColumn(_WORK, rule(F.col(_WORK)))
 
 
-def _decode(df: DataFrame, rules: RulePack) -> DataFrame:
-    """Emoji, encoding repair, NFC."""
+def _start(df: DataFrame, text: str) -> DataFrame:
+    df = df.withColumn(_WORK, F.coalesce(F.col(text), F.lit("")))
+    return df.withColumn(_ODD, X.may_need_repair(F.col(_WORK)))
+
+
+def _repair(df: DataFrame) -> DataFrame:
+    """Encoding repair for odd rows, NFC for all."""
+    odd = F.col(_ODD)
+    df = _apply(df, lambda t: odd, lambda t: X.split_ligatures(X.repair_mojibake(t)))
+    df = _apply(df, lambda t: odd & X.has_wide(t), X.narrow)
+    return _set(_apply(df, lambda t: odd, X.drop_control), X.nfc)
+
+
+def _emoji(df: DataFrame, rule, rules: RulePack) -> DataFrame:
     emoji = rules.emoji_positive + rules.emoji_negative
     other = [e for e in emoji if not any(0xE000 <= ord(c) <= 0x1FFFF for c in e)]
 
     def test(text: Column) -> Column:
-        found = X.needs_repair(text)
-        return found | text.rlike(any_of(other)) if other else found
-
-    def rule(text: Column) -> Column:
-        return X.repair_characters(X.map_emoji(X.sweep_tag_chars(text), rules))
+        return F.col(_ODD) | text.rlike(any_of(other)) if other else F.col(_ODD)
 
-    df = _apply(df, test, rule)
-    return _set(df, X.nfc)
+    return _apply(df, test, rule)
 
 
 def _markup(df: DataFrame) -> DataFrame:
@@ -61,7 +72,7 @@ def _web_items(df: DataFrame, tag) -> DataFrame:
     """URLs and e-mail addresses."""
     df = _apply(
         df,
-        lambda t: t.contains("://") | t.rlike(r"[wW]{3}\."),
+        X.may_have_url,
         lambda t: X.tag_urls(t, tag("<URL>")),
     )
     return _apply(df, lambda t: t.contains("@"), lambda t: X.tag_emails(t, tag("<EMAIL>")))
@@ -69,7 +80,13 @@ def _web_items(df: DataFrame, tag) -> DataFrame:
 
 def _people_items(df: DataFrame, tag, rules: RulePack) -> DataFrame:
     """Phone numbers, mentions, hashtags."""
-    df = _apply(df, X.may_have_phone, lambda t: X.tag_phones(t, tag("<PHONE>")))
+    # A simple class on purpose; other digits all lie in its upper range.
+    df = df.withColumn(_DIGITS, F.col(_WORK).rlike(r"[0-9\x{660}-\x{10FFFF}]"))
+    df = _apply(
+        df,
+        lambda t: F.col(_DIGITS) & X.may_have_phone(t),
+        lambda t: X.tag_phones(t, tag("<PHONE>")),
+    )
     df = _apply(df, lambda t: t.contains("@"), lambda t: X.tag_mentions(t, tag("<USER>")))
     return _apply(df, lambda t: t.contains("#"), lambda t: X.open_hashtags(t, rules))
 
@@ -80,6 +97,19 @@ def _lower(df: DataFrame, raw: Column) -> DataFrame:
     return _set(df, X.lower_turkic)
 
 
+def _spaced(df: DataFrame, rules: RulePack) -> DataFrame:
+    if rules.numbers_to_token:
+        df = _apply(df, lambda t: F.col(_DIGITS), X.code_numbers)
+    df = _set(df, lambda t: X.to_spaced_tokens(t, rules))
+    if not rules.spelling:
+        return df
+    return _apply(df, lambda t: X.needs_respelling(t, rules), lambda t: X.respell(t, rules))
+
+
+def _finish(df: DataFrame, out: str) -> DataFrame:
+    return df.withColumn(out, F.col(_WORK)).drop(_WORK, _ODD, _DIGITS)
+
+
 def _negate(df: DataFrame, rules: RulePack) -> DataFrame:
     if not (rules.negation and rules.negators):
         return df
@@ -89,12 +119,10 @@ def _negate(df: DataFrame, rules: RulePack) -> DataFrame:
 
 
 def _observed(df: DataFrame, raw: Column, domain: Column | None, rules: RulePack) -> DataFrame:
-    def written(tag):
-        return tag
-
-    df = _web_items(_markup(_decode(df, rules)), written)
-    df = _lower(_people_items(df, written, rules), raw)
-    df = _negate(_set(df, lambda t: X.to_spaced_tokens(t, rules)), rules)
+    df = _emoji(df, lambda t: X.map_emoji(X.sweep_tag_chars(t), rules), rules)
+    df = _web_items(_markup(_repair(df)), str)
+    df = _lower(_people_items(df, str, rules), raw)
+    df = _negate(_spaced(df, rules), rules)
     df = _set(df, lambda t: X.finish_spaced(t, rules))
     if domain is not None:
         # After the steps above only the two rating phrases can be left.
@@ -106,6 +134,17 @@ def _observed(df: DataFrame, raw: Column, domain: Column | None, rules: RulePack
     return df
 
 
+def spaced_tokens(
+    df: DataFrame, text: str = "text", out: str = "tokens", rules: RulePack = OBSERVED
+) -> DataFrame:
+    """Add ``out``: the coded token string as it is before spelling repair."""
+    df = _start(df, text)
+    df = _emoji(df, lambda t: X.map_emoji(X.sweep_tag_chars(t), rules), rules)
+    df = _people_items(_web_items(_markup(_repair(df)), str), str, rules)
+    df = _spaced(_lower(df, F.coalesce(F.col(text), F.lit(""))), replace(rules, spelling={}))
+    return _finish(df, out)
+
+
 def _char(tag: str) -> str:
     return TAG_CHARS[tag]
 
@@ -121,10 +160,9 @@ def protect_items(df: DataFrame, text: str, rules: RulePack) -> DataFrame:
     Tags are inserted as characters that lowercasing and sentence ends cannot
     touch, which is what the documented behaviour needs.
     """
-    df = df.withColumn(_WORK, F.coalesce(F.col(text), F.lit("")))
-    df = _markup(_set(df, X.sweep_tag_chars))
-    df = _apply(df, X.needs_repair, X.repair_characters)
-    df = _set(df, lambda t: _chars_for_emoji(X.nfc(t), rules))
+    df = _start(df, text)
+    df = _apply(df, lambda t: F.col(_ODD), X.sweep_tag_chars)
+    df = _emoji(_repair(_markup(df)), lambda t: _chars_for_emoji(t, rules), rules)
     return _web_items(df, _char)
 
 
@@ -146,7 +184,7 @@ def _intended_rest(df: DataFrame, domain: Column | None, rules: RulePack) -> Dat
         return spaced
 
     df = _apply(df, lambda t: review, amounts)
-    df = _set(df, lambda t: X.to_spaced_tokens(t, rules))
+    df = _spaced(df, rules)
     df = _negate(_apply(df, lambda t: review, ratings), rules)
     return _set(df, lambda t: X.finish_spaced(t, rules))
 
@@ -167,11 +205,10 @@ def clean_text(
     if rules.intended:
         done = _intended_rest(protect_items(df, text, rules), dom, rules)
     else:
-        start = df.withColumn(_WORK, F.coalesce(F.col(text), F.lit("")))
-        done = _observed(start, F.coalesce(F.col(text), F.lit("")), dom, rules)
+        done = _observed(_start(df, text), F.coalesce(F.col(text), F.lit("")), dom, rules)
     if out in df.columns and out != text:
         done = done.drop(out)
-    return done.withColumn(out, F.col(_WORK)).drop(_WORK)
+    return _finish(done, out)
 
 
 def clean_sentences(
@@ -187,15 +224,12 @@ def clean_sentences(
     so each text is one sentence; under ``intended`` the text is split first.
     """
     if not rules.intended:
-        cleaned = clean_text(df, text, out, rules)
-        parts = X.split_sentences(F.col(out))
-    else:
-        cleaned = protect_items(df, text, rules).withColumnRenamed(_WORK, out)
-        parts = X.split_sentences(F.col(out))
+        cleaned = clean_text(df, text, out, rules).filter(F.col(out) != "")
+        return cleaned.withColumn("sent_ord", F.lit(0))
+    cleaned = protect_items(df, text, rules)
+    parts = X.split_sentences(F.col(_WORK))
     keep = [c for c in df.columns if c not in (out, "sent_ord")]
-    rows = cleaned.select(*keep, F.posexplode(parts).alias("sent_ord", out))
-    if rules.intended:
-        dom = F.col(domain) if domain else None
-        rows = _intended_rest(rows.withColumnRenamed(out, _WORK), dom, rules)
-        rows = rows.withColumnRenamed(_WORK, out)
+    rows = cleaned.select(*keep, F.posexplode(parts).alias("sent_ord", _WORK))
+    dom = F.col(domain) if domain else None
+    rows = _finish(_intended_rest(rows, dom, rules), out)
     return rows.filter(F.col(out) != "")

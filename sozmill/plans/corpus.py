@@ -20,7 +20,11 @@ def corpus_lines(rows: DataFrame, rules: RulePack = OBSERVED) -> DataFrame:
         "source", "source_ord", "row_ord", "text", detect_domain(F.col("text")).alias("domain")
     )
     sentences = clean_sentences(texts, rules=rules, domain="domain")
-    line = corpus_line(F.col("domain"), F.col("sentence"), rules)
+    if rules.intended:
+        line = corpus_line(F.col("domain"), F.col("sentence"), rules)
+    else:
+        # Observed cleaning leaves no punctuation and single spaces.
+        line = F.concat(F.lit("dom"), F.col("domain"), F.lit(" "), F.lower("sentence"))
     return sentences.select(
         "source", "source_ord", "row_ord", "sent_ord", "domain", line.alias("value")
     ).filter(F.col("value").isNotNull())

@@ -6,6 +6,7 @@ label already mapped to ``sentiment_value`` by the scheme of its source.
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -118,6 +119,25 @@ def with_row_order(df: DataFrame, name: str = "row_ord", fmt: str = "parquet") -
     ).drop("__file", "__block", "__place", "__first", "__offset")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has too few pieces for them.
+
+    A Parquet row group is read by one task, so a file or two of text would be
+    cleaned by one core. Only such small inputs are spread by a shuffle; a scan
+    of at least one piece for each core is left alone, however large it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    sizes = df.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
+    ).distinct()
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    # Row groups are about as large as a block, so beyond this there are enough.
+    return df.repartition(cores) if total < cores * (128 << 20) else df
+
+
 def missing_columns(df: DataFrame, spec: SourceSpec) -> list[str]:
     wanted = [c for c in (spec.text_col, spec.label_col) if c is not None]
     return [c for c in wanted if c not in df.columns]
@@ -184,6 +204,19 @@ def read_cleaned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return df.select(*extra, "cleaned_text")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage.
+
+    Goes to the reliable checkpoint folder of the session, so the result
+    outlives lost executors. A folder is chosen here only if none is set.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sozmill-"))
+    return df.checkpoint()
+
+
 def require_rows(df: DataFrame, what: str = "sentences") -> DataFrame:
     """``df`` itself; raises if it has no row."""
     if df.isEmpty():
