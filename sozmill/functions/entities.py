@@ -17,12 +17,14 @@ _LAST_CODE_POINT = 0x10FFFF
 
 
 @lru_cache(maxsize=None)
-def _names_by_first_letter() -> str:
-    """Two-level name table as JSON; the first level keeps lookups short."""
-    table: dict[str, dict[str, str]] = {}
+def _names_by_letter() -> tuple[str, str]:
+    """Names and their values as JSON arrays, by the code of the first letter."""
+    names: list[list[str]] = [[] for _ in range(128)]
+    values: list[list[str]] = [[] for _ in range(128)]
     for name, value in html5.items():
-        table.setdefault(name[0], {})[name] = value
-    return json.dumps(table)
+        names[ord(name[0])].append(name)
+        values[ord(name[0])].append(value)
+    return json.dumps(names), json.dumps(values)
 
 
 @lru_cache(maxsize=None)
@@ -32,21 +34,18 @@ def _bare_names_pattern() -> str:
     return "^(" + "|".join(bare) + ")"
 
 
-@lru_cache(maxsize=None)
-def _legacy_codes() -> str:
+def _c1_readings() -> list[str]:
     """References to 0x80-0x9F are read as Windows-1252, as browsers do."""
-    table = {0x00: chr(0xFFFD), 0x0D: "\r"}
-    for code in range(0x80, 0xA0):
-        try:
-            table[code] = bytes([code]).decode("cp1252")
-        except UnicodeDecodeError:
-            table[code] = chr(code)
-    return json.dumps(table)
+    return [bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)]
 
 
 def _named(reference: Column) -> Column:
-    table = F.from_json(F.lit(_names_by_first_letter()), "map<string,map<string,string>>")
-    return F.try_element_at(F.try_element_at(table, F.substring(reference, 1, 1)), reference)
+    # Arrays, not maps: equal array literals let Spark see that two uses of a
+    # cleaned table are the same work, equal map literals do not.
+    names, values = (F.from_json(F.lit(t), "array<array<string>>") for t in _names_by_letter())
+    letter = F.ascii(reference) + 1
+    place = F.array_position(F.try_element_at(names, letter), reference)
+    return F.when(place > 0, F.element_at(F.try_element_at(values, letter), place.cast("int")))
 
 
 def _numeric(reference: Column) -> Column:
@@ -58,21 +57,18 @@ def _numeric(reference: Column) -> Column:
         .when(digits == "", F.lit(0))
         .otherwise(value.cast("int"))
     )
-    legacy = F.from_json(F.lit(_legacy_codes()), "map<string,string>")
+    c1 = F.array(*[F.lit(c) for c in _c1_readings()])
     not_a_character = (
         code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F)
         | (code == 0x7F) | code.between(0xFDD0, 0xFDEF)
         | (code.bitwiseAND(0xFFFE) == 0xFFFE)
     )
+    unknown = (code == 0) | (code > _LAST_CODE_POINT) | code.between(0xD800, 0xDFFF)
     return (
-        F.when((code > _LAST_CODE_POINT) | code.between(0xD800, 0xDFFF), F.lit(chr(0xFFFD)))
+        F.when(unknown, F.lit(chr(0xFFFD)))
         .when(not_a_character, F.lit(""))
-        .otherwise(
-            F.coalesce(
-                F.try_element_at(legacy, code.cast("string")),
-                F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
-            )
-        )
+        .when(code.between(0x80, 0x9F), F.try_element_at(c1, code - 0x7F))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     )
 
 

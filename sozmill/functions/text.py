@@ -240,15 +240,20 @@ def collapse_repeats(text: Column) -> Column:
     return F.regexp_replace(text, r"([^\n])\1{2,}", "$1$1")
 
 
-def _map_literal(pairs) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+def _look_up(table, token: Column) -> Column:
+    """Value for ``token`` in a small table, or the token itself."""
+    words = F.array(*[F.lit(w) for w in table])
+    values = F.array(*[F.lit(v) for v in table.values()])
+    place = F.array_position(words, token)
+    found = F.element_at(values, F.greatest(place, F.lit(1)).cast("int"))
+    return F.when(place > 0, found).otherwise(token)
 
 
 def fix_spelling(token: Column, rules: RulePack = OBSERVED) -> Column:
     """Dictionary form of one token, or the token itself."""
     if not rules.spelling:
         return token
-    return F.coalesce(F.try_element_at(_map_literal(rules.spelling), token), token)
+    return _look_up(rules.spelling, token)
 
 
 def _mark_scope(spaced: Column, negators, scope: int, tag: str, word: str, suffix: str) -> Column:
@@ -367,10 +372,7 @@ def respell(spaced: Column, rules: RulePack) -> Column:
         return spaced
     table = {coded(word): coded(repaired) for word, repaired in rules.spelling.items()}
     if len(table) > MAX_CHAINED_WORDS or set(table) & set(table.values()):
-        words = F.transform(
-            F.split(F.trim(spaced), " +", -1),
-            lambda t: F.coalesce(F.try_element_at(_map_literal(table), t), t),
-        )
+        words = F.transform(F.split(F.trim(spaced), " +", -1), lambda t: _look_up(table, t))
         return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     for word, repaired in table.items():
         # Neighbours share a space, so one pass can miss every second one.

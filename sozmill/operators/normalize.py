@@ -24,6 +24,7 @@ from ..functions.rules import (
     any_of,
     coded,
 )
+from .rows import keep_nonempty
 
 _WORK = "__sozmill_text"
 _ODD = "__sozmill_odd"
@@ -224,7 +225,7 @@ def clean_sentences(
     so each text is one sentence; under ``intended`` the text is split first.
     """
     if not rules.intended:
-        cleaned = clean_text(df, text, out, rules).filter(F.col(out) != "")
+        cleaned = keep_nonempty(clean_text(df, text, out, rules), out)
         return cleaned.withColumn("sent_ord", F.lit(0))
     cleaned = protect_items(df, text, rules)
     parts = X.split_sentences(F.col(_WORK))
@@ -232,4 +233,4 @@ def clean_sentences(
     rows = cleaned.select(*keep, F.posexplode(parts).alias("sent_ord", _WORK))
     dom = F.col(domain) if domain else None
     rows = _finish(_intended_rest(rows, dom, rules), out)
-    return rows.filter(F.col(out) != "")
+    return keep_nonempty(rows, out)

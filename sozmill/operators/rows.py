@@ -12,6 +12,17 @@ def has_text(text: Column) -> Column:
     return text.rlike(f"[^{SPACE}]")
 
 
+def keep_nonempty(df: DataFrame, column: str) -> DataFrame:
+    """Rows where the string ``column`` is not empty.
+
+    Written with a generator because Spark would push a plain filter below the
+    projections that compute the column, and so compute it twice.
+    """
+    value = F.col(column)
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.when(value != "", F.array(value))).alias(column))
+
+
 def drop_missing(df: DataFrame, text: str = "text") -> DataFrame:
     """Rows with a text and a label."""
     return df.filter(F.col(text).isNotNull() & F.col("has_label"))

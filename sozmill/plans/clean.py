@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.domain import detect_domain
 from ..functions.rules import OBSERVED, RulePack
 from ..operators.normalize import clean_text
-from ..operators.rows import drop_missing, first_labelled, has_text
+from ..operators.rows import drop_missing, first_labelled, has_text, keep_nonempty
 
 
 def clean_rows(rows: DataFrame, rules: RulePack = OBSERVED) -> DataFrame:
@@ -21,7 +21,7 @@ def clean_rows(rows: DataFrame, rules: RulePack = OBSERVED) -> DataFrame:
     first = first_labelled(kept).filter(F.col("sentiment_value").isNotNull())
     tagged = first.withColumn("domain", detect_domain(F.col("text")))
     cleaned = clean_text(tagged, rules=rules, domain="domain")
-    return cleaned.filter(F.col("cleaned_text") != "").select(
+    return keep_nonempty(cleaned, "cleaned_text").select(
         "source", "source_ord", "row_ord", "domain", "cleaned_text", "sentiment_value"
     )
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.domain import detect_domain
 from ..functions.rules import OBSERVED, RulePack
-from ..functions.text import corpus_line
 from ..operators.normalize import clean_sentences
 
 
@@ -20,14 +19,13 @@ def corpus_lines(rows: DataFrame, rules: RulePack = OBSERVED) -> DataFrame:
         "source", "source_ord", "row_ord", "text", detect_domain(F.col("text")).alias("domain")
     )
     sentences = clean_sentences(texts, rules=rules, domain="domain")
-    if rules.intended:
-        line = corpus_line(F.col("domain"), F.col("sentence"), rules)
-    else:
-        # Observed cleaning leaves no punctuation and single spaces.
-        line = F.concat(F.lit("dom"), F.col("domain"), F.lit(" "), F.lower("sentence"))
+    # Neither rule set leaves punctuation or more than single spaces, so there
+    # is nothing left to strip and no line can become empty.
+    body = F.col("sentence") if rules.intended else F.lower("sentence")
+    line = F.concat(F.lit("dom"), F.col("domain"), F.lit(" "), body)
     return sentences.select(
         "source", "source_ord", "row_ord", "sent_ord", "domain", line.alias("value")
-    ).filter(F.col("value").isNotNull())
+    )
 
 
 def of_domain(lines: DataFrame, domain: str) -> DataFrame:

@@ -12,12 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.domain import detect_domain
 from ..functions.rules import OBSERVED, RulePack
 from ..operators.normalize import clean_text
-from ..operators.rows import has_text
+from ..operators.rows import has_text, keep_nonempty
 
 
 def clean_stream(rows: DataFrame, rules: RulePack = OBSERVED, text: str = "text") -> DataFrame:
     """Add ``domain`` and ``cleaned_text``; drop rows with nothing left."""
     tagged = rows.filter(has_text(F.col(text))).withColumn("domain", detect_domain(F.col(text)))
-    return clean_text(tagged, text, rules=rules, domain="domain").filter(
-        F.col("cleaned_text") != ""
-    )
+    return keep_nonempty(clean_text(tagged, text, rules=rules, domain="domain"), "cleaned_text")
