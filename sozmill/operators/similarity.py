@@ -83,13 +83,13 @@ def nearest_neighbours(
     if groups <= 1:
         scored = _scores(table.withColumn("__seeds", wanted.agg(_packed()).scalar()))
     else:
-        group = F.pmod(F.xxhash64("word"), F.lit(groups)).alias("__group")
+        group = F.pmod(F.xxhash64("word"), F.lit(groups)).cast("int").alias("__group")
         salts = F.explode(F.sequence(F.lit(0), F.lit(SEED_SALTS - 1))).alias("__salt")
         arrays = wanted.groupBy(group).agg(_packed().alias("__seeds")).select("*", salts)
         spread = table.select(
             "*",
             F.pmod(F.hash("word"), F.lit(SEED_SALTS)).alias("__salt"),
-            F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long").alias("__group"),
+            F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("__group"),
         )
         scored = _scores(spread.join(arrays, ["__group", "__salt"]))
     # Spark keeps only the k best of each task before this window's shuffle.

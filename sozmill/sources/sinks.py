@@ -32,9 +32,10 @@ def write_corpus(
     own folder so that readers of one domain skip the rest.
     """
     seen = Observation()
-    lines = lines.observe(seen, F.count(F.lit(1)).alias("rows"))
     if ordered:
         lines = lines.orderBy("source_ord", "row_ord", "sent_ord")
+    # Above the sort, whose sampling pass would count every row once more.
+    lines = lines.observe(seen, F.count(F.lit(1)).alias("rows"))
     columns = ["value", "domain"] if by_domain else ["value"]
     writer = lines.select(*columns).write.mode("overwrite")
     if by_domain:
