@@ -295,6 +295,82 @@ def covered(by: str) -> str:
       FROM tokens t LEFT JOIN vocab v ON t.token = v.word GROUP BY {by}"""
 
 
+# --- the intended rules -----------------------------------------------------------
+
+CHAR = {tag: chr(0xE000 + i) for i, tag in enumerate(R.TOKEN_TAGS + R.REVIEW_TAGS)}
+
+
+def char(tag: str) -> str:
+    return f" {CHAR[tag]} "
+
+
+def hashtags_any(expr: str) -> str:
+    parts = f"string_split({expr}, '#')"
+    name = f"regexp_extract(p, '^[{W}]+')"
+    camel = f"regexp_replace({name}, '(\\p{{Ll}})(\\p{{Lu}})', '\\1 \\2', 'g')"
+    plain = f"regexp_matches({name}, '^[A-Za-z0-9_]+$')"
+    piece = (
+        f"CASE WHEN {name} = '' THEN '#' || p ELSE ' ' || "
+        f"CASE WHEN {plain} THEN replace({camel}, 'I', 'i') ELSE {camel} END "
+        f"|| ' ' || substr(p, length({name}) + 1) END"
+    )
+    return (
+        f"({parts}[1] || array_to_string(list_transform({parts}[2:], lambda p: {piece}), ''))"
+    )
+
+
+def amounts(expr: str) -> str:
+    # Neighbouring amounts share a boundary character, hence two passes each.
+    for _ in range(2):
+        expr = sub(expr, rf"(^|[^{W}]){D}+[{S}]*(azn|manat)($|[^{W}])",
+                   rf"\1{char('<PRICE>')}\3")
+    for n in "12345":
+        for _ in range(2):
+            expr = sub(expr, rf"(^|[^{W}]){n}[{S}]*ulduz($|[^{W}])",
+                       rf"\1{char(f'<STARS_{n}>')}\2")
+    return expr
+
+
+def intended() -> str:
+    faces = "t"
+    for tag, group in (("<EMO_POS>", R.EMOJI_POSITIVE), ("<EMO_NEG>", R.EMOJI_NEGATIVE)):
+        faces = replace_all(faces, [(face, char(tag)) for face in group])
+    tags = " ".join(f"WHEN {q(c)} THEN {q(tag)}" for tag, c in CHAR.items())
+    turkic = f"lower(translate(nfc_normalize({hashtags_any('t')}), 'Iİ', 'ıi'))"
+    return f"""WITH {DOCS},
+    tagged AS MATERIALIZED (SELECT doc_id, {domain('text')} AS domain FROM docs),
+    i1 AS MATERIALIZED (SELECT doc_id, {unescaped('text')} AS t FROM docs),
+    i2 AS MATERIALIZED (SELECT doc_id, {repaired(sub('t', '<[^>]+>'))} AS t FROM i1),
+    i3 AS MATERIALIZED (
+      SELECT doc_id, {emails(urls(faces, char('<URL>')), char('<EMAIL>'))} AS t FROM i2),
+    i4 AS MATERIALIZED (
+      SELECT doc_id, {mentions(phones('t', char('<PHONE>')), char('<USER>'))} AS t FROM i3),
+    i5 AS MATERIALIZED (SELECT doc_id, {turkic} AS t FROM i4),
+    i6 AS MATERIALIZED (
+      SELECT doc_id, domain, CASE WHEN domain = 'reviews' THEN {amounts('t')} ELSE t END AS t
+      FROM i5 JOIN tagged USING (doc_id)),
+    i7 AS (
+      SELECT doc_id, domain, regexp_extract_all({sub('t', D + '+', char('<NUM>'))},
+        '[{LETTERS}]+|[{CHAR['<NUM>']}-{CHAR['<RATING_NEG>']}]') AS l FROM i6),
+    i8 AS (SELECT doc_id, domain, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM i7),
+    i9 AS (
+      SELECT doc_id, domain, pos, CASE token {tags} ELSE {spelled('token')} END AS token
+      FROM (SELECT doc_id, domain, pos, {collapsed('token')} AS token FROM i8)),
+    near AS (
+      SELECT *, lead(token) OVER w AS after, lag(token) OVER w AS before
+      FROM i9 WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+    toks AS MATERIALIZED (
+      SELECT doc_id, pos,
+        CASE WHEN domain = 'reviews' AND token = 'çox' AND after = 'yaxşı' THEN '<RATING_POS>'
+             WHEN domain = 'reviews' AND token = 'çox' AND after = 'pis' THEN '<RATING_NEG>'
+             ELSE token END AS token
+      FROM near
+      WHERE NOT (domain = 'reviews' AND token IN ('yaxşı', 'pis') AND before IS NOT DISTINCT FROM 'çox')),
+    {negated('toks', 'doc_id')},
+    base AS ({joined('marked', 'doc_id')})
+    SELECT doc_id, domain, coalesce(cleaned_text, '') AS t FROM tagged LEFT JOIN base USING (doc_id)"""
+
+
 # --- vectors --------------------------------------------------------------------
 
 VECTORS = """
@@ -460,6 +536,7 @@ def oracle_sql() -> dict[str, str]:
     # Plans.
     sql["clean_two_column"] = f"""WITH {CLEAN}
       SELECT source, row_ord, domain, cleaned_text, sentiment_value FROM clean_rows"""
+    sql["intended_clean"] = intended()
     sql["row_counts"] = f"""WITH {CLEAN}
       SELECT source, count(*) AS n FROM clean_rows GROUP BY ROLLUP (source)"""
     sql["corpus_lines"] = f"WITH {CORPUS} SELECT source, row_ord, domain, value FROM corpus"

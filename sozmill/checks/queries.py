@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import domain as D, labels as L, text as X
-from ..functions.rules import OBSERVED, RulePack
+from ..functions.rules import INTENDED, OBSERVED, RulePack
 from ..operators import coverage as C, rows as R, similarity as S, subwords as B, tokens as K
 from ..operators.normalize import clean_text
 from ..operators.training import train_word2vec
@@ -240,6 +240,12 @@ def clean_two_column(spark, sf):
     return clean_rows(rows_all(spark, sf)).drop("source_ord")
 
 
+def intended_clean(spark, sf):
+    tagged = docs(spark, sf).withColumn("domain", D.detect_domain(F.col("text")))
+    cleaned = clean_text(tagged, out="t", rules=INTENDED, domain="domain")
+    return cleaned.select("doc_id", "domain", "t")
+
+
 def rows_by_source(spark, sf):
     return row_counts(clean_rows(rows_all(spark, sf))).withColumnRenamed("rows", "n")
 
@@ -451,6 +457,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "label_binary": label_binary,
         "label_tri": label_tri,
         "clean_two_column": clean_two_column,
+        "intended_clean": intended_clean,
         "row_counts": rows_by_source,
         "corpus_lines": corpus,
         "corpus_domain_filter": corpus_domain_filter,
