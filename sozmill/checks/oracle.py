@@ -448,13 +448,13 @@ def oracle_sql() -> dict[str, str]:
     # Sources, filters, dedup, unions, limits.
     sql["union_sources"] = f"""WITH {ROWS}
       SELECT source, source_ord, count(*) AS n, count(*) FILTER (WHERE has_label) AS labelled,
-             sum(length(text)) AS chars FROM rows_all GROUP BY source, source_ord"""
+             sum(length(text))::BIGINT AS chars FROM rows_all GROUP BY source, source_ord"""
     sql["drop_blank"] = f"""WITH r AS (
         SELECT page_id, CASE WHEN length(html) % 3 = 0 THEN chr(160) || chr(9) || '  '
           WHEN length(html) % 3 = 1 THEN NULL ELSE html END AS text FROM pages)
       SELECT page_id, length(text) AS chars FROM r WHERE regexp_matches(text, '[^{S}]')"""
     sql["dedup_first_wins"] = """SELECT source, row_ord, lang, label FROM (
-        SELECT d.source, d.doc_id AS row_ord, d.lang, l.quality AS label,
+        SELECT d.source, d.doc_id AS row_ord, d.lang, coalesce(l.quality, -1) AS label,
           row_number() OVER (PARTITION BY d.source, d.text ORDER BY d.doc_id) AS n
         FROM documents d LEFT JOIN labels l USING (doc_id)) WHERE n = 1"""
     sql["dedup_label_first"] = f"""WITH {FIRST}
@@ -545,7 +545,7 @@ def oracle_sql() -> dict[str, str]:
     protected = emails(urls("text"))
     sql["sentence_split"] = f"""WITH {DOCS}, p AS (
         SELECT doc_id, unnest(regexp_split_to_array({protected}, '[.!?]+')) AS s FROM docs)
-      SELECT doc_id, count(*) AS sentences, sum(length({sub('s', f'^[{S}]+|[{S}]+$', '')})) AS chars
+      SELECT doc_id, count(*) AS sentences, sum(length({sub('s', f'^[{S}]+|[{S}]+$', '')}))::BIGINT AS chars
       FROM p WHERE regexp_matches(s, '[^{S}]') GROUP BY doc_id"""
 
     # Tokens, vocabularies, coverage.
@@ -562,7 +562,7 @@ def oracle_sql() -> dict[str, str]:
       f AS (SELECT token, count(*)::DOUBLE AS cnt, (SELECT count(*) FROM tokens)::DOUBLE AS total
             FROM tokens GROUP BY token),
       k AS (SELECT token, least(1.0, sqrt(0.001 * total / cnt) + 0.001 * total / cnt) AS keep FROM f)
-      SELECT token, count(*) AS kept, sum(doc_id * 31 + pos) AS mark FROM tokens JOIN k USING (token)
+      SELECT token, count(*) AS kept, sum(doc_id * 31 + pos)::BIGINT AS mark FROM tokens JOIN k USING (token)
       WHERE keep >= 1.0 OR ((doc_id * 7919 + pos * 104729) % 1000003) / 1000003.0 < keep
       GROUP BY token"""
 
@@ -580,7 +580,8 @@ def oracle_sql() -> dict[str, str]:
         FROM seeds s JOIN vectors x ON x.word = s.word JOIN vectors v ON v.word <> s.word),
       best AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY c DESC, word) AS rank
                FROM scored)
-      SELECT s.word AS seed, b.rank, b.word, round(b.c, 6) AS cosine
+      SELECT s.word AS seed, coalesce(b.rank, 0) AS rank, coalesce(b.word, '') AS word,
+        round(b.c, 6) AS cosine
       FROM seeds s LEFT JOIN best b ON b.seed = s.word AND b.rank <= 5"""
     sql["ngram_table"] = f"WITH {GRAMS} SELECT ngram, words, {VECTOR_SUMS} FROM gram_vectors"
     sql["subword_oov"] = f"WITH {GRAMS} SELECT word, ngrams, {VECTOR_SUMS} FROM unknown_vectors"

@@ -110,13 +110,14 @@ def drop_blank(spark, sf):
     html, third = F.col("html"), F.length("html") % 3
     text = F.when(third == 0, F.lit(chr(160) + "\t  ")).when(third == 2, html)
     rows = table(spark, sf, "pages").select("page_id", text.alias("text")).na.drop(subset=["text"])
-    return rows.filter(R.has_text(F.col("text"))).select("page_id", F.length("text").alias("chars"))
+    return rows.filter(R.has_text(F.col("text"))).select(
+        "page_id", F.length("text").cast("long").alias("chars"))
 
 
 def dedup_first_wins(spark, sf):
     labelled = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
     rows = labelled.select("source", F.col("doc_id").alias("row_ord"), "text", "lang",
-                           F.col("quality").alias("label"))
+                           F.coalesce("quality", F.lit(-1)).alias("label"))
     return R.first_rows(rows, ["text"], "row_ord", ["source"]).select(
         "source", "row_ord", "lang", "label")
 
@@ -284,7 +285,8 @@ def coverage_macro(spark, sf):
 
 
 def stopword_candidates(spark, sf):
-    return K.stopword_candidates(clean_docs(spark, sf)).select("lang", "token", "docs", "rank")
+    return K.stopword_candidates(clean_docs(spark, sf)).select(
+        "lang", "token", "docs", F.col("rank").cast("long").alias("rank"))
 
 
 def subsample_tokens(spark, sf):
@@ -336,7 +338,8 @@ def knn_top5(spark, sf):
         given.agg(F.max("vec_id") + 1)).select(F.concat(F.lit("w"), F.col("id")).alias("word"))
     found = S.nearest_neighbours(word_vectors(spark, sf), seeds, 5)
     return seeds.select(F.col("word").alias("seed")).join(found, "seed", "left").select(
-        "seed", F.col("rank").cast("long").alias("rank"), "word", F.round("cosine", 6).alias("cosine"))
+        "seed", F.coalesce(F.col("rank"), F.lit(0)).cast("long").alias("rank"),
+        F.coalesce("word", F.lit("")).alias("word"), F.round("cosine", 6).alias("cosine"))
 
 
 def vector_sums(df: DataFrame) -> DataFrame:
