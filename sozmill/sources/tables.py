@@ -208,12 +208,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage.
 
     Goes to the reliable checkpoint folder of the session, so the result
-    outlives lost executors. A folder is chosen here only if none is set.
+    outlives lost executors. A folder is chosen here only in local mode.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sozmill-"))
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="sozmill-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

@@ -154,6 +154,13 @@ def test_training_is_repeatable(spark, cleaned):
     assert all(len(r.vector) == 8 and r.cnt > 0 for r in one)
 
 
+def test_training_on_the_corpus(spark, cleaned):
+    corpus = cleaned.select(F.concat(F.lit("domgeneral "), "cleaned_text").alias("value"))
+    params = dict(vector_size=4, window=2, min_count=2, epochs=1)
+    words = {r.word for r in train_word2vec(corpus, params, num_partitions=1, text="value").collect()}
+    assert "domgeneral" in words and len(words) == 13
+
+
 def test_training_guards(spark, cleaned):
     with pytest.raises(ValueError):
         check_model_size(10**9, 300)
