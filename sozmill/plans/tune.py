@@ -68,7 +68,8 @@ def sweep(
         else:
             record = evaluate_subwords(vectors, counts, pairs, trial["min_n"], trial["max_n"])
         rows.append({**trial, **record.first().asDict()})
-    sentences.unpersist(), train_counts.unpersist(), counts.unpersist()
+    for frame in (sentences, train_counts, counts):
+        frame.unpersist()
     results = cleaned.sparkSession.createDataFrame(rows)
     return results.withColumn("score", score(F.col("separation"), F.col("coverage")))
 

