@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate
+from . import bpe, decontaminate, licenses, sharding
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,6 +29,27 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard, of 16 that are as even in bytes as equal texts allow."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), 16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license detections of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.array_distinct(F.col("places.label"))
+    return licenses.scan(docs).select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").cast("long").alias("first_word"),
+        F.array_max("places.start").cast("long").alias("last_word"),
+        F.array_join(F.sort_array(base), ",").alias("base_labels"),
+        F.array_join(F.sort_array(F.array_union(base, F.col("detections.label"))), ",").alias("labels"),
+        licenses.strongest().alias("score"))
+
+
 def shipped(query):
     """``query``, after the executors got this package."""
     @functools.wraps(query)
@@ -39,4 +60,5 @@ def shipped(query):
 
 
 def queries() -> dict:
-    return {f.__name__: shipped(f) for f in (op2_byte_bpe, op5_decontamination)}
+    return {f.__name__: shipped(f) for f in (
+        op2_byte_bpe, op5_decontamination, op7_minimax_shards, op10_license_scan)}
