@@ -4,29 +4,33 @@ Each match of the split pattern is encoded on its own. Its bytes are the leaves
 of a tree whose root is the leftmost pair of least rank; a merge touches the
 pair of the grown part and that of its left neighbour, so it costs a logarithm
 of the match's length. Matches of any length, a text without a space included,
-thus take ``n log n`` time.
+thus take ``n log n`` time. Short matches of a batch are merged together, each
+with a tree of its own in one row of a matrix.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import as_bytes, with_fields
+from .common import as_bytes, slices, with_fields
 
-# Matches that were encoded are kept up to this many and this long, for each task.
-CACHE_ENTRIES = 1 << 17
-CACHE_LENGTH = 48
+# Matches that were encoded are kept up to twice this many, for each worker.
+CACHE_ENTRIES = 1 << 18
+# Matches of up to so many bytes are merged in batches.
+WIDTHS = (8, 16, 32)
 # Longer texts are split piece by piece, not into one list.
-LIST_CHARS = 1 << 18
+LIST_CHARS = 1 << 20
 PIECES_AT_ONCE = 1 << 15
 NONE = 1 << 62
+_EMPTY = np.zeros(0, dtype=np.int32)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -56,36 +60,130 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         left, right = tree[2 * node], tree[2 * node + 1]
         tree[node] = left if left < right else right
 
-    def put(at: int, value: int) -> None:
-        node = size + at
-        tree[node] = value
-        while node > 1:
-            other = tree[node ^ 1]
-            if other < value:
-                value = other
-            node >>= 1
+    while tree[1] != NONE:
+        at = tree[1] % size
+        gone, left = after[at], before[at]
+        right = after[at] = after[gone]
+        part = parts[at] = parts[at] + parts[gone]
+        parts[gone] = None
+        # The leaves of the grown part, of the part that is gone and of the left neighbour.
+        value = NONE
+        if right < n:
+            before[right] = at
+            rank = find(part + parts[right])
+            if rank is not None:
+                value = rank * size + at
+        changed = [(size + gone, NONE), (size + at, value)]
+        if left >= 0:
+            rank = find(parts[left] + part)
+            changed.append((size + left, NONE if rank is None else rank * size + left))
+        for node, value in changed:
             if tree[node] == value:
-                return
+                continue
             tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
+                node >>= 1
+                if tree[node] == value:
+                    break
+                tree[node] = value
+    return [ranks[part] for part in parts if part is not None]
+
+
+class PairRanks:
+    """Rank of two tokens joined, for arrays of tokens: buckets of a hash, searched in step."""
+
+    BITS = 20
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = [(ranks[token[:i]] << 32 | ranks[token[i:]], rank) for token, rank in ranks.items()
+                 for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
+        keys, values = np.array(found, dtype=np.int64).reshape(-1, 2).T
+        bucket = self._bucket(keys)
+        order = np.argsort(bucket, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+        self.starts = np.searchsorted(bucket[order], np.arange((1 << self.BITS) + 1))
+
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks, -1 where two tokens make none."""
+        keys = left << 32 | right
+        bucket = self._bucket(keys)
+        at, end = self.starts[bucket], self.starts[bucket + 1]
+        out = np.full(len(keys), -1, dtype=np.int64)
+        rows = np.flatnonzero(at < end)
+        while len(rows):
+            hit = self.keys[at[rows]] == keys[rows]
+            out[rows[hit]] = self.values[at[rows[hit]]]
+            rows = rows[~hit]
+            at[rows] += 1
+            rows = rows[at[rows] < end[rows]]
+        return out
+
+
+def encode_short(pieces: list[bytes], width: int, single: np.ndarray, pairs: PairRanks) -> list[bytes]:
+    """``encode_piece`` of many matches of at most ``width`` bytes that are no tokens themselves.
+
+    ``width`` is a power of two and the number of leaves of each tree. Ids are
+    given as the bytes of 32-bit numbers.
+    """
+    count = len(pieces)
+    length = np.array([len(p) for p in pieces])
+    raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), dtype=np.uint8)
+    parts = single[raw].reshape(count, width)
+    place = np.arange(width)
+    alive = place < length[:, None]
+    after = np.tile(place + 1, (count, 1))
+    before = np.tile(place - 1, (count, 1))
+    tree = np.full((count, 2 * width), NONE, dtype=np.int64)
+    row, at = np.nonzero(place < length[:, None] - 1)
+    rank = pairs.find(parts[row, at], parts[row, at + 1])
+    tree[row, width + at] = np.where(rank < 0, NONE, rank * width + at)
+    for node in range(width - 1, 0, -1):
+        np.minimum(tree[:, 2 * node], tree[:, 2 * node + 1], out=tree[:, node])
+    rows = np.flatnonzero(tree[:, 1] != NONE)
+    while len(rows):
+        part, at = np.divmod(tree[rows, 1], width)
+        gone, left = after[rows, at], before[rows, at]
+        right = after[rows, gone]
+        parts[rows, at] = part
+        alive[rows, gone] = False
+        after[rows, at] = right
+        tree[rows, width + gone] = NONE
+        tree[rows, width + at] = NONE
+        more = right < length[rows]
+        r, i, j = rows[more], at[more], right[more]
+        before[r, j] = i
+        rank = pairs.find(part[more], parts[r, j])
+        tree[r, width + i] = np.where(rank < 0, NONE, rank * width + i)
+        more = left >= 0
+        r, i = rows[more], left[more]
+        rank = pairs.find(parts[r, i], part[more])
+        tree[r, width + i] = np.where(rank < 0, NONE, rank * width + i)
+        nodes = [width + gone, width + at, width + np.maximum(left, 0)]
+        while nodes[0][0] > 1:
+            nodes = [node >> 1 for node in nodes]
+            for node in nodes:
+                tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
+        rows = rows[tree[rows, 1] != NONE]
+    ids = parts[alive].astype(np.int32).tobytes()
+    ends = (4 * np.cumsum(alive.sum(axis=1))).tolist()
+    return [ids[i:j] for i, j in zip([0, *ends], ends)]
+
+
+class Known(dict):
+    """Matches and their ids as the bytes of 32-bit numbers; long ones are encoded at each look."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
 
-    def pair(at: int) -> int:
-        right = after[at]
-        rank = find(parts[at] + parts[right]) if right < n else None
-        return NONE if rank is None else rank * size + at
-
-    while tree[1] != NONE:
-        at = tree[1] % size
-        gone = after[at]
-        parts[at] += parts[gone]
-        parts[gone] = b""
-        after[at] = after[gone]
-        if after[at] < n:
-            before[after[at]] = at
-        put(gone, NONE)
-        put(at, pair(at))
-        if before[at] >= 0:
-            put(before[at], pair(before[at]))
-    return [ranks[part] for part in parts if part]
+    def __missing__(self, piece: str) -> bytes:
+        return np.array(encode_piece(piece.encode(), self.ranks), dtype=np.int32).tobytes()
 
 
 class Codec:
@@ -95,7 +193,11 @@ class Codec:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
+        # The last matches, and those before them: what is still in use moves over.
+        self.pairs = PairRanks(ranks)
+        self.single = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.known = Known(ranks)
+        self.older = Known(ranks)
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         if len(text) <= LIST_CHARS:
@@ -105,21 +207,53 @@ class Codec:
         while part := list(islice(found, PIECES_AT_ONCE)):
             yield part
 
-    def encode(self, text: str) -> Iterator[list[int]]:
-        """Token ids of a text, in lists of bounded length where the text is long."""
-        known, ranks = self.known, self.ranks
+    def encode(self, text: str) -> Iterator[np.ndarray]:
+        """Token ids of a text, in arrays of bounded length where the text is long."""
         for part in self.pieces(text):
-            ids = []
-            for piece in part:
-                found = known.get(piece)
-                if found is None:
-                    found = tuple(encode_piece(piece.encode(), ranks))
-                    if len(piece) <= CACHE_LENGTH:
-                        if len(known) >= CACHE_ENTRIES:
-                            known.clear()
-                        known[piece] = found
-                ids.append(found)
-            yield list(chain.from_iterable(ids))
+            self.learn(part)
+            yield self.encode_known(part)
+
+    def encode_known(self, part: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.known.__getitem__, part)), dtype=np.int32)
+
+    def learn(self, part: list[str]) -> None:
+        """Encode the short matches of ``part`` that aren't known yet."""
+        new = set(part).difference(self.known)
+        if not new:
+            return
+        if len(self.known) + len(new) > CACHE_ENTRIES:
+            self.known, self.older = Known(self.ranks), self.known
+            new = set(part)
+        groups = {width: [] for width in WIDTHS}
+        for piece in new:
+            found = self.older.get(piece)
+            if found is None:
+                raw = piece.encode()
+                whole = self.ranks.get(raw)
+                if whole is None:
+                    for width in WIDTHS:
+                        if len(raw) <= width:
+                            groups[width].append((piece, raw))
+                            break
+                    continue
+                found = np.int32(whole).tobytes()
+            self.known[piece] = found
+        for width, group in groups.items():
+            if group:
+                names, raws = zip(*group)
+                self.known.update(zip(names, encode_short(raws, width, self.single, self.pairs)))
+
+    def encode_all(self, column: pa.Array) -> Iterator[Iterable[np.ndarray]]:
+        """``encode`` of each value of a binary column; new matches of a slice are merged together."""
+        for a, b in slices(column, LIST_CHARS):
+            texts = [value.as_py().decode() for value in column.slice(a, b - a)]
+            if b - a == 1:
+                yield self.encode(texts[0])
+                continue
+            parts = [self.pattern.findall(text) for text in texts]
+            self.learn(list(chain.from_iterable(parts)))
+            for part in parts:
+                yield [self.encode_known(part)]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -143,9 +277,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
     def run(batches):
         coder = codec(path, pattern)
         for batch in batches:
-            texts = as_bytes(batch.column(text))
-            ids = pa.array([list(chain.from_iterable(coder.encode(t.as_py().decode())))
-                            for t in texts], pa.list_(pa.int32()))
+            ids = pa.array([np.concatenate([_EMPTY, *parts]) for parts in coder.encode_all(
+                as_bytes(batch.column(text)))], pa.list_(pa.int32()))
             yield batch.drop_columns([text]).append_column("token_ids", ids)
 
     others = df.drop(text, "token_ids")
@@ -175,9 +308,9 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> Da
     only. Null is an empty text: no tokens and the digests of nothing.
     Repeated rows stay repeated; columns of the names given here are replaced.
     """
-    def one(coder: Codec, value: str) -> tuple[int, str, str]:
+    def one(coder: Codec, parts: Iterable[np.ndarray]) -> tuple[int, str, str]:
         count, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
-        for ids in coder.encode(value):
+        for ids in map(np.ndarray.tolist, parts):
             if ids:
                 ids_hash.update((b"," if count else b"") + str(ids)[1:-1].replace(" ", "").encode())
             bytes_hash.update(coder.decode(ids))
@@ -187,7 +320,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> Da
     def run(batches):
         coder = codec(path, pattern)
         for batch in batches:
-            rows = [one(coder, t.as_py().decode()) for t in as_bytes(batch.column(text))]
+            rows = [one(coder, parts) for parts in coder.encode_all(as_bytes(batch.column(text)))]
             batch = batch.drop_columns([text])
             kinds = (pa.int64(), pa.string(), pa.string())
             for i, (name, kind) in enumerate(zip(_round_trip_of, kinds)):
