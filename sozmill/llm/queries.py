@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, licenses, sharding
+from . import bpe, decontaminate, divergence, licenses, sharding
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -19,6 +19,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
 
 
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the divergence rules for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = divergence.verdicts(docs, divergence.references(docs))
+    return found.select(
+        "doc_id", *divergence.BASE, "base_failed", "kept", "class_distance", "word_distance")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,4 +69,4 @@ def shipped(query):
 
 def queries() -> dict:
     return {f.__name__: shipped(f) for f in (
-        op2_byte_bpe, op5_decontamination, op7_minimax_shards, op10_license_scan)}
+        op2_byte_bpe, op3_divergence_rules, op5_decontamination, op7_minimax_shards, op10_license_scan)}
