@@ -25,9 +25,10 @@ COMMON_LENGTH = 5
 #: A language has its own reference from this share of all words; others share the pooled one.
 LEAST_SHARE = 1 / 256
 POOLED = "*"
-#: Distances beyond these reject; the guards are the lengths from which a rule holds.
-MAX_CLASS_DISTANCE, GUARD_CHARS = 0.30, 200
-MAX_WORD_DISTANCE, GUARD_WORDS = 0.45, 100
+#: A distance beyond ``limit + slack / sqrt(length)`` rejects, as histograms of short texts are noisy.
+#: The guards are the lengths, in characters or words, from which a rule holds at all.
+CLASS_LIMIT, CLASS_SLACK, GUARD_CHARS = 0.20, 1.2, 200
+WORD_LIMIT, WORD_SLACK, GUARD_WORDS = 0.18, 1.0, 60
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -193,7 +194,11 @@ def verdicts(docs: DataFrame, reference: DataFrame, text: str = "text", lang: st
         "base_failed": (F.col("n_words") < MIN_WORDS) | (
             100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")),
     })
-    return far.withColumn("kept", ~F.col("base_failed") & (
-        F.coalesce(F.col("class_distance") <= MAX_CLASS_DISTANCE, F.lit(True))) & (
-        F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))).drop(
+
+    def near(name, limit, slack, length):
+        return F.coalesce(F.col(name) <= limit + slack / F.sqrt(length), F.lit(True))
+
+    return far.withColumn(
+        "kept", ~F.col("base_failed") & near("class_distance", CLASS_LIMIT, CLASS_SLACK, "word_chars")
+        & near("word_distance", WORD_LIMIT, WORD_SLACK, "n_words")).drop(
         "__hashes", "__classes", "__counts", "ref_classes", "ref_words", "ref_counts")

@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, divergence, licenses, sharding
+from . import bpe, decontaminate, divergence, language, licenses, sharding
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,6 +37,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a third of them is held out from the fit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    model = language.fit(docs.filter(~held_out))
+    found = language.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard, of 16 that are as even in bytes as equal texts allow."""
     placed = sharding.shard(table(spark, sf_dir, "documents"), 16)
@@ -69,4 +78,5 @@ def shipped(query):
 
 def queries() -> dict:
     return {f.__name__: shipped(f) for f in (
-        op2_byte_bpe, op3_divergence_rules, op5_decontamination, op7_minimax_shards, op10_license_scan)}
+        op2_byte_bpe, op3_divergence_rules, op5_decontamination, op6_language_id,
+        op7_minimax_shards, op10_license_scan)}
