@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, divergence, language, licenses, sharding
+from . import bpe, decontaminate, divergence, jaccard, language, licenses, sharding
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -27,6 +27,12 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *divergence.BASE, "base_failed", "kept", "class_distance", "word_distance")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group and number of links by five-word Jaccard similarity of 0.8 or more."""
+    found = jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,5 +84,5 @@ def shipped(query):
 
 def queries() -> dict:
     return {f.__name__: shipped(f) for f in (
-        op2_byte_bpe, op3_divergence_rules, op5_decontamination, op6_language_id,
-        op7_minimax_shards, op10_license_scan)}
+        op2_byte_bpe, op3_divergence_rules, op4_ngram_jaccard_join,
+        op5_decontamination, op6_language_id, op7_minimax_shards, op10_license_scan)}
