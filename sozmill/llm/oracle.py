@@ -26,5 +26,21 @@ FROM w LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
 
+OP8 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, coalesce(html, '') AS body,
+    unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS bits FROM pages),
+d AS (SELECT page_id, n, list_aggregate(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+      + 16 * substr(bits, (5 * i + 1)::INT, 1)::INT + 8 * substr(bits, (5 * i + 2)::INT, 1)::INT
+      + 4 * substr(bits, (5 * i + 3)::INT, 1)::INT + 2 * substr(bits, (5 * i + 4)::INT, 1)::INT
+      + substr(bits, (5 * i + 5)::INT, 1)::INT, 1)), 'string_agg', '') AS digest,
+    max(page_id) OVER (PARTITION BY body) AS top FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5}
+    return {"op5_decontamination": OP5, "op8_arc_to_warc": OP8}

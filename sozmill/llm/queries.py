@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, divergence, jaccard, language, licenses, sharding
+from . import archives, bpe, decontaminate, divergence, jaccard, language, licenses, sharding
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -60,6 +60,12 @@ def op7_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the WARC record that its ARC record became, read back."""
+    return archives.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and license detections of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -85,4 +91,5 @@ def shipped(query):
 def queries() -> dict:
     return {f.__name__: shipped(f) for f in (
         op2_byte_bpe, op3_divergence_rules, op4_ngram_jaccard_join,
-        op5_decontamination, op6_language_id, op7_minimax_shards, op10_license_scan)}
+        op5_decontamination, op6_language_id, op7_minimax_shards,
+        op8_arc_to_warc, op10_license_scan)}
