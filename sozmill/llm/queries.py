@@ -7,12 +7,19 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import archives, bpe, decontaminate, divergence, jaccard, language, licenses, sharding
+from . import archives, bpe, cotraining, decontaminate, divergence, jaccard, language, licenses, sharding
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its text and its metadata."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
+    return cotraining.score(docs, model).select("doc_id", "text_score", "metadata_score", "score", "kept")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes decoded from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -90,6 +97,6 @@ def shipped(query):
 
 def queries() -> dict:
     return {f.__name__: shipped(f) for f in (
-        op2_byte_bpe, op3_divergence_rules, op4_ngram_jaccard_join,
+        op1_cotrained_quality, op2_byte_bpe, op3_divergence_rules, op4_ngram_jaccard_join,
         op5_decontamination, op6_language_id, op7_minimax_shards,
         op8_arc_to_warc, op10_license_scan)}
