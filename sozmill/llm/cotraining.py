@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import as_bytes, slices, stored, with_fields
+from .logistic import Linear, fit_logistic, probability
 from .words import find_words, mix, row_shingles
 
 #: Bound of the labelled rows that are fitted on, on average over hashes of the ids.
@@ -28,7 +29,6 @@ ROUNDS = 3
 SURE = 0.97
 #: One labelled document in so many is kept for the calibration.
 CALIBRATION = 4
-RIDGE = 1.0
 KEEP = 0.5
 
 HASHED_WORDS, HASHED_METADATA = 128, 32
@@ -101,41 +101,6 @@ def metadata_view(columns: list[pa.Array]) -> np.ndarray:
     return np.concatenate(parts, axis=1) if parts else np.zeros((0, 0), dtype=np.float32)
 
 
-@dataclass
-class Linear:
-    """Logistic regression on scaled features."""
-
-    weights: np.ndarray
-    bias: float
-
-    def logits(self, features: np.ndarray) -> np.ndarray:
-        return features @ self.weights + self.bias
-
-
-def fit_logistic(features: np.ndarray, label: np.ndarray, ridge: float = RIDGE, rounds: int = 25) -> Linear:
-    """Newton's method with a ridge on standardised features."""
-    middle, scale = features.mean(axis=0), features.std(axis=0)
-    scale = np.where(scale < 1e-6, np.inf, scale)
-    x = np.concatenate([(features - middle) / scale, np.ones((len(features), 1))], axis=1).astype(np.float64)
-    penalty = np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-6
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (label - p) - penalty * w
-        hessian = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(hessian, gradient)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    weights = w[:-1] / scale
-    return Linear(weights.astype(np.float32), float(w[-1] - middle @ weights))
-
-
-def probability(logits: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(logits.astype(np.float64), -30, 30)))
-
-
 @dataclass
 class CoModel:
     """A calibrated classifier on each view and the model that joins them."""

@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import stored
+
 # Fixed values of the contract.
 SPACES = "[\\x20\\x09-\\x0D]+"
 NOT_SYMBOLS = "[^#*$%&|<>]+"
@@ -128,7 +130,8 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     """
     spark = docs.sparkSession
     content = F.coalesce(F.col(text), F.lit(""))
-    totals = (
+    # A row for each language, read once from the texts.
+    totals = stored(
         docs.select(F.col(lang).alias("lang"), classes(content).alias("c"), F.size(words_of(F.col(text))).alias("n"))
         .groupBy("lang")
         .agg(F.sum("n").alias("n"), *[F.sum(F.get("c", k)).alias(f"c{k}") for k in range(len(CLASSES) + 1)])

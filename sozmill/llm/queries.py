@@ -7,7 +7,7 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import archives, bpe, cotraining, decontaminate, divergence, jaccard, language, licenses, sharding
+from . import archives, bpe, cotraining, decontaminate, divergence, extraction, jaccard, language, licenses, sharding
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,6 +73,12 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, extraction.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and license detections of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -99,4 +105,4 @@ def queries() -> dict:
     return {f.__name__: shipped(f) for f in (
         op1_cotrained_quality, op2_byte_bpe, op3_divergence_rules, op4_ngram_jaccard_join,
         op5_decontamination, op6_language_id, op7_minimax_shards,
-        op8_arc_to_warc, op10_license_scan)}
+        op8_arc_to_warc, op9_html_main_text, op10_license_scan)}
