@@ -34,6 +34,8 @@ RECORD_FIELDS = (
     "http binary, payload binary, page_id long, digest string, truncated boolean")
 CHUNK = 1 << 20
 _MISSING = "-"
+# The text sink: its rows are the records, their last line feed is its separator.
+_SINK = {"lineSep": "\n", "compression": "gzip"}
 
 
 def base32_sha1(data: bytes) -> str:
@@ -165,8 +167,8 @@ def write_arc(pages: DataFrame, path: str, id: str, url: str, html: str, date: s
             yield _lines(first)
             first = []
 
-    pages.select(F.col(id).cast("long"), F.col(url).cast("string"), html).mapInArrow(run, "value string").write.text(
-        path, lineSep="\n", compression="gzip")
+    lines = pages.select(F.col(id).cast("long"), F.col(url).cast("string"), html).mapInArrow(run, "value string")
+    lines.write.option("zlib.compress.level", "BEST_SPEED").text(path, **_SINK)
 
 
 def read_arc(spark, path: str) -> DataFrame:
@@ -274,7 +276,7 @@ def convert(records: DataFrame, path: str, least: int = 0) -> None:
             first = []
 
     with_originals(records, least).mapInArrow(run, "value string").write.text(
-        path, lineSep="\n", compression="gzip")
+        path, **_SINK)
 
 
 def warc_records(content: bytes, name: str = "") -> Iterator[tuple[dict[str, str], bytes]]:

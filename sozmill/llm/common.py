@@ -10,9 +10,10 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # A slice of a batch that is turned into numpy arrays at once.
 SLICE_BYTES = 4 << 20
@@ -109,3 +110,30 @@ def ship(spark: SparkSession) -> None:
         for path in sorted((root / "sozmill").rglob("*.py")):
             out.write(path, path.relative_to(root))
     context.addPyFile(str(archive))
+
+
+def in_bits(values: DataFrame, column: str):
+    """A function of a 64-bit column: may its value be in ``values``? By a filter of fixed size."""
+    shared = values.sparkSession.sparkContext.broadcast(filter_bits(values.select(column), column))
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(shared.value, keys.to_numpy()))
+
+    return maybe
+
+
+def without(docs: DataFrame, key: Column, gone: DataFrame, once: DataFrame | None = None) -> DataFrame:
+    """Rows of ``docs`` whose 64-bit key is not in ``gone``, a stored table with a column ``key``.
+
+    Of the rows with a key in ``once`` a single one stays. Rows that a filter of
+    fixed size clears pass as they are; only the others are shuffled.
+    """
+    touched = gone.select("key") if once is None else gone.select("key").unionByName(once.select("key"))
+    maybe = in_bits(touched, "key")
+    keyed = docs.withColumn("__key", key)
+    rest = keyed.filter(maybe("__key")).join(
+        gone.select(F.col("key").alias("__key")).distinct(), "__key", "left_anti")
+    if once is not None:
+        rest = rest.dropDuplicates(["__key"])
+    return keyed.filter(~maybe("__key")).unionByName(rest).drop("__key")

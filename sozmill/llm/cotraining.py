@@ -31,6 +31,9 @@ SURE = 0.97
 CALIBRATION = 4
 KEEP = 0.5
 
+#: Fewer labels of a kind than this, in what is fitted or what is calibrated on, make no model.
+LEAST = 5
+
 HASHED_WORDS, HASHED_METADATA = 128, 32
 _LENGTH_BINS = 8
 # Classes of bytes for the text view: lower, upper, digit, blank, line end, point, symbol, other.
@@ -146,6 +149,18 @@ def _hash_share(rows: DataFrame, count: int, bound: int) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64("key", F.lit("share")), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
+def _of_keys(known: DataFrame, keys: np.ndarray, wanted: bool) -> DataFrame:
+    """Rows whose key is in a bounded array, or is not."""
+    shared = known.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches):
+        for batch in batches:
+            found = np.isin(batch.column(0).to_numpy(), shared.value)
+            yield batch.filter(pa.array(found == wanted))
+
+    return known.mapInArrow(run, known.schema)
+
+
 def _sure(known: DataFrame, model: CoModel) -> DataFrame:
     """``known`` rows of which a view is sure, with that view and its verdict."""
     shared = known.sparkSession.sparkContext.broadcast(model)
@@ -168,25 +183,25 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         metadata: tuple[str, ...] = ("lang", "source", "n_chars"), label: str = "quality") -> CoModel | None:
     """The model of ``docs`` that have a ``label`` of 0 or 1 in ``labels``.
 
-    None where one of the two labels is missing: nothing can be told apart then. Several labels
+    None where there are fewer than ``LEAST`` of either label: nothing can be told apart then. Several labels
     of an id are averaged, null ones left out; ids without a document do nothing. About
     ``LABELLED`` labelled rows are fitted on, and ``EXCHANGED`` pseudo-labels for each view,
     verdict and round; all documents are scored for those.
     """
-    truth = labels.groupBy(F.xxhash64(id).alias("key")).agg(F.avg(label).alias("label")).filter("label is not null")
+    truth = stored(labels.groupBy(F.xxhash64(id).alias("key")).agg(F.avg(label).alias("label")).filter(
+        "label is not null"))
     known = stored(views(docs.filter(F.col(id).isNotNull()), F.xxhash64(id), text, list(metadata)))
-    labelled = known.join(truth, "key").withColumn("label", (F.col("label") >= 0.5).cast("int"))
-    total = labels.filter(F.col(label).isNotNull()).count()
-    rows = _hash_share(labelled, total, LABELLED).dropDuplicates(["key"]).toArrow()
-    y = np.array(rows.column("label").to_pylist(), dtype=np.float64)
-    key = np.array(rows.column("key").to_pylist(), dtype=np.int64)
-    order = np.argsort(key)
-    y, key = y[order], key[order]
-    x = [_matrix(rows.column(name))[order] if len(y) else None for name in ("text_view", "metadata_view")]
+    sample = _hash_share(truth, truth.count(), LABELLED).toArrow().sort_by("key")
+    key, y = (sample.column(name).to_numpy() for name in ("key", "label"))
+    rows = _of_keys(known, key, True).dropDuplicates(["key"]).toArrow().sort_by("key")
+    found = rows.column("key").to_numpy()
+    y = (y[np.searchsorted(key, found)] >= 0.5).astype(float)
+    key = found
+    x = [_matrix(rows.column(name)) if len(key) else None for name in ("text_view", "metadata_view")]
     held = mix(key.astype(np.uint64)) % np.uint64(CALIBRATION) == 0
-    if min((y[held] == 0).sum(), (y[held] == 1).sum(), (y[~held] == 0).sum(), (y[~held] == 1).sum()) < 1:
+    if min((y[part] == kind).sum() for part in (held, ~held) for kind in (0, 1)) < LEAST:
         return None
-    unlabelled = known.join(truth.select("key"), "key", "left_anti")
+    unlabelled = _of_keys(known, key, False)
     extra = [(x[view][:0], y[:0]) for view in (0, 1)]  # what each view was given
     for turn in range(ROUNDS + 1):
         fitted = tuple(

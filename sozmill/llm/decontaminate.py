@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, filter_bits, in_filter, slices, stored, with_fields
+from .common import as_bytes, filter_bits, in_filter, slices, stored, with_fields, without
 from .words import find_words, row_shingles, shingles
 
 WINDOW = 10
@@ -183,3 +183,10 @@ def contamination(
         "spans": F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,stop:int>>)")),
         "items": F.coalesce("items", F.expr("cast(array() as array<string>)")),
     })
+
+
+def clean(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` in which no word is hit; the others go as a whole."""
+    key = F.xxhash64(id, text)
+    found = contamination(docs.select(key.alias("key"), text), items, text, **options)
+    return without(docs, key, stored(found.filter("n_hit > 0").select("key").distinct()))

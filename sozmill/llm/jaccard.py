@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, filter_bits, in_filter, slices, stored, with_fields
+from .common import as_bytes, filter_bits, in_filter, slices, stored, with_fields, without
 from .words import find_words, mix, shingles
 
 NGRAM, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9995, 64
@@ -289,6 +289,17 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: flo
         F.col("copies").alias("n_copies"), (F.col("group") == order).alias("keeper"))
 
 
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group that hangs together: the one with the least id.
+
+    Rows that repeat id and text are one document.
+    """
+    found = join(docs, id, text, **options).select(F.xxhash64(id, "text_hash").alias("key"), "keeper")
+    counts = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bool_or("keeper").alias("keeper"))
+    marked = stored(counts.filter("n > 1 or not keeper"))
+    return without(docs, F.xxhash64(id, F.xxhash64(text)), marked.filter("not keeper"), marked.filter("keeper"))
+
+
 def linked(known: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Links among classes: ``cls, links, other``, in parts that add up."""
     rep = F.xxhash64("first.id", "first.text_hash")
