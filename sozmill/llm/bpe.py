@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame
 from .common import as_bytes, slices, with_fields
 
 # Matches that were encoded are kept up to twice this many, for each worker.
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 17
 # Matches of up to so many bytes are merged in batches.
 WIDTHS = (8, 16, 32)
 # Longer texts are split piece by piece, not into one list.
-LIST_CHARS = 1 << 20
+LIST_CHARS = 1 << 19
 PIECES_AT_ONCE = 1 << 15
 NONE = 1 << 62
 _EMPTY = np.zeros(0, dtype=np.int32)

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # A slice of a batch that is turned into numpy arrays at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Bits of the fixed-size filters below; their size never follows the data.
 FILTER_BITS = 23
 

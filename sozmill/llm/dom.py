@@ -40,6 +40,7 @@ _TAG = re.compile(
     r"|/[^a-zA-Z>][^>]*(?:>|\Z)|/>)", re.S)
 _NAMES = re.compile(r"(?i)\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _LABEL = re.compile(r"(?i)\bdata-label\s*=\s*[\"']?([01])")
+_OPEN_QUOTE = re.compile(r"=\s*(?:\"[^\"]*|'[^']*)\Z")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -99,7 +100,7 @@ def parse(source: str) -> Page:
                         break
             continue
         name = name.lower()
-        if not match[0].endswith(">"):
+        if not match[0].endswith(">") or _OPEN_QUOTE.search(match["rest"]) and not source.count(">", at):
             break  # cut off by the end of the page
         if name in RAW:
             end = re.compile(f"(?i)</{name}(?=[\\s/>])[^>]*>?").search(source, at)
