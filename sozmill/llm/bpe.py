@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from .common import as_bytes, slices, with_fields
 
-# Matches that were encoded are kept up to twice this many, for each worker.
+# Matches that were encoded are kept up to twice this many, for each task.
 CACHE_ENTRIES = 1 << 17
 # Matches of up to so many bytes are merged in batches.
 WIDTHS = (8, 16, 32)
@@ -255,6 +255,10 @@ class Codec:
             for part in parts:
                 yield [self.encode_known(part)]
 
+    def forget(self) -> None:
+        """Leave nothing but the ranks in a worker that waits for another task."""
+        self.known, self.older = Known(self.ranks), Known(self.ranks)
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -280,6 +284,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
             ids = pa.array([np.concatenate([_EMPTY, *parts]) for parts in coder.encode_all(
                 as_bytes(batch.column(text)))], pa.list_(pa.int32()))
             yield batch.drop_columns([text]).append_column("token_ids", ids)
+        coder.forget()
 
     others = df.drop(text, "token_ids")
     return df.select(*others.columns, text).mapInArrow(
@@ -326,6 +331,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> Da
             for i, (name, kind) in enumerate(zip(_round_trip_of, kinds)):
                 batch = batch.append_column(name, pa.array([r[i] for r in rows], kind))
             yield batch
+        coder.forget()
 
     others = df.drop(text, *_round_trip_of)
     return df.select(*others.columns, text).mapInArrow(run, with_fields(

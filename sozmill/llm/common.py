@@ -10,7 +10,6 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -116,9 +115,9 @@ def in_bits(values: DataFrame, column: str):
     """A function of a 64-bit column: may its value be in ``values``? By a filter of fixed size."""
     shared = values.sparkSession.sparkContext.broadcast(filter_bits(values.select(column), column))
 
-    @F.pandas_udf("boolean")
-    def maybe(keys: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(shared.value, keys.to_numpy()))
+    @F.arrow_udf("boolean")
+    def maybe(keys: pa.Array) -> pa.Array:
+        return pa.array(in_filter(shared.value, keys.to_numpy()))
 
     return maybe
 

@@ -149,28 +149,29 @@ def _hash_share(rows: DataFrame, count: int, bound: int) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64("key", F.lit("share")), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def _of_keys(known: DataFrame, keys: np.ndarray, wanted: bool) -> DataFrame:
-    """Rows whose key is in a bounded array, or is not."""
+def _of_keys(known: DataFrame, keys: np.ndarray) -> DataFrame:
+    """Rows whose key is in a bounded array."""
     shared = known.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches):
         for batch in batches:
-            found = np.isin(batch.column(0).to_numpy(), shared.value)
-            yield batch.filter(pa.array(found == wanted))
+            yield batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), shared.value)))
 
     return known.mapInArrow(run, known.schema)
 
 
-def _sure(known: DataFrame, model: CoModel) -> DataFrame:
-    """``known`` rows of which a view is sure, with that view and its verdict."""
-    shared = known.sparkSession.sparkContext.broadcast(model)
+def _sure(known: DataFrame, model: CoModel, labelled: np.ndarray) -> DataFrame:
+    """``known`` rows of which a view is sure, with that view and its verdict; ``labelled`` keys left out."""
+    shared = known.sparkSession.sparkContext.broadcast((model, labelled))
 
     def run(batches):
+        fitted, keys = shared.value
         for batch in batches:
+            batch = batch.filter(pa.array(~np.isin(batch.column(0).to_numpy(), keys)))
             if not batch.num_rows:
                 continue
             for view in (0, 1):
-                p = probability(shared.value.calibrated(view, _matrix(batch.column(1 + view))))
+                p = probability(fitted.calibrated(view, _matrix(batch.column(1 + view))))
                 mask = (p >= SURE) | (p <= 1 - SURE)
                 part = batch.filter(pa.array(mask))
                 part = part.append_column("view", pa.array(np.full(part.num_rows, view, dtype=np.int32)))
@@ -193,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     known = stored(views(docs.filter(F.col(id).isNotNull()), F.xxhash64(id), text, list(metadata)))
     sample = _hash_share(truth, truth.count(), LABELLED).toArrow().sort_by("key")
     key, y = (sample.column(name).to_numpy() for name in ("key", "label"))
-    rows = _of_keys(known, key, True).dropDuplicates(["key"]).toArrow().sort_by("key")
+    rows = _of_keys(known, key).dropDuplicates(["key"]).toArrow().sort_by("key")
     found = rows.column("key").to_numpy()
     y = (y[np.searchsorted(key, found)] >= 0.5).astype(float)
     key = found
@@ -201,7 +202,6 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     held = mix(key.astype(np.uint64)) % np.uint64(CALIBRATION) == 0
     if min((y[part] == kind).sum() for part in (held, ~held) for kind in (0, 1)) < LEAST:
         return None
-    unlabelled = _of_keys(known, key, False)
     extra = [(x[view][:0], y[:0]) for view in (0, 1)]  # what each view was given
     for turn in range(ROUNDS + 1):
         fitted = tuple(
@@ -211,15 +211,15 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         model = CoModel(fitted, scales, Linear(np.ones(2, dtype=np.float32), 0.0))
         if turn == ROUNDS:
             break
-        extra = _exchange(unlabelled, model)
+        extra = _exchange(known, model, key)
     logits = np.stack([model.calibrated(view, x[view][held]) for view in (0, 1)], axis=1)
     model.joined = fit_logistic(logits, y[held])
     return model
 
 
-def _exchange(unlabelled: DataFrame, model: CoModel) -> list[tuple[np.ndarray, np.ndarray]]:
+def _exchange(known: DataFrame, model: CoModel, labelled: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features and pseudo-labels that each view is given by the other."""
-    sure = _sure(unlabelled, model)
+    sure = _sure(known, model, labelled)
     counts = {(r.view, r.verdict): r.n for r in
               sure.groupBy("view", "verdict").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:

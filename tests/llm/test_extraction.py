@@ -81,7 +81,7 @@ def test_odd_pages(session):
     pages = session.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     got = extraction.extract(pages, extraction.fit(pages)).collect()
     assert [r.text for r in sorted(got, key=lambda r: (r.page_id or 9))][:2] == ["", ""]
-    assert [r.n_chars for r in got if r.page_id is None] == [17 * 5000 - 1]
+    assert [r.n_chars for r in got if r.page_id is None] == [18 * 5000 - 1]
     assert extraction.extract(pages.limit(0), extraction.trained([])).count() == 0
 
 
