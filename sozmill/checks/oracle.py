@@ -450,8 +450,9 @@ def oracle_sql() -> dict[str, str]:
       SELECT source, source_ord, count(*) AS n, count(*) FILTER (WHERE has_label) AS labelled,
              sum(length(text))::BIGINT AS chars FROM rows_all GROUP BY source, source_ord"""
     sql["drop_blank"] = f"""WITH r AS (
-        SELECT page_id, CASE WHEN length(html) % 3 = 0 THEN chr(160) || chr(9) || '  '
-          WHEN length(html) % 3 = 1 THEN NULL ELSE html END AS text FROM pages)
+        SELECT page_id, html AS text FROM pages
+        UNION ALL SELECT page_id, chr(160) || chr(9) || '  ' FROM pages
+        UNION ALL SELECT page_id, NULL FROM pages)
       SELECT page_id, length(text) AS chars FROM r WHERE regexp_matches(text, '[^{S}]')"""
     sql["dedup_first_wins"] = """SELECT source, row_ord, lang, label FROM (
         SELECT d.source, d.doc_id AS row_ord, d.lang, coalesce(l.quality, -1) AS label,
@@ -459,6 +460,21 @@ def oracle_sql() -> dict[str, str]:
         FROM documents d LEFT JOIN labels l USING (doc_id)) WHERE n = 1"""
     sql["dedup_label_first"] = f"""WITH {FIRST}
       SELECT source, row_ord, v AS sentiment_value FROM first_rows"""
+    sql["dedup_large_order"] = f"""WITH {ROWS}, o AS (
+        SELECT *, CASE WHEN row_ord % 2 = 0 THEN 4611686018427387909 + row_ord
+          ELSE -4611686018427387904 - row_ord END AS big FROM rows_all
+        WHERE source = 'documents' AND has_label AND text IS NOT NULL)
+      SELECT source, big::BIGINT AS row_ord, v AS sentiment_value FROM (
+        SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY big) AS n FROM o) WHERE n = 1"""
+    sql["read_sources_rows"] = f"""
+      SELECT 'talk' AS source, 0 AS source_ord, row_number() OVER () - 1 AS row_ord, role IS NOT NULL AS has_label,
+        {tri('role')}::DOUBLE AS sentiment_value, length(text) AS chars FROM conversations
+      UNION ALL SELECT 'labels', 3, doc_id, quality IS NOT NULL,
+        CASE WHEN quality = 1 THEN 1.0 WHEN quality IS NOT NULL THEN 0.0 END, length(toxic::VARCHAR) FROM labels"""
+    sql["read_sources_status"] = """
+      SELECT 'talk' AS source, 'read' AS status, (SELECT count(*) FROM conversations) AS n
+      UNION ALL SELECT 'nothing', 'missing', 0 UNION ALL SELECT 'lacking', 'no columns', 0
+      UNION ALL SELECT 'labels', 'read', (SELECT count(*) FROM labels)"""
     sql["head_n_sentences"] = f"""WITH {ROWS} SELECT source, row_ord, text FROM (
         SELECT *, source_ord AS so FROM rows_all ORDER BY source_ord, row_ord LIMIT 700)"""
 
@@ -590,8 +606,19 @@ def oracle_sql() -> dict[str, str]:
       SELECT round(syn, 6) AS syn_mean, round(ant, 6) AS ant_mean,
         round(coalesce(syn - ant, -1.0), 6) AS separation,
         (SELECT round(avg(coverage), 6) FROM ({covered('source')})) AS coverage FROM m"""
+    sql["coverage_empty_source"] = f"""WITH {DOC_TOKENS}, {VECTORS.lstrip()},
+      m AS ({means('(' + pair_cosines() + ')')}),
+      some AS (SELECT * FROM tokens WHERE source <> 'src1'),
+      known AS (SELECT token AS word FROM some GROUP BY token HAVING count(*) >= 3),
+      cov AS (SELECT source, count(k.word)::DOUBLE / count(*) AS c
+              FROM some s LEFT JOIN known k ON k.word = s.token GROUP BY source)
+      SELECT round(syn, 6) AS syn_mean, round(ant, 6) AS ant_mean,
+        round(coalesce(syn - ant, -1.0), 6) AS separation,
+        (SELECT round(avg(coalesce(c, 0.0)), 6) FROM (SELECT DISTINCT source FROM clean_docs)
+         LEFT JOIN cov USING (source)) AS coverage FROM m"""
     sql["best_trial"] = f"""WITH {VECTORS},
-      sizes AS (SELECT unnest([16, 32, 48, 64]) AS size, unnest([0, 1, 2, 3]) AS trial),
+      sizes AS (SELECT DISTINCT trial, ceil(len(vector) * (trial + 1) / 4)::INT AS size
+                FROM vectors, (SELECT unnest([0, 1, 2, 3]) AS trial)),
       cut AS (SELECT trial, size, kind, {cos('x.vector[1:size]', 'y.vector[1:size]')} AS c
               FROM pairs p JOIN vectors x ON x.word = p.a JOIN vectors y ON y.word = p.b, sizes),
       scored AS (
@@ -621,4 +648,12 @@ def oracle_sql() -> dict[str, str]:
       UNION ALL SELECT NULL, 'coverage', (SELECT round(avg(c), 6) FROM cov),
                 (SELECT round(avg(c), 6) FROM cov)
       UNION ALL SELECT source, 'coverage', round(c, 6), round(c, 6) FROM cov"""
+    five = f"""{DOC_TOKENS}, five AS (
+        SELECT token AS word, count(*) AS cnt FROM tokens GROUP BY token HAVING count(*) >= 5)"""
+    sql["word2vec_vectors"] = f"WITH {five} SELECT word, 32 AS size, cnt FROM five"
+    sql["param_sweep"] = f"""WITH {five}, c AS (
+        SELECT avg(cov) AS cov FROM (SELECT source, count(v.word)::DOUBLE / count(*) AS cov
+          FROM tokens t LEFT JOIN five v ON v.word = t.token GROUP BY source))
+      SELECT trial, 2 + 2 * trial AS "window", 32 AS vector_size, round(cov, 9) AS coverage
+      FROM c, (SELECT unnest([0, 1]) AS trial)"""
     return sql

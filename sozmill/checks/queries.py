@@ -14,12 +14,11 @@ from ..operators.normalize import clean_text
 from ..operators.training import train_word2vec
 from ..plans import evaluate as E, tune as U
 from ..plans.clean import clean_rows, row_counts
-from ..plans.corpus import corpus_lines, of_domain
-from ..sources.tables import materialize, spread
+from ..plans.corpus import corpus_lines
+from ..sources.tables import SourceSpec, materialize, read_sources, spread
 from .snippets import SNIPPETS
 
 TRI_LABELS = ("pos", "neu", "neg", "müsbət", "2", "junk")
-DIM = 64
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -107,9 +106,11 @@ def union_sources(spark, sf):
 
 
 def drop_blank(spark, sf):
-    html, third = F.col("html"), F.length("html") % 3
-    text = F.when(third == 0, F.lit(chr(160) + "\t  ")).when(third == 2, html)
-    rows = table(spark, sf, "pages").select("page_id", text.alias("text")).na.drop(subset=["text"])
+    """All pages, and one blank and one null row for each."""
+    pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("text"))
+    blank = pages.select("page_id", F.lit(chr(160) + "\t  ").alias("text"))
+    none = pages.select("page_id", F.lit(None).cast("string").alias("text"))
+    rows = pages.unionByName(blank).unionByName(none).na.drop(subset=["text"])
     return rows.filter(R.has_text(F.col("text"))).select(
         "page_id", F.length("text").cast("long").alias("chars"))
 
@@ -127,6 +128,38 @@ def dedup_label_first(spark, sf):
     return R.first_labelled(kept).select("source", "row_ord", "sentiment_value")
 
 
+def dedup_large_order(spark, sf):
+    """Orders near the ends of the 64-bit range, and negative ones."""
+    order = F.when(F.col("doc_id") % 2 == 0, F.lit((1 << 62) + 5) + F.col("doc_id")).otherwise(
+        F.lit(-(1 << 62)) - F.col("doc_id"))
+    rows = R.drop_missing(rows_all(spark, sf).filter("source = 'documents'")).withColumnRenamed("row_ord", "doc_id")
+    return R.first_labelled(rows.withColumn("row_ord", order)).select("source", "row_ord", "sentiment_value")
+
+
+def source_specs(sf) -> list[SourceSpec]:
+    """Four specifications: two tables, one path with nothing, one table without the column."""
+    return [
+        SourceSpec("talk", f"{sf}/conversations.parquet", "text", "role", "tri"),
+        SourceSpec("nothing", f"{sf}/no-such-table.parquet"),
+        SourceSpec("lacking", f"{sf}/benchmark.parquet", "text", "sentiment", "tri"),
+        SourceSpec("labels", f"{sf}/labels.parquet", "toxic", "quality", "binary", order_col="doc_id"),
+    ]
+
+
+def read_sources_rows(spark, sf):
+    rows, _ = read_sources(spark, source_specs(sf))
+    return rows.select("source", "source_ord", "row_ord", "has_label", "sentiment_value",
+                       F.length("text").cast("long").alias("chars"))
+
+
+def read_sources_status(spark, sf):
+    """What became of each specification, with the rows it gave."""
+    rows, status = read_sources(spark, source_specs(sf))
+    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return status.join(counts, "source", "left").select(
+        "source", "status", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
 def head_n_sentences(spark, sf):
     return R.head(rows_all(spark, sf), 700).select("source", "row_ord", "text")
 
@@ -256,7 +289,7 @@ def corpus(spark, sf):
 
 
 def corpus_domain_filter(spark, sf):
-    return of_domain(corpus_lines(rows_all(spark, sf, texts)), "reviews").select("source", "row_ord", "value")
+    return corpus_lines(rows_all(spark, sf, texts), domain="reviews").select("source", "row_ord", "value")
 
 
 # --- tokens, vocabularies, coverage -------------------------------------------
@@ -284,6 +317,15 @@ def coverage_macro(spark, sf):
     return covered.select(F.round("coverage", 9).alias("coverage"))
 
 
+def coverage_empty_source(spark, sf):
+    """A source without tokens counts as 0 in the mean."""
+    cleaned = clean_docs(spark, sf)
+    counts = K.token_counts(cleaned.filter("source <> 'src1'"), ("source",))
+    groups = cleaned.select("source").distinct()
+    record = E.evaluate(word_vectors(spark, sf), counts, label_pairs(spark, sf), K.vocabulary(counts, 3), groups)
+    return rounded(record, "syn_mean", "ant_mean", "separation", "coverage")
+
+
 def stopword_candidates(spark, sf):
     return K.stopword_candidates(clean_docs(spark, sf)).select(
         "lang", "token", "docs", F.col("rank").cast("long").alias("rank"))
@@ -373,17 +415,18 @@ def evaluation_record(spark, sf):
 
 
 def best_trial(spark, sf):
-    """Trials that keep the first 16, 32, 48 or 64 components of each vector."""
-    vectors, pairs = word_vectors(spark, sf), label_pairs(spark, sf)
-    trial = F.posexplode(F.array(*[F.lit(n) for n in range(16, DIM + 1, 16)]))
+    """Trials that keep a quarter, half, three quarters or all of each vector's components."""
+    pairs = label_pairs(spark, sf)
+    trial = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("trial")
+    size = F.ceil(F.size("vector") * (F.col("trial") + 1) / 4).cast("int").alias("vector_size")
+    vectors = word_vectors(spark, sf)
+    cut = vectors.select("word", "vector", trial).select("word", "vector", "trial", size)
+    sizes = cut.select("trial", "vector_size").distinct()
     found = S.pair_similarities(
-        vectors.select("word", trial.alias("trial", "vector_size"), "vector").select(
-            F.concat_ws("@", "word", "trial").alias("word"), "trial", "vector_size",
-            F.slice("vector", 1, F.col("vector_size")).alias("vector")),
-        pairs.select("kind", F.col("a"), F.col("b"),
-                     trial.alias("trial", "vector_size")).select(
-            "kind", "trial", "vector_size", F.concat_ws("@", "a", "trial").alias("a"),
-            F.concat_ws("@", "b", "trial").alias("b")))
+        cut.select(F.concat_ws("@", "word", "trial").alias("word"), "trial", "vector_size",
+                   F.slice("vector", 1, F.col("vector_size")).alias("vector")),
+        pairs.join(sizes).select("kind", "trial", "vector_size", F.concat_ws("@", "a", "trial").alias("a"),
+                                 F.concat_ws("@", "b", "trial").alias("b")))
     means = S.pair_means(found, "trial", "vector_size")
     counts = pairs.select(F.lit("pairs").alias("source"), F.col("b").alias("token"),
                           F.lit(1).alias("cnt"))
@@ -409,7 +452,7 @@ def model_compare(spark, sf):
 
 # --- training ------------------------------------------------------------------
 
-TOY = dict(vector_size=16, window=3, min_count=5, epochs=1, seed=42, sample=None)
+TOY = dict(vector_size=32, window=3, min_count=5, epochs=1, seed=42, sample=None)
 
 
 def word2vec_vectors(spark, sf):
@@ -419,17 +462,18 @@ def word2vec_vectors(spark, sf):
 
 
 def param_sweep(spark, sf):
-    """Two trials over all documents; pairs are the commonest words."""
+    """Two trials over all documents, one of them thinned; pairs are the commonest words."""
     cleaned = materialize(clean_docs(spark, sf)).select(
         F.lit(0).alias("source_ord"), F.col("doc_id").alias("row_ord"), "source", "cleaned_text")
-    common = K.vocabulary(K.token_counts(cleaned, ()), 5).orderBy(F.desc("cnt"), "word").limit(8)
-    words = [r.word for r in common.select("word").collect()]
-    pairs = S.probe_pairs(spark, list(zip(words[0::4], words[1::4])), list(zip(words[2::4], words[3::4])))
-    trials = [{"trial": i, **TOY, "window": w} for i, w in enumerate((2, 4))]
-    for trial in trials:
-        del trial["sample"]
+    counts = K.vocabulary(K.token_counts(cleaned, ()), 5)
+    top = counts.orderBy(F.desc("cnt"), "word").limit(8).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("cnt") * -1, "word"))).alias("w"))
+    pairs = top.select(F.explode(F.array(*[
+        F.struct(F.lit("syn" if i % 2 == 0 else "ant").alias("kind"), F.get("w", 2 * i)["word"].alias("a"),
+                 F.get("w", 2 * i + 1)["word"].alias("b")) for i in range(4)])).alias("p")).select("p.*")
+    trials = [{"trial": i, **TOY, "window": 2 + 2 * i, "sample": (None, 0.001)[i]} for i in range(2)]
     return U.sweep(cleaned, pairs, trials, num_partitions=8).select(
-        "trial", "window", "separation", "coverage", "score")
+        "trial", "window", "vector_size", F.round("coverage", 9).alias("coverage"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -438,6 +482,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drop_blank": drop_blank,
         "dedup_first_wins": dedup_first_wins,
         "dedup_label_first": dedup_label_first,
+        "dedup_large_order": dedup_large_order,
+        "read_sources_rows": read_sources_rows,
+        "read_sources_status": read_sources_status,
         "head_n_sentences": head_n_sentences,
         "emoji_tags": doc_rule(X.map_emoji),
         "mojibake_repair": doc_rule(X.repair_encoding),
@@ -468,6 +515,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "coverage_by_source": coverage_by_source,
         "coverage_by_domain": coverage_by_domain,
         "coverage_macro": coverage_macro,
+        "coverage_empty_source": coverage_empty_source,
         "stopword_candidates": stopword_candidates,
         "subsample_tokens": subsample_tokens,
         "pair_cosine": pair_cosine,

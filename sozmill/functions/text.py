@@ -105,6 +105,11 @@ def nfc(text: Column) -> Column:
     )
 
 
+def may_compose(text: Column) -> Column:
+    """False only where NFC changes nothing: no character below U+0300 ever composes."""
+    return text.rlike(r"[\x{300}-\x{10FFFF}]")
+
+
 def has_wide(text: Column) -> Column:
     return text.rlike(r"[\x{FF01}-\x{FF5E}]")
 
@@ -140,7 +145,8 @@ def drop_control(text: Column) -> Column:
 
 def repair_encoding(text: Column) -> Column:
     """Repair common mojibake, wide forms, ligatures, controls; then NFC."""
-    return nfc(drop_control(narrow(split_ligatures(repair_mojibake(text)))))
+    out = drop_control(narrow(split_ligatures(repair_mojibake(F.coalesce(text, F.lit(""))))))
+    return F.when(may_compose(out), nfc(out)).otherwise(out)
 
 
 # --- T4-T9: markup, special items, hashtags --------------------------------

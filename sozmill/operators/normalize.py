@@ -47,11 +47,11 @@ def _start(df: DataFrame, text: str) -> DataFrame:
 
 
 def _repair(df: DataFrame) -> DataFrame:
-    """Encoding repair for odd rows, NFC for all."""
+    """Encoding repair for odd rows, NFC where a character may compose."""
     odd = F.col(_ODD)
     df = _apply(df, lambda t: odd, lambda t: X.split_ligatures(X.repair_mojibake(t)))
     df = _apply(df, lambda t: odd & X.has_wide(t), X.narrow)
-    return _set(_apply(df, lambda t: odd, X.drop_control), X.nfc)
+    return _apply(_apply(df, lambda t: odd, X.drop_control), X.may_compose, X.nfc)
 
 
 def _emoji(df: DataFrame, rule, rules: RulePack) -> DataFrame:
@@ -94,7 +94,7 @@ def _people_items(df: DataFrame, tag, rules: RulePack) -> DataFrame:
 
 def _lower(df: DataFrame, raw: Column) -> DataFrame:
     # Only a character reference can bring in a character to compose again.
-    df = _apply(df, lambda t: raw.contains("&"), X.nfc)
+    df = _apply(df, lambda t: raw.contains("&") & X.may_compose(t), X.nfc)
     return _set(df, X.lower_turkic)
 
 

@@ -28,41 +28,29 @@ def drop_missing(df: DataFrame, text: str = "text") -> DataFrame:
     return df.filter(F.col(text).isNotNull() & F.col("has_label"))
 
 
-# Sentiment values as small codes that ride along in the dedup key order.
-_CODES = ((None, 0), (0.0, 1), (0.5, 2), (1.0, 3))
-
-
-def _to_code(value: Column) -> Column:
-    out = F.when(value.isNull(), 0)
-    for number, code in _CODES[1:]:
-        out = out.when(value == number, code)
-    return out
-
-
-def _from_code(code: Column) -> Column:
-    out = None
-    for number, value in ((c, v) for v, c in _CODES[1:]):
-        out = F.when(code == number, value) if out is None else out.when(code == number, value)
-    return out
+#: Sentiment values that a label may have; null is one of them.
+_VALUES = (None, 0.0, 0.5, 1.0)
 
 
 def first_labelled(df: DataFrame) -> DataFrame:
     """First row for each text of a source, with that row's sentiment value.
 
-    The sentiment code sits in the two low bits below ``row_ord``, so the
-    first row and its label are one ``min`` over one long: a hash aggregate
-    that combines on the map side. However often a text is copied, each map
-    task sends it once, and the texts cross the network a single time.
+    One ``min(row_ord)`` for each sentiment value: four longs in a hash
+    aggregate that combines on the map side, for any order, negative ones
+    included. However often a text is copied, each map task sends it once, and
+    the texts cross the network a single time. Rows of equal order and different
+    values take null before 0 before 0.5 before 1.
     """
-    packed = F.shiftleft(F.col("row_ord"), 2) + _to_code(F.col("sentiment_value"))
-    first = df.groupBy("source", "source_ord", "text").agg(F.min(packed).alias("__first"))
-    return first.select(
-        "source",
-        "source_ord",
-        F.shiftright("__first", 2).alias("row_ord"),
-        "text",
-        _from_code(F.col("__first").bitwiseAND(F.lit(3).cast("long"))).alias("sentiment_value"),
-    )
+    value = F.col("sentiment_value")
+    firsts = [F.min(F.when(value.isNull() if v is None else value == v, F.col("row_ord"))).alias(f"__{i}")
+              for i, v in enumerate(_VALUES)]
+    found = df.groupBy("source", "source_ord", "text").agg(*firsts)
+    first = F.least(*[f"__{i}" for i in range(len(_VALUES))])
+    chosen = F.when(F.col("__0") == first, F.lit(None).cast("double"))
+    for i, v in enumerate(_VALUES[1:], 1):
+        chosen = chosen.when(F.col(f"__{i}") == first, F.lit(v))
+    return found.select(
+        "source", "source_ord", first.alias("row_ord"), "text", chosen.alias("sentiment_value"))
 
 
 def first_rows(df: DataFrame, keys, order: str, within=()) -> DataFrame:
@@ -85,13 +73,49 @@ def first_rows(df: DataFrame, keys, order: str, within=()) -> DataFrame:
     return df.join(first, [*within, order], "left_semi")
 
 
+#: A range of an order column is counted in so many parts at a time.
+HEAD_PARTS = 4096
+
+
 def head(df: DataFrame, n: int, order=("source_ord", "row_ord")) -> DataFrame:
     """The first ``n`` rows in ingest order, in no particular order.
 
-    Only the order columns go through the top-n; the rows themselves are then
-    kept where they are, up to the last place. The order must be unique, as
-    ``source_ord, row_ord`` is, and cheap to read, as in a stored table.
+    The place of the cut is found by counts over ranges of the order columns,
+    which must be integers without nulls and unique together, as ``source_ord,
+    row_ord`` is. A count has ``HEAD_PARTS`` rows at most, however large ``n``
+    and the table are; nothing is sorted, and the rows stay where they are.
     """
-    first = df.select(*order).orderBy(*order).limit(n)
-    last = first.agg(F.max(F.struct(*order))).scalar()
-    return df.filter(F.struct(*order) <= last)
+    if n <= 0:
+        return df.limit(0)
+    rest, inside, kept = df.select(*order), n, None
+    same = F.lit(True)
+    for column in order:
+        found = _cut(rest, column, inside)
+        if found is None:  # fewer rows than n
+            return df
+        value, before = found
+        part = same & (F.col(column) < value)
+        kept = part if kept is None else kept | part
+        same = same & (F.col(column) == value)
+        rest, inside = rest.filter(F.col(column) == value), inside - before
+    return df.filter(kept | same)
+
+
+def _cut(df: DataFrame, column: str, n: int) -> tuple[int, int] | None:
+    """The value that holds the ``n``-th row, and how many rows lie before it."""
+    low, high, total = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
+    if total < n:
+        return None
+    before = 0
+    while low < high:
+        width = -(-(high - low + 1) // HEAD_PARTS)
+        # Wide ranges pass the longs, so the distance is taken as a decimal.
+        place = F.expr(f"(cast(`{column}` as decimal(20,0)) - {low}) div {width}")
+        counts = dict(df.filter(F.col(column).between(low, high)).groupBy(place.alias("p"))
+                      .agg(F.count(F.lit(1))).collect())
+        for part in sorted(counts):
+            if before + counts[part] >= n:
+                break
+            before += counts[part]
+        low, high = low + int(part) * width, min(high, low + (int(part) + 1) * width - 1)
+    return low, before

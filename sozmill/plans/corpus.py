@@ -9,15 +9,18 @@ from ..functions.rules import OBSERVED, RulePack
 from ..operators.normalize import clean_sentences
 
 
-def corpus_lines(rows: DataFrame, rules: RulePack = OBSERVED) -> DataFrame:
+def corpus_lines(rows: DataFrame, rules: RulePack = OBSERVED, domain: str | None = None) -> DataFrame:
     """``value`` holds one tagged line for each sentence; copies are kept.
 
     Only rows without text are left out: no dedup, no label needed. There is
-    no shuffle at all.
+    no shuffle at all. With a ``domain`` only its texts are cleaned: the domain is
+    known before.
     """
     texts = rows.filter(F.col("text").isNotNull()).select(
         "source", "source_ord", "row_ord", "text", detect_domain(F.col("text")).alias("domain")
     )
+    if domain is not None:
+        texts = texts.filter(F.col("domain") == domain)
     sentences = clean_sentences(texts, rules=rules, domain="domain")
     # Neither rule set leaves punctuation or more than single spaces, so there
     # is nothing left to strip and no line can become empty.

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.coverage import coverage, macro_coverage
+from ..operators.coverage import coverage, macro_coverage, with_all_groups
 from ..operators.similarity import pair_means, pair_similarities
 from ..operators.subwords import subword_vectors
 
@@ -19,14 +19,20 @@ def evaluate(
     counts: DataFrame,
     pairs: DataFrame,
     vocab: DataFrame | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """One row: ``syn_mean, ant_mean, separation, coverage``.
 
+    ``groups`` lists all sources; those without a token then count as 0.
+
     ``vocab`` is the exact vocabulary for coverage where ``vectors`` also holds
     composed words.
     """
     means = pair_means(pair_similarities(vectors, pairs))
-    covered = macro_coverage(coverage(counts, vectors if vocab is None else vocab))
+    covered = coverage(counts, vectors if vocab is None else vocab)
+    if groups is not None:
+        covered = with_all_groups(covered, groups)
+    covered = macro_coverage(covered)
     return means.withColumn("coverage", covered.scalar())
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.rows import head
 from ..operators.tokens import token_counts
 from ..operators.training import train_word2vec
+from ..sources.params import SUBWORD_DEFAULTS, WORD2VEC_DEFAULTS
 from ..sources.tables import require_rows
 from .evaluate import best_trial, evaluate, evaluate_subwords, score
 
@@ -20,6 +21,7 @@ SPACE = dict(
 SUBWORD_SPACE = dict(SPACE, min_n=(3, 4, 1), max_n=(5, 6, 1))
 SAMPLE_RANGE = (1e-5, 1e-3)
 TRIALS = 20
+# The first so many sentences are the documented budget; a caller that wants them passes it.
 HEAD_SENTENCES = 200_000
 
 
@@ -42,15 +44,14 @@ def sweep(
     pairs: DataFrame,
     trials: list[dict],
     model: str = "word2vec",
-    key: str | None = None,
     order=("source_ord", "row_ord"),
-    limit: int | None = HEAD_SENTENCES,
+    limit: int | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Fit and score every trial on the head of the corpus.
+    """Fit and score every trial.
 
-    The sentences for training are cut to the head, as documented for tuning;
-    coverage is measured on all of ``cleaned``. The token counts are made once
+    Trains on all of ``cleaned``, or on its first ``limit`` rows if the caller asks for
+    that; coverage is measured on all of it. The token counts are made once
     and shared by all trials. Only one row for each trial reaches the driver.
     """
     sentences = cleaned if limit is None else head(cleaned, limit, order)
@@ -59,10 +60,10 @@ def sweep(
     counts = token_counts(cleaned, ("source",)).cache()
     rows = []
     for trial in trials:
-        params = {k: v for k, v in trial.items() if k not in ("trial", "min_n", "max_n")}
+        base = WORD2VEC_DEFAULTS if model == "word2vec" else SUBWORD_DEFAULTS
+        params = {k: v for k, v in {**base, **trial}.items() if k not in ("trial", "min_n", "max_n")}
         vectors = train_word2vec(
-            sentences, params, key=key, counts=train_counts, num_partitions=num_partitions
-        )
+            sentences, params, counts=train_counts, num_partitions=num_partitions)
         if model == "word2vec":
             record = evaluate(vectors, counts, pairs)
         else:

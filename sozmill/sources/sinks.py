@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 
-def write_two_column(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+def write_two_column(df: DataFrame, path: str, fmt: str = "parquet", bare: bool = False) -> int:
     """Write ``(cleaned_text, sentiment_value)`` by source; return the row count.
 
-    The rows are counted while they are written, so there is no second pass.
+    The order and the domain of the rows go along, as training on a head and
+    metrics by domain need them; ``bare`` leaves just the two columns. The rows
+    are counted while they are written, so there is no second pass.
     """
     seen = Observation()
+    more = [] if bare else [c for c in ("source_ord", "row_ord", "domain") if c in df.columns]
     (
-        df.select("source", "cleaned_text", "sentiment_value")
+        df.select("source", "cleaned_text", "sentiment_value", *more)
         .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .partitionBy("source")

@@ -73,26 +73,18 @@ def read_table(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
         raise
 
 
-# Offsets are one small row for each file or split; more than this many are
-# joined by a shuffle instead of a broadcast.
-MAX_BROADCAST_OFFSETS = 500_000
-
-
 def with_row_order(df: DataFrame, name: str = "row_ord", fmt: str = "parquet") -> DataFrame:
     """Number the rows of a file-backed table in file order.
 
     Parquet knows the place of a row in its file; other formats are numbered
     inside each split as they are read. Rows are counted for each file or
-    split, and that small table gives the offsets, so there is no sort and no
-    shuffle of the rows.
+    split, and that small table gives the offsets: sums inside ranges of files,
+    and over the ranges. There is no sort and no shuffle of the rows, and no
+    task sees all files.
     """
     if fmt == "parquet":
-        files = len(df.inputFiles())
-        if files == 1:
-            return df.select("*", F.col("_metadata.row_index").alias(name))
         keys, place = ["__file"], F.col("_metadata.row_index")
     else:
-        files = None
         keys, place = ["__file", "__block"], F.monotonically_increasing_id()
     placed = df.select(
         "*",
@@ -101,20 +93,17 @@ def with_row_order(df: DataFrame, name: str = "row_ord", fmt: str = "parquet") -
         place.alias("__place"),
     )
     counts = placed.groupBy(*keys).agg(
-        F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__rows")
-    )
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn(
-        "__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0).cast("long"))
-    ).drop("__rows")
-    if files is None:
-        # The number of splits is only known once they have been counted.
-        offsets = offsets.cache()
-        files = offsets.count()
-    if files <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, keys)
-    return numbered.withColumn(
+        F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    # Stored, so that the ranges are cut once.
+    ranged = materialize(counts.repartitionByRange(*keys).withColumn("__range", F.spark_partition_id()))
+    inside = Window.partitionBy("__range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range, of which there are as many as shuffle partitions.
+    ranges = ranged.groupBy("__range").agg(F.sum("__rows").alias("__rows"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    offsets = ranged.withColumn("__inside", F.coalesce(F.sum("__rows").over(inside), F.lit(0))).join(
+        starts, "__range").select(*keys, "__first", (F.col("__start") + F.col("__inside")).alias("__offset"))
+    return placed.join(offsets, keys).withColumn(
         name, F.col("__offset") + F.col("__place") - F.col("__first")
     ).drop("__file", "__block", "__place", "__first", "__offset")
 
@@ -217,7 +206,7 @@ def materialize(df: DataFrame) -> DataFrame:
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="sozmill-")
+            folder = f"{tempfile.gettempdir()}/checkpoints"
         context.setCheckpointDir(folder)
     return df.checkpoint()
 

@@ -152,9 +152,38 @@ def test_two_column_sink(spark, tmp_path):
     assert write_two_column(clean_rows(rows), path) == 6
     back = {(r.source, r.cleaned_text) for r in read_cleaned(spark, path).collect()}
     assert back == {("a", "söz <NUM> bir"), ("b", "iki")}
+    assert spark.read.parquet(path).columns == [
+        "cleaned_text", "sentiment_value", "source_ord", "row_ord", "domain", "source"]
+    assert write_two_column(clean_rows(rows), path, bare=True) == 6
     assert spark.read.parquet(path).columns == ["cleaned_text", "sentiment_value", "source"]
 
 
+def test_documented_steps_hold_together(spark, tmp_path):
+    """Read, clean, write, read again, tune, train and evaluate."""
+    from sozmill.operators.similarity import probe_pairs
+    from sozmill.operators.tokens import token_counts
+    from sozmill.operators.training import train_word2vec
+    from sozmill.plans.evaluate import evaluate
+    from sozmill.plans.tune import tune
+
+    words = ["yaxşı", "əla", "pis", "bahalı", "ucuz", "qiymətli", "kitab", "gözəl"]
+    data = [(" ".join(words[(i * 5 + j * j) % 8] for j in range(8)) + f" söz{i}", i % 2) for i in range(60)]
+    raw = str(tmp_path / "raw")
+    spark.createDataFrame(data, "text string, label int").repartition(3).write.parquet(raw)
+    rows, status = read_sources(spark, [SourceSpec("a", raw), SourceSpec("b", str(tmp_path / "none"))])
+    assert {(r.source, r.status) for r in status.collect()} == {("a", "read"), ("b", "missing")}
+    path = str(tmp_path / "clean")
+    assert write_two_column(clean_rows(rows), path) == 60
+    cleaned = read_cleaned(spark, path)
+    trials = [{"trial": i, "vector_size": 4, "window": 2 + i, "min_count": 1, "epochs": 1, "seed": 1,
+               "sample": 0.05} for i in range(2)]
+    best = tune(cleaned, probe_pairs(spark), trials, limit=40, num_partitions=1)
+    assert best in [{k: v for k, v in t.items() if k != "trial"} for t in trials]
+    vectors = train_word2vec(cleaned, best, num_partitions=1)
+    record = evaluate(vectors, token_counts(cleaned), probe_pairs(spark)).first()
+    assert record.coverage == 1.0 and -2 <= record.separation <= 2
+
+
 def test_corpus(spark, tmp_path):
     rows = canonical(spark, [
         ("a", 0, 0, "Qiymət. Gəldi! Getdi?", None, None),
@@ -187,6 +216,21 @@ def test_head_is_ingest_order(spark):
     assert R.head(rows, 0).isEmpty() and R.head(rows, 99).count() == 6
 
 
+def test_head_at_any_order(spark):
+    orders = [0, -(1 << 63), (1 << 63) - 1, 5, -7, 1 << 62, 6, 1 << 40]
+    rows = spark.createDataFrame([(s, o) for s in (1, 0) for o in orders], "source_ord int, row_ord long")
+    ordered = sorted((r.source_ord, r.row_ord) for r in rows.collect())
+    for n in (1, 3, 8, 9, 15, 16):
+        assert sorted(tuple(r) for r in R.head(rows, n).collect()) == ordered[:n]
+
+
+def test_dedup_at_any_order(spark):
+    rows = canonical(spark, [("a", 0, (1 << 61) + 5, "x", "1", 1.0), ("a", 0, 7, "x", "0", 0.0),
+                             ("a", 0, -(1 << 62), "y", "?", None), ("a", 0, 3, "y", "1", 1.0)])
+    assert sorted((r.text, r.row_ord, r.sentiment_value) for r in R.first_labelled(rows).collect()) == [
+        ("x", 7, 0.0), ("y", -(1 << 62), None)]
+
+
 def test_spelling_changes(spark):
     df = spark.createDataFrame([("s", "general", "cox cox tmm alma 5")],
                                "source string, domain string, text string")

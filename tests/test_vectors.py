@@ -148,12 +148,22 @@ def cleaned(spark):
 
 def test_training_is_repeatable(spark, cleaned):
     params = dict(vector_size=8, window=2, min_count=2, epochs=1, sample=1e-2)
-    one = train_word2vec(cleaned, params, key="row_ord", num_partitions=1).orderBy("word").collect()
-    two = train_word2vec(cleaned, params, key="row_ord", num_partitions=1).orderBy("word").collect()
+    one = train_word2vec(cleaned, params, num_partitions=1).orderBy("word").collect()
+    two = train_word2vec(cleaned, params, num_partitions=1).orderBy("word").collect()
     assert [r.word for r in one] == [r.word for r in two] and len(one) == 12
     assert all(len(r.vector) == 8 and r.cnt > 0 for r in one)
 
 
+def test_thinning_keeps_the_vocabulary(spark):
+    lines = ["a b c d e f g h"] * 40 + ["rare a b", "a rare", "once a"]
+    df = spark.createDataFrame([(x,) for x in lines], "cleaned_text string")
+    params = dict(vector_size=4, window=2, min_count=2, epochs=1)
+    full, thin = ({r.word: r.vector for r in train_word2vec(df, {**params, "sample": s}, num_partitions=1).collect()}
+                  for s in (None, 1e-3))
+    assert set(full) == set(thin) == {*"abcdefgh", "rare"}
+    assert all(len(v) == 4 for v in thin.values()) and any(any(v) for v in full.values())
+
+
 def test_training_on_the_corpus(spark, cleaned):
     corpus = cleaned.select(F.concat(F.lit("domgeneral "), "cleaned_text").alias("value"))
     params = dict(vector_size=4, window=2, min_count=2, epochs=1)
@@ -163,7 +173,10 @@ def test_training_on_the_corpus(spark, cleaned):
 
 def test_training_guards(spark, cleaned):
     with pytest.raises(ValueError):
-        check_model_size(10**9, 300)
+        check_model_size(10**9, 300, 2 << 30)
+    check_model_size(10**9, 300, None)
+    with pytest.raises(ValueError, match="not supported"):
+        train_word2vec(cleaned, dict(negative=5))
     with pytest.raises(ValueError):
         train_word2vec(cleaned, dict(vector_size=8, min_count=1), limit=100)
     with pytest.raises(RuntimeError):
