@@ -608,10 +608,10 @@ def oracle_sql() -> dict[str, str]:
         (SELECT round(avg(coverage), 6) FROM ({covered('source')})) AS coverage FROM m"""
     sql["coverage_empty_source"] = f"""WITH {DOC_TOKENS}, {VECTORS.lstrip()},
       m AS ({means('(' + pair_cosines() + ')')}),
-      some AS (SELECT * FROM tokens WHERE source <> 'src1'),
-      known AS (SELECT token AS word FROM some GROUP BY token HAVING count(*) >= 3),
+      left_in AS (SELECT * FROM tokens WHERE source <> 'src1'),
+      known AS (SELECT token AS word FROM left_in GROUP BY token HAVING count(*) >= 3),
       cov AS (SELECT source, count(k.word)::DOUBLE / count(*) AS c
-              FROM some s LEFT JOIN known k ON k.word = s.token GROUP BY source)
+              FROM left_in s LEFT JOIN known k ON k.word = s.token GROUP BY source)
       SELECT round(syn, 6) AS syn_mean, round(ant, 6) AS ant_mean,
         round(coalesce(syn - ant, -1.0), 6) AS separation,
         (SELECT round(avg(coalesce(c, 0.0)), 6) FROM (SELECT DISTINCT source FROM clean_docs)
