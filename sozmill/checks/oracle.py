@@ -156,6 +156,8 @@ def spelled(token: str) -> str:
     return f"CASE {token} {whens} ELSE {token} END"
 
 
+# Written out again, so that a slip in the rules does not pass both sides.
+STOPWORDS = ("və", "amma", "lakin", "çünki", "belə", "hətta", "bütün", "əgər", "yenə", "sonra")
 NEGATORS = "(" + ", ".join(q(n) for n in R.NEGATORS) + ")"
 
 
@@ -574,6 +576,10 @@ def oracle_sql() -> dict[str, str]:
         SELECT *, row_number() OVER (PARTITION BY lang ORDER BY docs DESC, token) AS rank FROM (
           SELECT lang, token, count(DISTINCT doc_id) AS docs FROM tokens
           WHERE token NOT IN {NEGATORS} GROUP BY lang, token)) WHERE rank <= 10"""
+    sql["stopword_comparison"] = f"""WITH c AS ({sql["stopword_candidates"]})
+      SELECT token, string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs, count(DISTINCT lang) AS n_langs,
+        min(rank) AS best_rank, token IN ({", ".join(map(q, STOPWORDS))}) AS listed
+      FROM c GROUP BY token"""
     sql["subsample_tokens"] = f"""WITH {DOC_TOKENS},
       f AS (SELECT token, count(*)::DOUBLE AS cnt, (SELECT count(*) FROM tokens)::DOUBLE AS total
             FROM tokens GROUP BY token),
@@ -599,6 +605,26 @@ def oracle_sql() -> dict[str, str]:
       SELECT s.word AS seed, coalesce(b.rank, 0) AS rank, coalesce(b.word, '') AS word,
         round(b.c, 6) AS cosine
       FROM seeds s LEFT JOIN best b ON b.seed = s.word AND b.rank <= 5"""
+    sql["model_neighbours"] = f"""WITH {GRAMS},
+      seeds AS (SELECT 'w' || min(vec_id) AS word FROM embeddings GROUP BY label
+                UNION ALL SELECT 'w' || (max(vec_id) + 1) FROM embeddings),
+      composed AS (SELECT word, list(x ORDER BY i) AS vector FROM (
+          SELECT word, i, avg(v[i]) AS x FROM (
+            SELECT g.word, v.vector AS v, unnest(range(1, 65)) AS i
+            FROM ({grams('seeds', 'word')}) g JOIN gram_vectors v USING (ngram)
+            WHERE g.word NOT IN (SELECT word FROM vectors))
+          GROUP BY word, i) GROUP BY word),
+      asked AS (
+        SELECT model, word AS seed, vector::DOUBLE[] AS vector FROM seeds JOIN vectors USING (word),
+          (SELECT unnest(['plain', 'subword']) AS model)
+        UNION ALL SELECT 'subword', word, vector FROM composed),
+      scored AS (SELECT model, seed, v.word, {cos('v.vector::DOUBLE[]', 'a.vector')} AS c
+                 FROM asked a JOIN vectors v ON v.word <> a.seed),
+      best AS (SELECT *, row_number() OVER (PARTITION BY model, seed ORDER BY c DESC, word) AS rank FROM scored)
+      SELECT m.model, s.word AS seed, coalesce(string_agg(b.word, ' ' ORDER BY b.rank), '') AS neighbours
+      FROM seeds s CROSS JOIN (SELECT unnest(['plain', 'subword']) AS model) m
+        LEFT JOIN best b ON b.model = m.model AND b.seed = s.word AND b.rank <= 5
+      GROUP BY m.model, s.word"""
     sql["ngram_table"] = f"WITH {GRAMS} SELECT ngram, words, {VECTOR_SUMS} FROM gram_vectors"
     sql["subword_oov"] = f"WITH {GRAMS} SELECT word, ngrams, {VECTOR_SUMS} FROM unknown_vectors"
     sql["evaluation_record"] = f"""WITH {DOC_TOKENS}, {VECTORS.lstrip()},

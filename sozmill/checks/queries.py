@@ -15,6 +15,7 @@ from ..operators.training import train_word2vec
 from ..plans import evaluate as E, tune as U
 from ..plans.clean import clean_rows, row_counts
 from ..plans.corpus import corpus_lines
+from ..plans.report import neighbour_report
 from ..sources.tables import SourceSpec, materialize, read_sources, spread
 from .snippets import SNIPPETS
 
@@ -331,6 +332,11 @@ def stopword_candidates(spark, sf):
         "lang", "token", "docs", F.col("rank").cast("long").alias("rank"))
 
 
+def stopword_comparison(spark, sf):
+    compared = K.compare_stopwords(K.stopword_candidates(clean_docs(spark, sf)))
+    return compared.withColumn("best_rank", F.col("best_rank").cast("long"))
+
+
 def subsample_tokens(spark, sf):
     draw = (F.col("doc_id") * 7919 + F.col("pos") * 104729) % 1000003 / F.lit(1000003.0)
     cleaned = materialize(clean_docs(spark, sf).select("doc_id", "cleaned_text"))
@@ -384,6 +390,15 @@ def knn_top5(spark, sf):
         F.coalesce("word", F.lit("")).alias("word"), F.round("cosine", 6).alias("cosine"))
 
 
+def model_neighbours(spark, sf):
+    """Neighbours of the first vector of each label and of an unknown word, in both models."""
+    given, vectors = table(spark, sf, "embeddings"), word_vectors(spark, sf)
+    seeds = given.groupBy("label").agg(F.min("vec_id").alias("id")).select("id").union(
+        given.agg(F.max("vec_id") + 1)).select(F.concat(F.lit("w"), F.col("id")).alias("word"))
+    found = neighbour_report(vectors.select("word", "vector", "cnt"), vectors.select("word", "vector", "cnt"), seeds)
+    return found.withColumn("neighbours", F.array_join("neighbours", " "))
+
+
 def vector_sums(df: DataFrame) -> DataFrame:
     v = F.col("vector")
     total = F.aggregate(v, F.lit(0.0), lambda t, x: t + x)
@@ -517,6 +532,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "coverage_macro": coverage_macro,
         "coverage_empty_source": coverage_empty_source,
         "stopword_candidates": stopword_candidates,
+        "stopword_comparison": stopword_comparison,
+        "model_neighbours": model_neighbours,
         "subsample_tokens": subsample_tokens,
         "pair_cosine": pair_cosine,
         "separation_score": separation_score,
