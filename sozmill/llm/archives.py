@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, shared_folder
+from .common import as_bytes, lean, shared_folder
 
 # Header fields of the two ARC versions, and WARC names.
 ARC_FIELDS = {
@@ -167,7 +167,7 @@ def write_arc(pages: DataFrame, path: str, id: str, url: str, html: str, date: s
             yield _lines(first)
             first = []
 
-    lines = pages.select(F.col(id).cast("long"), F.col(url).cast("string"), html).mapInArrow(run, "value string")
+    lines = pages.select(F.col(id).cast("long"), F.col(url).cast("string"), html).mapInArrow(lean(run), "value string")
     lines.write.option("zlib.compress.level", "BEST_SPEED").text(path, **_SINK)
 
 
@@ -190,7 +190,7 @@ def read_arc(spark, path: str) -> DataFrame:
                         rows, size = [], 0
                 yield _batch(rows, _RECORD)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, RECORD_FIELDS)
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(lean(run), RECORD_FIELDS)
 
 
 _RECORD = [("file", pa.string()), ("offset", pa.int64()), ("url", pa.string()), ("ip", pa.string()),
@@ -275,7 +275,7 @@ def convert(records: DataFrame, path: str, least: int = 0) -> None:
             yield _lines(first)
             first = []
 
-    with_originals(records, least).mapInArrow(run, "value string").write.text(
+    with_originals(records, least).mapInArrow(lean(run), "value string").write.text(
         path, **_SINK)
 
 
@@ -326,7 +326,7 @@ def read_warc(spark, path: str) -> DataFrame:
                 yield _batch(rows, _READ)
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(
-        run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+        lean(run), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
              "record_id string, target_uri string, date string")
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import as_bytes, slices, with_fields
+from .common import as_bytes, lean, slices, with_fields
 
 # Matches that were encoded are kept up to twice this many, for each task.
 CACHE_ENTRIES = 1 << 17
@@ -288,7 +288,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
 
     others = df.drop(text, "token_ids")
     return df.select(*others.columns, text).mapInArrow(
-        run, with_fields(others, "token_ids array<int>"))
+        lean(run), with_fields(others, "token_ids array<int>"))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:
@@ -300,7 +300,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> Da
             yield batch.drop_columns([ids]).append_column("decoded", found)
 
     others = df.drop(ids, "decoded")
-    return df.select(*others.columns, ids).mapInArrow(run, with_fields(others, "decoded binary"))
+    return df.select(*others.columns, ids).mapInArrow(lean(run), with_fields(others, "decoded binary"))
 
 
 _round_trip_of = ("n_tokens", "ids_sha256", "decoded_sha256")
@@ -334,5 +334,5 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> Da
         coder.forget()
 
     others = df.drop(text, *_round_trip_of)
-    return df.select(*others.columns, text).mapInArrow(run, with_fields(
+    return df.select(*others.columns, text).mapInArrow(lean(run), with_fields(
         others, "n_tokens long, ids_sha256 string, decoded_sha256 string"))

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import as_bytes, slices, stored, with_fields
+from .common import as_bytes, lean, slices, stored, with_fields
 from .logistic import Linear, fit_logistic, probability
 from .words import find_words, mix, row_shingles
 
@@ -135,7 +135,7 @@ def views(docs: DataFrame, key: Column, text: str, metadata: list[str]) -> DataF
                     ["key", "text_view", "metadata_view"])
 
     return docs.select(key.alias("key"), text, *metadata).mapInArrow(
-        run, "key long, text_view binary, metadata_view binary")
+        lean(run), "key long, text_view binary, metadata_view binary")
 
 
 def _matrix(column) -> np.ndarray:
@@ -157,7 +157,7 @@ def _of_keys(known: DataFrame, keys: np.ndarray) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), shared.value)))
 
-    return known.mapInArrow(run, known.schema)
+    return known.mapInArrow(lean(run), known.schema)
 
 
 def _sure(known: DataFrame, model: CoModel, labelled: np.ndarray) -> DataFrame:
@@ -177,7 +177,7 @@ def _sure(known: DataFrame, model: CoModel, labelled: np.ndarray) -> DataFrame:
                 part = part.append_column("view", pa.array(np.full(part.num_rows, view, dtype=np.int32)))
                 yield part.append_column("verdict", pa.array((p[mask] >= 0.5).astype(np.int32)))
 
-    return known.mapInArrow(run, with_fields(known, "view int, verdict int"))
+    return known.mapInArrow(lean(run), with_fields(known, "view int, verdict int"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
@@ -275,4 +275,4 @@ def score(docs: DataFrame, model: CoModel | None, text: str = "text",
     out = docs if keep_text else docs.select(*others)
     columns = docs.columns if keep_text else [*others, text]
     return docs.select(*columns, *[F.col(c).alias(u) for c, u in zip(metadata, used)]).mapInArrow(
-        run, with_fields(out, "text_score double, metadata_score double, score double, kept boolean"))
+        lean(run), with_fields(out, "text_score double, metadata_score double, score double, kept boolean"))

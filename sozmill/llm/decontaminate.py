@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, filter_bits, in_filter, slices, stored, with_fields, without
+from .common import as_bytes, filter_bits, in_filter, lean, slices, stored, with_fields, without
 from .words import find_words, row_shingles, shingles
 
 WINDOW = 10
@@ -48,7 +48,7 @@ def item_windows(items: DataFrame, id: str, text: str, window: int = WINDOW) ->
                     ["item", "words", "n", "shingles"])
 
     return items.select(F.col(id).cast("string"), text).mapInArrow(
-        run, "item string, words string, n int, shingles array<long>")
+        lean(run), "item string, words string, n int, shingles array<long>")
 
 
 def _found(words, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +74,7 @@ def shingle_counts(docs: DataFrame, text: str, bits: np.ndarray) -> DataFrame:
                 values, counts = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["shingle", "cnt"])
 
-    seen = docs.select(text).mapInArrow(run, "shingle long, cnt long")
+    seen = docs.select(text).mapInArrow(lean(run), "shingle long, cnt long")
     return seen.groupBy("shingle").agg(F.sum("cnt").alias("cnt"))
 
 
@@ -120,7 +120,7 @@ def candidates(docs: DataFrame, text: str, bits: np.ndarray, window: int = WINDO
                 out = out.append_column("n_words", pa.array(words.counts(), pa.int64()))
                 yield out.append_column("found", pa.array(places, kind))
 
-    return docs.select(*others, text).mapInArrow(run, with_fields(
+    return docs.select(*others, text).mapInArrow(lean(run), with_fields(
         docs.select(*others),
         "n_words long, found array<struct<shingle:long,at:int,first:int,around:string>>"))
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, with_fields
+from .common import as_bytes, lean, with_fields
 from .dom import Page, assemble, parse
 from .labelled_pages import labelled_pages
 from .logistic import probability
@@ -190,7 +190,7 @@ def fit(pages: DataFrame, id: str = "page_id", html: str = "html") -> TreeModel:
                 [pa.array([t[i] for t in trees], kind) for i, kind in enumerate(kinds)],
                 ["features", "parent", "label"])
 
-    rows = some.select(html).mapInArrow(run, "features array<string>, parent array<int>, label array<int>")
+    rows = some.select(html).mapInArrow(lean(run), "features array<string>, parent array<int>, label array<int>")
     return trained(sorted(tuple(row) for row in rows.collect()))
 
 
@@ -226,4 +226,4 @@ def extract(pages: DataFrame, model: TreeModel, html: str = "html") -> DataFrame
             yield batch.append_column("n_chars", pa.array([len(t) for t in texts], pa.int64()))
 
     return pages.select(*others, html).mapInArrow(
-        run, with_fields(pages.select(*others), "text string, n_chars long"))
+        lean(run), with_fields(pages.select(*others), "text string, n_chars long"))

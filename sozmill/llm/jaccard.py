@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, filter_bits, in_filter, slices, stored, with_fields, without
+from .common import as_bytes, filter_bits, in_filter, lean, slices, stored, with_fields, without
 from .words import find_words, mix, shingles
 
 NGRAM, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9995, 64
@@ -105,7 +105,7 @@ def signatures(docs: DataFrame, text: str, bands: int, rows: int) -> DataFrame:
                 out = out.append_column("n", pa.array(np.diff(starts), pa.int32()))
                 yield out.append_column("bands", pa.ListArray.from_arrays(ends, flat))
 
-    return docs.select(*others, text).mapInArrow(run, with_fields(
+    return docs.select(*others, text).mapInArrow(lean(run), with_fields(
         docs.select(*others), "cls binary, n int, bands array<long>"))
 
 
@@ -134,7 +134,7 @@ def wanted_sets(docs: DataFrame, key: str, text: str, bits: np.ndarray) -> DataF
                          pa.array(sets, pa.list_(pa.int64()))], ["key", "cls", "ngrams"])
 
     return docs.select(F.col(key).alias("key"), text).mapInArrow(
-        run, "key long, cls binary, ngrams array<long>")
+        lean(run), "key long, cls binary, ngrams array<long>")
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -221,7 +221,7 @@ def verified(members: DataFrame, threshold: float) -> DataFrame:
         if (out := close(rows)) is not None:
             yield out
 
-    return members.mapInArrow(run, "cls binary, links long, other binary")
+    return members.mapInArrow(lean(run), "cls binary, links long, other binary")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, slices, with_fields
+from .common import as_bytes, lean, slices, with_fields
 
 SIZES = (1, 2, 3)
 BITS = 14  # n-grams are hashed into so many bits of presence
@@ -111,7 +111,7 @@ def labelled_sample(docs: DataFrame, text: str, lang: str, key: str) -> DataFram
                     [part.column(0), part.column(1), pa.array([x.tobytes() for x in bits], pa.binary())],
                     ["lang", "place", "seen"])
 
-    return distinct.mapInArrow(run, "lang string, place long, seen binary")
+    return distinct.mapInArrow(lean(run), "lang string, place long, seen binary")
 
 
 def _blocks(column: pa.Array):
@@ -182,4 +182,4 @@ def predict(docs: DataFrame, model: LanguageModel | None, text: str = "text") ->
             yield batch.append_column("score", pa.array(scores, pa.float64()))
 
     return docs.select(*others, text).mapInArrow(
-        run, with_fields(docs.select(*others), "lang_pred string, score double"))
+        lean(run), with_fields(docs.select(*others), "lang_pred string, score double"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, slices, with_fields
+from .common import as_bytes, lean, slices, with_fields
 from .words import LOWER, find_words
 
 # The phrases that always count, with their labels.
@@ -235,7 +235,7 @@ def scan(docs: DataFrame, text: str = "text", base: dict[str, str] = BASE) -> Da
             batch = batch.append_column("places", pa.array(places, place))
             yield batch.append_column("detections", pa.array(detections, detection))
 
-    return docs.select(*others, text).mapInArrow(run, with_fields(
+    return docs.select(*others, text).mapInArrow(lean(run), with_fields(
         docs.select(*others), f"n_words long, places array<{_PLACE}>, detections array<{_DETECTION}>"))
 
 
