@@ -25,7 +25,7 @@ from .logistic import probability
 SAMPLE, ELEMENTS = 300, 2_000
 #: The sample weighs this much of the hand-labelled pages, whose variety it lacks.
 SAMPLE_WEIGHT = 0.25
-RIDGE, STEPS = 0.1, 500
+RIDGE, STEPS = 0.1, 600
 _LIMIT = 30.0
 
 
@@ -50,6 +50,12 @@ def features(page: Page) -> list[list[str]]:
     return out
 
 
+# Elements that go with what they stand in; other blocks may be set off from it.
+FLOW = frozenset(
+    "p li h1 h2 h3 h4 h5 h6 td th tr tbody thead tfoot caption blockquote pre dt dd ul ol dl table figure "
+    "figcaption".split())
+
+
 def visible(page: Page) -> tuple[list[str], list[int], list[int]]:
     """Features, parents and labels of the elements that a reader sees, the page itself first."""
     place, found, parent, label = {}, [], [], []
@@ -64,26 +70,32 @@ def visible(page: Page) -> tuple[list[str], list[int], list[int]]:
 
 @dataclass
 class TreeModel:
-    """Log odds of each feature, and what parent and child gain by having one label."""
+    """Log odds of each feature, and what parent and child gain by having one label.
+
+    The gain is one for boxes and another for elements of the text's flow.
+    """
 
     unary: dict[str, float]
-    same: float
+    same: tuple[float, float]
 
     def marginals(self, page: Page) -> list[float]:
         """Log odds that each element is content, by messages up and down the tree."""
         find, parent, hidden, exp, log = self.unary.get, page.parent, page.hidden, math.exp, math.log
         belief = [sum(find(x, 0.0) for x in found) for found in features(page)]
         belief[0] = -_LIMIT  # the page itself is no content
-        same = exp(self.same)
+        box, flow = map(exp, self.same)
+        gain = [flow if tag in FLOW else box for tag in page.tag]
         up = [0.0] * len(belief)
         for i in range(len(belief) - 1, 0, -1):
             if not hidden[i]:
                 odds = exp(max(-_LIMIT, min(_LIMIT, belief[i])))
+                same = gain[i]
                 up[i] = message = log((1 + same * odds) / (same + odds))
                 belief[parent[i]] += message
         for i in range(1, len(belief)):
             if not hidden[i]:
                 odds = exp(max(-_LIMIT, min(_LIMIT, belief[parent[i]] - up[i])))
+                same = gain[i]
                 belief[i] += log((1 + same * odds) / (same + odds))
         return belief
 
@@ -94,28 +106,29 @@ class Forest:
     def __init__(self, trees: list[tuple[list[str], list[int], list[int]]], weight: list[float]):
         self.names = sorted({x for found, _, _ in trees for names in found for x in names.split()})
         place = {x: i for i, x in enumerate(self.names)}
-        parent, label, share, depth, self.node, self.feature = [], [], [], [], [], []
+        parent, label, share, depth, kind, self.node, self.feature = [], [], [], [], [], [], []
         for (found, up, labels), w in zip(trees, weight):
             first = len(parent)
             for i, names in enumerate(found):
                 for x in names.split():
                     self.node.append(first + i)
                     self.feature.append(place[x])
+                kind.append(int(names.split(" ", 1)[0].removeprefix("tag=") in FLOW))
                 parent.append(first + up[i] if i else -1)
                 depth.append(depth[first + up[i]] + 1 if i else 0)
             label += labels
             share += [w] * len(found)
         self.parent, self.label, self.share = np.array(parent), np.array(label, dtype=float), np.array(share)
         self.node, self.feature = np.array(self.node), np.array(self.feature)
-        depth = np.array(depth)
+        depth, self.kind = np.array(depth), np.array(kind)
         self.roots = depth == 0
         self.levels = [np.flatnonzero(depth == d) for d in range(1, int(depth.max()) + 1)]
 
-    def gradient(self, unary: np.ndarray, same: float) -> tuple[np.ndarray, float]:
-        """Slope of the likelihood in the feature weights and in the pair potential."""
-        gain = math.exp(same)
+    def gradient(self, unary: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slope of the likelihood in the feature weights and in the pair potentials."""
+        gains = np.exp(same)[self.kind]
 
-        def message(odds):
+        def message(odds, gain):
             odds = np.exp(np.clip(odds, -_LIMIT, _LIMIT))
             return np.log((1 + gain * odds) / (gain + odds))
 
@@ -123,32 +136,34 @@ class Forest:
         own[self.roots] = -_LIMIT
         up = np.zeros(len(own))
         for level in reversed(self.levels):
-            up[level] = message(own[level])
+            up[level] = message(own[level], gains[level])
             np.add.at(own, self.parent[level], up[level])
         full = own.copy()
-        slope = 0.0
+        slope = np.zeros(2)
         for level in self.levels:
             above = np.clip(full[self.parent[level]] - up[level], -_LIMIT, _LIMIT)
             below = np.clip(own[level], -_LIMIT, _LIMIT)
-            full[level] += message(above)
+            gain = gains[level]
+            full[level] += message(above, gain)
             both = gain * (1 + np.exp(above + below))
             equal = self.label[level] == self.label[self.parent[level]]
-            slope += (self.share[level] * (equal - both / (both + np.exp(above) + np.exp(below)))).sum()
+            part = self.share[level] * (equal - both / (both + np.exp(above) + np.exp(below)))
+            slope += np.bincount(self.kind[level], weights=part, minlength=2)
         rest = self.share * (self.label - probability(full))
         rest[self.roots] = 0
         return np.bincount(self.feature, weights=rest[self.node], minlength=len(unary)), slope
 
     def train(self) -> TreeModel:
         """The model of greatest likelihood less a ridge, by scaled gradient steps."""
-        w, seen = np.zeros(len(self.names) + 1), np.full(len(self.names) + 1, 1e-6)
-        w[-1] = 1.0
+        w, seen = np.zeros(len(self.names) + 2), np.full(len(self.names) + 2, 1e-6)
+        w[-2:] = 1.0
         for _ in range(STEPS):
-            unary, same = self.gradient(w[:-1], w[-1])
+            unary, same = self.gradient(w[:-2], w[-2:])
             slope = np.append(unary, same) - RIDGE * w
             seen += slope ** 2
             w += 0.5 * slope / np.sqrt(seen)
-            w[-1] = max(0.0, w[-1])
-        return TreeModel(dict(zip(self.names, w[:-1].tolist())), float(w[-1]))
+            w[-2:] = np.maximum(0.0, w[-2:])
+        return TreeModel(dict(zip(self.names, w.tolist())), tuple(w[-2:].tolist()))
 
 
 def label_by_tag(page: Page) -> bool:

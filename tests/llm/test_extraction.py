@@ -68,7 +68,7 @@ def test_marginals_are_exact():
     for labels in itertools.product((0, 1), repeat=n - 1):
         labels = (0, *labels)
         weight = math.exp(sum(s * y for s, y in zip(scores, labels)) + sum(
-            model.same * (labels[i] == labels[page.parent[i]]) for i in range(1, n)))
+            model.same[page.tag[i] in extraction.FLOW] * (labels[i] == labels[page.parent[i]]) for i in range(1, n)))
         total += weight
         content = [c + weight * y for c, y in zip(content, labels)]
     got = [1 / (1 + math.exp(-o)) for o in model.marginals(page)]
