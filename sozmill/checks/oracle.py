@@ -93,6 +93,12 @@ def unescaped(expr: str) -> str:
     )
 
 
+def settled(expr: str) -> str:
+    """One reading of lines without markup; the snippets are nested four deep at most."""
+    line = f"CASE WHEN contains(l, '<') OR NOT contains(l, '&') THEN l ELSE {unescaped('l')} END"
+    return f"array_to_string(list_transform(string_split({expr}, chr(10)), lambda l: {line}), chr(10))"
+
+
 def urls(expr: str, tag: str = " <URL> ") -> str:
     return sub(expr, rf"(?i)(https?://|www\.)[^{S}]+", tag)
 
@@ -191,7 +197,11 @@ def cleaned(source: str, keys: str, prefix: str = "", negation: bool = True) ->
     marked = negated(f"{p}toks", keys, p) if negation else f"{p}marked AS (SELECT * FROM {p}toks)"
     return f"""
     {p}c1 AS MATERIALIZED (SELECT {keys}, {repaired(emoji('text'))} AS t FROM {source}),
-    {p}c2 AS MATERIALIZED (SELECT {keys}, {unescaped('t')} AS t FROM {p}c1),
+    {p}u1 AS MATERIALIZED (SELECT {keys}, {settled('t')} AS t FROM {p}c1),
+    {p}u2 AS MATERIALIZED (SELECT {keys}, {settled('t')} AS t FROM {p}u1),
+    {p}u3 AS MATERIALIZED (SELECT {keys}, {settled('t')} AS t FROM {p}u2),
+    {p}u4 AS MATERIALIZED (SELECT {keys}, {settled('t')} AS t FROM {p}u3),
+    {p}c2 AS MATERIALIZED (SELECT {keys}, {unescaped('t')} AS t FROM {p}u4),
     {p}c3 AS MATERIALIZED (SELECT {keys}, {emails(urls(sub('t', '<[^>]+>')))} AS t FROM {p}c2),
     {p}c4 AS MATERIALIZED (SELECT {keys}, {mentions(phones('t'))} AS t FROM {p}c3),
     {p}c5 AS MATERIALIZED (SELECT {keys}, {lowered(hashtags('t'))} AS t FROM {p}c4),
@@ -341,7 +351,11 @@ def intended() -> str:
     turkic = f"lower(translate(nfc_normalize({hashtags_any('t')}), 'Iİ', 'ıi'))"
     return f"""WITH {DOCS},
     tagged AS MATERIALIZED (SELECT doc_id, {domain('text')} AS domain FROM docs),
-    i1 AS MATERIALIZED (SELECT doc_id, {unescaped('text')} AS t FROM docs),
+    z1 AS MATERIALIZED (SELECT doc_id, {settled('text')} AS t FROM docs),
+    z2 AS MATERIALIZED (SELECT doc_id, {settled('t')} AS t FROM z1),
+    z3 AS MATERIALIZED (SELECT doc_id, {settled('t')} AS t FROM z2),
+    z4 AS MATERIALIZED (SELECT doc_id, {settled('t')} AS t FROM z3),
+    i1 AS MATERIALIZED (SELECT doc_id, {unescaped('t')} AS t FROM z4),
     i2 AS MATERIALIZED (SELECT doc_id, {repaired(sub('t', '<[^>]+>'))} AS t FROM i1),
     i3 AS MATERIALIZED (
       SELECT doc_id, {emails(urls(faces, char('<URL>')), char('<EMAIL>'))} AS t FROM i2),
@@ -483,8 +497,13 @@ def oracle_sql() -> dict[str, str]:
     # Text rules one by one.
     sql["emoji_tags"] = docs + f"{emoji('text')} AS t FROM docs"
     sql["mojibake_repair"] = docs + f"{repaired('text')} AS t FROM docs"
-    sql["html_unescape"] = f"""SELECT page_id, {unescaped(f"html || ' ' || {injected('length(html)')}")}
-      AS t FROM pages"""
+    sql["html_unescape"] = f"""WITH
+      u0 AS MATERIALIZED (SELECT page_id, html || chr(10) || {injected('length(html)')} AS t FROM pages),
+      u1 AS MATERIALIZED (SELECT page_id, {settled('t')} AS t FROM u0),
+      u2 AS MATERIALIZED (SELECT page_id, {settled('t')} AS t FROM u1),
+      u3 AS MATERIALIZED (SELECT page_id, {settled('t')} AS t FROM u2),
+      u4 AS MATERIALIZED (SELECT page_id, {settled('t')} AS t FROM u3)
+      SELECT page_id, {unescaped('t')} AS t FROM u4"""
     sql["html_url_email_tags"] = f"""SELECT page_id, {emails(urls(sub(
         f"html || ' ' || url || ' ' || {injected('length(html)')}", '<[^>]+>')))} AS t FROM pages"""
     sql["phone_number_tags"] = docs + (

@@ -168,8 +168,10 @@ def head_n_sentences(spark, sf):
 # --- text rules --------------------------------------------------------------
 
 def html_unescape(spark, sf):
-    html = with_snippet(F.col("html"), F.length("html"))
-    return texts(spark, sf, "pages").select("page_id", X.unescape_html(html).alias("t"))
+    """Each page, which has markup, and on a line of its own a snippet, most of which have none."""
+    html = F.concat_ws("\n", "html", pick(SNIPPETS, F.length("html")))
+    return texts(spark, sf, "pages").select(
+        "page_id", X.unescape_html(X.settle_entities(html)).alias("t"))
 
 
 def html_url_email_tags(spark, sf):

@@ -27,5 +27,6 @@ SNIPPETS = (
     "ge" + chr(0x307) + "t s" + chr(0x327) + "ey I" + chr(0x307) + "sti o" + chr(0x308) + "z",
     "https://www.Example.com/a?b=C#d HTTP://x.az, qətiyyən bu çox pis idi sim cox cox yaxsi",
     "(012) 345-67-89 Aldım 3 manat 4 ulduz çox yaxşı çox pis yaxşı",
+    "&amp;quot;x y&amp;quot; &amp;amp;amp;lt;z &#38;copy; &amp;b",
     "RT @user_1: trendy trend məqalə, bloomberg.",
 )

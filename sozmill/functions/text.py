@@ -34,7 +34,7 @@ from .rules import (
 )
 
 __all__ = [
-    "map_emoji", "repair_encoding", "nfc", "unescape_html", "strip_tags", "tag_urls",
+    "map_emoji", "repair_encoding", "nfc", "settle_entities", "unescape_html", "strip_tags", "tag_urls",
     "tag_emails", "tag_phones", "tag_mentions", "split_hashtags", "lower_az",
     "squeeze_punctuation", "squeeze_spaces", "tag_numbers", "drop_punctuation",
     "extract_tokens", "collapse_repeats", "fix_spelling", "mark_negation",
@@ -159,6 +159,23 @@ def may_have_url(text: Column) -> Column:
     return found
 
 
+def settle_entities(text: Column) -> Column:
+    """Replace nested character references until none is left, in lines without ``<``.
+
+    A reading that changes a line takes the name of an ampersand away from
+    it, so there are no more readings than such names, and one.
+    """
+    def settled(line: Column) -> Column:
+        readings = F.regexp_count(line, F.lit("(?i)amp|#0*38|#x0*26")) + 1
+        return F.aggregate(
+            F.sequence(F.lit(1), readings), line,
+            lambda t, _: F.when(t.contains("&"), unescape_html(t)).otherwise(t))
+
+    lines = F.transform(F.split(text, "\n", -1), lambda line: F.when(
+        line.contains("&") & ~line.contains("<"), settled(line)).otherwise(line))
+    return F.array_join(lines, "\n")
+
+
 def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", " ")
 
@@ -422,7 +439,7 @@ def normalize(text: Column, rules: RulePack = OBSERVED) -> Column:
     """The whole ``observed`` chain as one expression; null gives ``""``."""
     if rules.intended:
         raise ValueError("use sozmill.operators.normalize for the intended rules")
-    out = strip_tags(unescape_html(repair_encoding(map_emoji(sweep_tag_chars(text), rules))))
+    out = strip_tags(unescape_html(settle_entities(repair_encoding(map_emoji(sweep_tag_chars(text), rules)))))
     out = tag_mentions(tag_phones(tag_emails(tag_urls(out))))
     out = lower_az(open_hashtags(out, rules))
     out = to_spaced_tokens(code_numbers(out) if rules.numbers_to_token else out, rules)

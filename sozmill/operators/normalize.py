@@ -65,6 +65,7 @@ def _emoji(df: DataFrame, rule, rules: RulePack) -> DataFrame:
 
 
 def _markup(df: DataFrame) -> DataFrame:
+    df = _apply(df, lambda t: t.contains("&"), X.settle_entities)
     df = _apply(df, lambda t: t.contains("&"), X.unescape_html)
     return _apply(df, lambda t: t.contains("<") & t.contains(">"), X.strip_tags)
 
