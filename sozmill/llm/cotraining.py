@@ -189,10 +189,11 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     ``LABELLED`` labelled rows are fitted on, and ``EXCHANGED`` pseudo-labels for each view,
     verdict and round; all documents are scored for those.
     """
-    truth = stored(labels.groupBy(F.xxhash64(id).alias("key")).agg(F.avg(label).alias("label")).filter(
-        "label is not null"))
+    truth = labels.groupBy(F.xxhash64(id).alias("key")).agg(F.avg(label).alias("label")).filter(
+        "label is not null").persist()
     known = stored(views(docs.filter(F.col(id).isNotNull()), F.xxhash64(id), text, list(metadata)))
     sample = _hash_share(truth, truth.count(), LABELLED).toArrow().sort_by("key")
+    truth.unpersist()
     key, y = (sample.column(name).to_numpy() for name in ("key", "label"))
     rows = _of_keys(known, key).dropDuplicates(["key"]).toArrow().sort_by("key")
     found = rows.column("key").to_numpy()
