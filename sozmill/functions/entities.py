@@ -57,7 +57,7 @@ def _numeric(reference: Column) -> Column:
         .when(digits == "", F.lit(0))
         .otherwise(value.cast("int"))
     )
-    c1 = F.array(*[F.lit(c) for c in _c1_readings()])
+    c1 = F.from_json(F.lit(json.dumps(_c1_readings())), "array<string>")
     not_a_character = (
         code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F)
         | (code == 0x7F) | code.between(0xFDD0, 0xFDEF)
