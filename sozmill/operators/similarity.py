@@ -58,8 +58,6 @@ def pair_means(similarities: DataFrame, *by: str) -> DataFrame:
 
 # Seeds are carried to the vectors in arrays of about this many.
 SEEDS_AT_ONCE = 1000
-# A group of seeds meets the vectors in this many independent parts.
-SEED_SALTS = 64
 
 
 def nearest_neighbours(
@@ -69,9 +67,9 @@ def nearest_neighbours(
 
     ``seeds`` is a table with a ``word`` column. Up to ``SEEDS_AT_ONCE`` seeds
     travel as one array that every vector is compared with in place. Longer
-    lists are cut into such arrays by hash and joined by group and salt, so no
-    task holds more than one array and no group of seeds meets all vectors in
-    one task. Ties go to the word that sorts first. Seeds without a vector give
+    lists are cut into such arrays by hash and joined on a salt of the vectors, of
+    which there are as many as shuffle partitions, so no group of seeds meets all
+    vectors in one task. Ties go to the word that sorts first. Seeds without a vector give
     no row. ``query_vectors`` supplies seed vectors from another table, as for
     words known only through their parts.
     """
@@ -84,14 +82,12 @@ def nearest_neighbours(
         scored = _scores(table.withColumn("__seeds", wanted.agg(_packed()).scalar()))
     else:
         group = F.pmod(F.xxhash64("word"), F.lit(groups)).cast("int").alias("__group")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SEED_SALTS - 1))).alias("__salt")
-        arrays = wanted.groupBy(group).agg(_packed().alias("__seeds")).select("*", salts)
-        spread = table.select(
-            "*",
-            F.pmod(F.hash("word"), F.lit(SEED_SALTS)).alias("__salt"),
-            F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("__group"),
-        )
-        scored = _scores(spread.join(arrays, ["__group", "__salt"]))
+        # Each vector is shuffled once, by salt; a salt meets the arrays one after the other.
+        parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__salt")
+        arrays = wanted.groupBy(group).agg(_packed().alias("__seeds")).select("__seeds", salts)
+        spread = table.withColumn("__salt", F.pmod(F.hash("word"), F.lit(parts)))
+        scored = _scores(spread.join(arrays, "__salt"))
     # Spark keeps only the k best of each task before this window's shuffle.
     best = Window.partitionBy("seed").orderBy(F.desc("cosine"), "word")
     return (

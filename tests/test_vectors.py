@@ -200,3 +200,19 @@ def test_sweep(spark, cleaned):
     assert all(not math.isnan(r.ant_mean) for r in rows)
     best = U.tune(cleaned, pairs, trials, model="subword", num_partitions=1)
     assert set(best) == set(trials[0]) - {"trial"}
+
+
+def test_reports_with_the_short_lists(spark):
+    from sozmill.plans.report import metric_report, neighbour_report
+
+    words = ["yaxşı", "əla", "bahalı", "qiymətli", "pis", "ucuz", "sərfəli"]
+    rows = [(w, [float(i % 3), float(i % 2), 1.0], 5 + i) for i, w in enumerate(words)]
+    vectors = spark.createDataFrame(rows, "word string, vector array<float>, cnt long")
+    counts = spark.createDataFrame([("a", "yaxşı", 3), ("a", "nə", 1), ("b", "pis", 2)],
+                                   "source string, token string, cnt long")
+    report = {(r.source, r.metric): (r.plain, r.subword) for r in metric_report(vectors, vectors, counts).collect()}
+    assert report["a", "coverage"] == (0.75, 0.75) and report[None, "coverage"] == (0.875, 0.875)
+    assert report[None, "separation"][0] == report[None, "separation"][1]  # all probe words used are known
+    lists = {(r.model, r.seed): r.neighbours for r in neighbour_report(vectors, vectors, k=2).collect()}
+    assert len(lists) == 18 and len(lists["plain", "yaxşı"]) == 2
+    assert lists["plain", "mükəmməl"] == [] and "yaxşı" not in lists["subword", "yaxşı"]
