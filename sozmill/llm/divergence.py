@@ -201,18 +201,14 @@ def verdicts(docs: DataFrame, reference: DataFrame, text: str = "text", lang: st
     def near(name, limit, slack, length):
         return F.coalesce(F.col(name) <= limit + slack / F.sqrt(length), F.lit(True))
 
-    return far.withColumn(
-        "kept", ~F.col("base_failed") & near("class_distance", CLASS_LIMIT, CLASS_SLACK, "word_chars")
-        & near("word_distance", WORD_LIMIT, WORD_SLACK, "n_words")).drop(
+    kept = (~F.col("base_failed") & near("class_distance", CLASS_LIMIT, CLASS_SLACK, "word_chars")
+            & near("word_distance", WORD_LIMIT, WORD_SLACK, "n_words"))
+    # From a generator: a filter on a plain column would be moved below the projections and
+    # drag copies of all their expressions with it.
+    return far.select("*", F.explode(F.array(kept)).alias("kept")).drop(
         "__hashes", "__classes", "__counts", "ref_classes", "ref_words", "ref_counts")
 
 
 def passing(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Rows of ``docs`` that ``verdicts`` keeps, with the columns of ``docs``.
-
-    Picked by a generator: a plain filter would be moved below the projections
-    and drag copies of all their expressions with it.
-    """
-    judged = verdicts(docs, reference, text, lang)
-    chosen = F.explode(F.when(F.col("kept"), F.array(F.lit(True))))
-    return judged.select(*docs.columns, chosen.alias("__kept")).drop("__kept")
+    """Rows of ``docs`` that ``verdicts`` keeps, with the columns of ``docs``."""
+    return verdicts(docs, reference, text, lang).filter("kept").select(*docs.columns)
