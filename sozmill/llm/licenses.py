@@ -61,7 +61,8 @@ FAMILIES = (
     ("zlib", "zlib", "zlib", ""),
     ("unlicense", "unlicense", "unlicense", ""),
     ("wtfpl", "wtfpl", "wtfpl", ""),
-    ("mit", "mit", "mit|mit x11|expat", ""),
+    ("mit", "mit", "mit x11|mit", ""),
+    ("mit", "expat", "expat", ""),
     ("x11", "x11", "x11", ""),
     ("ruby", "ruby", "ruby", ""),
     ("w3c", "w3c", "w3c software|w3c", ""),
@@ -96,7 +97,8 @@ SENTENCES = (
     ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
     ("wtfpl", "public", "do what the fuck you want to public license"),
     ("bsl", "permission", "permission is hereby granted free of charge to any person or organization obtaining a copy"),
-    ("cc0", "commons", "(?:creative commons|cc) (?:cc0|zero)(?: 1 0| universal)*"),
+    ("cc0", "commons", "creative commons (?:cc0|zero)(?: 1 0| universal)*"),
+    ("cc0", "zero", "cc zero(?: 1 0| universal)*"),
     ("cc0", "cc0", "cc0(?: 1 0| universal)*"),
     ("public-domain", "domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("proprietary", "reserved", "all rights reserved"),
@@ -136,11 +138,14 @@ def build_rules() -> tuple[Rule, ...]:
             tail = f"(?:{_LICENSE})?(?: version| v)? (?:v)?{number}(?: only| or later| or any later version)?"
             add(exact, keyword, GRANT, _GRANT + name + tail)
             add(exact, keyword, NAMED, name + tail)
-            if label == keyword or keyword in names.split("|"):
-                add(exact, keyword, IDENTIFIER, f"spdx license identifier {keyword} {number}(?: only| or later)?")
         add(label, keyword, GRANT, _GRANT + name + _LICENSE)
         add(label, keyword, LOOSE, name + _LICENSE)
-        add(label, keyword, IDENTIFIER, f"spdx license identifier {label.replace('-', ' ')}")
+    identifiers = {(label, v) for label, _, _, versions in FAMILIES for v in ["", *versions.split()]}
+    identifiers |= {(f"cc-{term}", v) for term, _ in CC_TERMS for v in CC_VERSIONS.split()}
+    for label, version in sorted(identifiers, key=lambda x: (x[0], x[1] == "", x[1])):
+        words = f"{label} {version}".replace("-", " ").replace(".", " ").strip()
+        add(f"{label}-{version}".strip("-"), "spdx", IDENTIFIER,
+            f"spdx license identifier {words}(?: only| or later)?")
     for term, words in CC_TERMS:
         for version in CC_VERSIONS.split():
             number = version.replace(".", " ")
