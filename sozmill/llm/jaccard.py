@@ -110,7 +110,11 @@ def signatures(docs: DataFrame, text: str, bands: int, rows: int) -> DataFrame:
 
 
 def wanted_sets(docs: DataFrame, key: str, text: str, bits: np.ndarray) -> DataFrame:
-    """``key, cls, ngrams`` of the rows whose key passes the filter; once a task for repeated rows."""
+    """``key, cls, ngrams`` of the rows whose key passes the filter; once a task for repeated rows.
+
+    Copies with other keys are not repeated rows: the filter has false positives, and one of
+    those must not stand in for the row that is wanted.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -124,8 +128,8 @@ def wanted_sets(docs: DataFrame, key: str, text: str, bits: np.ndarray) -> DataF
                 found = []
                 for key, cls, i, j in zip(batch.column(0).slice(a, b - a).to_pylist(),
                                           _class_keys(part, values, starts), starts[:-1], starts[1:]):
-                    if cls not in seen:
-                        seen.add(cls)
+                    if (key, cls) not in seen:
+                        seen.add((key, cls))
                         found.append((key, cls, values[i:j].astype(np.int64)))
                 if found:
                     keys, classes, sets = zip(*found)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from sozmill.llm import jaccard
+from sozmill.llm import common, jaccard
 
 
 def variants(seed=1):
@@ -67,6 +67,27 @@ def test_one_of_each(session):
     assert sorted(r.doc_id for r in jaccard.one_of_each(docs).collect()) == sorted(want)
 
 
+def test_copies_that_pass_the_filter(session, monkeypatch):
+    """Copies whose keys are false positives of the filter don't hide the document that stands for them."""
+    monkeypatch.setattr(common, "FILTER_BITS", 6)
+    draw = random.Random(3)
+    texts = []
+    for _ in range(30):
+        base = [f"w{draw.randrange(10 ** 6)}" for _ in range(60)]
+        texts += [" ".join(base), " ".join([*base[:-1], "other"])]
+    rows = [(i, texts[i % len(texts)]) for i in range(3000)]
+    draw.shuffle(rows)
+
+    # Workers import the default, so the filter's test goes along with the function.
+    def in_filter(bits, values):
+        at = values.astype("int64") & 63
+        return (bits[at >> 6] >> (at & 63)) & 1 == 1
+    monkeypatch.setattr(jaccard, "in_filter", in_filter)
+    docs = session.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies, r.keeper) for r in jaccard.join(docs).collect()}
+    assert got == {i: (i % 60 // 2 * 2, 1, 50, i < 60 and i % 2 == 0) for i, _ in rows}
+
+
 def test_components(session):
     chain = [(bytes([i]), bytes([i + 1])) for i in range(40)] + [(b"x", b"y"), (b"z", b"y"), (b"q", b"q")]
     got = {bytes(r.node): bytes(r.root) for r in jaccard.components(
