@@ -160,16 +160,16 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def verify(band: int, bands: np.ndarray, chunk: np.ndarray, sets: list[np.ndarray],
-           threshold: float) -> tuple[np.ndarray, np.ndarray]:
+           threshold: float, inside: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links and a neighbour for each member of a block, from pairs that first meet in ``band``.
 
-    Pairs lie across the two chunks, or inside the one. A pair that shares an
+    Pairs lie inside the one chunk, or across the two, of which one may have no members. A pair that shares an
     earlier band hash was counted there. The neighbour is the first member of what
     hangs together, the member itself if it has no link.
     """
     m = len(sets)
     pair = np.triu(np.ones((m, m), dtype=bool), 1)
-    if chunk.min() != chunk.max():
+    if not inside:
         pair &= chunk[:, None] != chunk
     for k in range(band):
         pair &= bands[:, k][:, None] != bands[:, k]
@@ -197,14 +197,17 @@ def verify(band: int, bands: np.ndarray, chunk: np.ndarray, sets: list[np.ndarra
 
 
 def verified(members: DataFrame, threshold: float) -> DataFrame:
-    """``cls, links, other`` from ``block, band, chunk, cls, bands, ngrams`` sorted by block."""
+    """``cls, links, other`` from ``block, inside, band, chunk, cls, bands, ngrams`` sorted by block."""
     def run(batches):
         def close(rows):
             if len(rows) < 2:
                 return None
+            chunk, inside = np.array([r["chunk"] for r in rows]), rows[0]["inside"]
+            if not inside and chunk.min() == chunk.max():
+                return None
             bands = np.array([r["bands"] for r in rows])
             sets = [np.asarray(r["ngrams"], dtype=np.int64) for r in rows]
-            links, root = verify(rows[0]["band"], bands, np.array([r["chunk"] for r in rows]), sets, threshold)
+            links, root = verify(rows[0]["band"], bands, chunk, sets, threshold, inside)
             has = np.flatnonzero(links)
             return pa.RecordBatch.from_arrays(
                 [pa.array([rows[i]["cls"] for i in has], pa.binary()), pa.array(links[has], pa.int64()),
@@ -214,7 +217,7 @@ def verified(members: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             blocks = batch.column("block").to_pylist()
             ngrams = batch.column("ngrams")
-            rest = batch.select(["band", "chunk", "cls", "bands"]).to_pylist()
+            rest = batch.select(["inside", "band", "chunk", "cls", "bands"]).to_pylist()
             for i, (of, row) in enumerate(zip(blocks, rest)):
                 if of != block:
                     if (out := close(rows)) is not None:
@@ -327,5 +330,6 @@ def linked(known: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
         F.sequence(F.lit(0), F.col("chunks") - 1)).alias("__with"))
     low, high = F.least("chunk", "__with"), F.greatest("chunk", "__with")
     block = F.xxhash64("band", "hash", low, high)
-    members = blocks.select("cls", "band", "chunk", block.alias("block")).join(full, "cls")
+    members = blocks.select(
+        "cls", "band", "chunk", block.alias("block"), (low == high).alias("inside")).join(full, "cls")
     return verified(members.repartition("block").sortWithinPartitions("block", "cls"), threshold)

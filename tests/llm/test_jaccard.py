@@ -88,6 +88,17 @@ def test_copies_that_pass_the_filter(session, monkeypatch):
     assert got == {i: (i % 60 // 2 * 2, 1, 50, i < 60 and i % 2 == 0) for i, _ in rows}
 
 
+def test_chunks_without_members(session, monkeypatch):
+    """Chunks far smaller than a set: many have no members, and no link counts twice."""
+    monkeypatch.setattr(jaccard, "CHUNK_NGRAMS", 20)
+    rows = [(i, " ".join([*(f"g{g}w{j}" for j in range(99)), f"x{i}"])) for g in range(8)
+            for i in range(g * 10, g * 10 + 2 + g % 2)]
+    docs = session.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in jaccard.join(docs).collect()}
+    assert got == brute.near_groups(rows)
+    assert {n for _, n, _ in got.values()} == {1, 2}
+
+
 def test_components(session):
     chain = [(bytes([i]), bytes([i + 1])) for i in range(40)] + [(b"x", b"y"), (b"z", b"y"), (b"q", b"q")]
     got = {bytes(r.node): bytes(r.root) for r in jaccard.components(
