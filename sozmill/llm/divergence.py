@@ -24,9 +24,10 @@ CLASSES = {"upper": "\\p{Lu}", "digit": "\\p{Nd}", "point": "\\p{P}", "symbol":
 COMMON_WORDS = 16
 #: Common words are looked for among short words, which keeps their counts small.
 COMMON_LENGTH = 5
-#: A language has its own reference from this share of all words; others share the pooled one.
-LEAST_SHARE = 1 / 256
-POOLED = "*"
+#: A language has its own reference from so many words; the word rule can't judge one of fewer.
+LEAST_WORDS = 10_000
+#: So many references are broadcast, the largest first; documents of other languages are joined to theirs.
+BROADCAST = 4096
 #: A distance beyond ``limit + slack / sqrt(length)`` rejects, as histograms of short texts are noisy.
 #: The guards are the lengths, in characters or words, from which a rule holds at all.
 CLASS_LIMIT, CLASS_SLACK, GUARD_CHARS = 0.20, 1.2, 200
@@ -122,68 +123,76 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row a language: ``ref_lang, ref_classes, ref_words, ref_counts``.
+    """One row a language of ``LEAST_WORDS`` or more: ``ref_lang, ref_classes, ref_words, ref_counts``.
 
     ``ref_words`` are hashes of the commonest words, ``ref_counts`` their counts
-    and that of all other words. Only languages with 1/256 of all words have a
-    row, so there are 257 rows of fixed size at most, the pooled one included.
+    and that of all other words. The row of a null language has the classes of all
+    documents, and no words: those of several languages are no measure of any one.
+    A stored table of small rows.
     """
-    spark = docs.sparkSession
     content = F.coalesce(F.col(text), F.lit(""))
+    bins = range(len(CLASSES) + 1)
     # A row for each language, read once from the texts.
     totals = stored(
         docs.select(F.col(lang).alias("lang"), classes(content).alias("c"), F.size(words_of(F.col(text))).alias("n"))
         .groupBy("lang")
-        .agg(F.sum("n").alias("n"), *[F.sum(F.get("c", k)).alias(f"c{k}") for k in range(len(CLASSES) + 1)])
+        .agg(F.sum("n").alias("n"), *[F.sum(F.get("c", k)).cast("double").alias(f"c{k}") for k in bins])
     )
-    everything = totals.agg(F.sum("n").alias("n"), *[
-        F.sum(f"c{k}").alias(f"c{k}") for k in range(len(CLASSES) + 1)]).first()
-    if not everything.n:
-        return spark.createDataFrame([], _REFERENCE)
-    kept = totals.filter(F.col("lang").isNotNull() & (F.col("n") >= LEAST_SHARE * everything.n)).collect()
-    names = [row.lang for row in kept]
-    words = docs.select(
-        F.when(F.col(lang).isin(names), F.col(lang)).alias("lang"), F.explode(words_of(F.col(text))).alias("word"),
+    of_all = totals.agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in bins]).select(
+        F.lit(None).cast("string").alias("ref_lang"), F.array(*[f"c{k}" for k in bins]).alias("ref_classes"),
+        F.lit(None).cast("array<long>").alias("ref_words"), F.lit(None).cast("array<double>").alias("ref_counts"))
+    words = docs.filter(F.col(lang).isNotNull()).select(
+        F.col(lang).alias("lang"), F.explode(words_of(F.col(text))).alias("word"),
     ).filter(F.length("word") <= COMMON_LENGTH)
-    counted = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    pooled = counted.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).alias("lang"), "word", "n")
-    by_rank = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.filter("lang is not null").unionByName(pooled).withColumn(
-        "rank", F.row_number().over(by_rank)).filter(F.col("rank") <= COMMON_WORDS)
-    common = {}
-    for row in top.select("lang", "rank", F.xxhash64("word").alias("hash"), "n").orderBy("lang", "rank").collect():
-        common.setdefault(row.lang, []).append((row.hash, row.n))
-    rows = []
-    for row, name in [*((r, r.lang) for r in kept), (everything, None)]:
-        found = common.get(name, [])
-        rows.append((
-            name if name is not None else POOLED, [float(row[f"c{k}"]) for k in range(len(CLASSES) + 1)],
-            [h for h, _ in found], [float(n) for _, n in found] + [float(row.n - sum(n for _, n in found))]))
-    return spark.createDataFrame(rows, _REFERENCE)
-
-
-_REFERENCE = "ref_lang string, ref_classes array<double>, ref_words array<long>, ref_counts array<double>"
+    counted = words.select("lang", F.xxhash64("word").alias("hash")).groupBy("lang", "hash").agg(
+        F.count(F.lit(1)).alias("n"))
+    by_rank = Window.partitionBy("lang").orderBy(F.desc("n"), "hash")
+    top = counted.withColumn("rank", F.row_number().over(by_rank)).filter(F.col("rank") <= COMMON_WORDS)
+    common = top.groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "hash", F.col("n").cast("double").alias("n")))).alias("common"))
+    counts = F.coalesce(F.col("common.n"), F.array().cast("array<double>"))
+    rest = F.col("n") - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    own = totals.filter(F.col("lang").isNotNull() & (F.col("n") >= LEAST_WORDS)).join(common, "lang", "left").select(
+        F.col("lang").alias("ref_lang"), F.array(*[f"c{k}" for k in bins]).alias("ref_classes"),
+        F.coalesce(F.col("common.hash"), F.array().cast("array<long>")).alias("ref_words"),
+        F.concat(counts, F.array(rest)).alias("ref_counts"))
+    return stored(own.unionByName(of_all))
+
+
+def _held(docs: DataFrame, reference: DataFrame, lang: str) -> DataFrame:
+    """``docs`` with the reference of their language, or null."""
+    own = reference.filter(F.col("ref_lang").isNotNull())
+    if own.count() <= BROADCAST:
+        return docs.join(F.broadcast(own), F.col(lang) == F.col("ref_lang"), "left")
+    words = F.aggregate("ref_counts", F.lit(0.0), lambda a, x: a + x)
+    large = stored(own.orderBy(words.desc(), "ref_lang").limit(BROADCAST))
+    small = own.join(F.broadcast(large.select("ref_lang")), "ref_lang", "left_anti")
+    first = docs.join(F.broadcast(large), F.col(lang) == F.col("ref_lang"), "left")
+    none = F.col("ref_lang").isNull()
+    # Each of these languages has less than 1 / BROADCAST of all words, so none is a hot key.
+    others = first.filter(none & F.col(lang).isNotNull()).select(*docs.columns).join(
+        small, F.col(lang) == F.col("ref_lang"), "left")
+    return first.filter(~none | F.col(lang).isNull()).unionByName(others)
 
 
 def verdicts(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with the base counts, ``class_distance, word_distance, base_failed, kept``.
 
-    ``reference`` comes from ``references``: 257 rows at most, so it is
-    broadcast and no text is shuffled. Null is a text without words: it fails
-    the base. A null or rare language is held against all languages. A distance
-    is null where the document is under the guard, and the rule then passes; so
-    it does if there is no reference. Repeated rows get equal verdicts; columns of
+    ``reference`` comes from ``references`` and is broadcast, so no text is
+    shuffled, but for languages beyond the ``BROADCAST`` largest. Null is a text without
+    words: it fails the base. A null language or one of few words is held against the
+    character classes of all documents; its words can't be judged. A distance
+    is null where that is so or the document is under the guard, and the rule then
+    passes; so it does if there is no reference. Repeated rows get equal verdicts; columns of
     these names are replaced.
     """
     added = (*BASE, "class_distance", "word_distance", "base_failed", "kept")
     docs = docs.drop(*added)
-    own = F.broadcast(reference.filter(F.col("ref_lang") != POOLED))
-    pooled = F.broadcast(reference.filter(F.col("ref_lang") == POOLED).select(
-        F.lit(True).alias("__all"), *[F.col(c).alias(f"__{c}") for c in ("ref_classes", "ref_words", "ref_counts")]))
-    held = docs.join(own, F.col(lang) == F.col("ref_lang"), "left").withColumn("__all", F.lit(True)).join(
-        pooled, "__all", "left")
-    held = held.withColumns({c: F.coalesce(c, f"__{c}") for c in ("ref_classes", "ref_words", "ref_counts")}).drop(
-        "__all", "ref_lang", *[f"__{c}" for c in ("ref_classes", "ref_words", "ref_counts")])
+    of_all = F.broadcast(reference.filter(F.col("ref_lang").isNull()).select(
+        F.lit(True).alias("__all"), F.col("ref_classes").alias("__ref_classes")))
+    held = _held(docs, reference, lang).withColumn("__all", F.lit(True)).join(of_all, "__all", "left")
+    held = held.withColumn("ref_classes", F.coalesce("ref_classes", "__ref_classes")).drop(
+        "__all", "ref_lang", "__ref_classes")
     measured = measure(held, text)
     counts = F.transform("ref_words", lambda w: (
         F.size("__hashes") - F.size(F.array_remove("__hashes", w))).cast("double"))

@@ -44,6 +44,38 @@ def test_verdicts_follow_labels(session):
     assert bad.filter("kept").count() <= 0.1 * bad.count()
 
 
+def test_rare_and_unknown_languages(session):
+    """A clean document's verdict doesn't turn with its language's share of the table."""
+    docs = session.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = session.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    kind = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    few = F.concat(F.lit("few"), F.pmod(F.xxhash64("doc_id"), F.lit(40)).cast("string"))
+    docs = docs.withColumn("lang", F.when(F.col("lang") != "fr", F.col("lang")).when(kind == 0, "fr").when(kind == 1, few))
+    found = divergence.verdicts(docs, divergence.references(docs)).select(
+        "doc_id", "lang", "n_words", "base_failed", "kept", "class_distance", "word_distance").toPandas()
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    found = found[found.doc_id.isin(good) & (found.n_words >= 60) & ~found.base_failed]
+    assert found.kept.all()
+    assert found.word_distance[found.lang == "fr"].notna().all()
+    rare = found[found.lang.isna() | found.lang.fillna("").str.startswith("few")]
+    assert len(rare) > 10 and rare.word_distance.isna().all() and rare.class_distance.notna().any()
+
+
+def test_more_references_than_are_broadcast(session, monkeypatch):
+    docs = session.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn(
+        "lang", F.when(F.col("doc_id") % 10 > 0, F.col("lang")))
+    reference = divergence.references(docs)
+    assert reference.count() == 5
+
+    def judged():
+        rows = divergence.verdicts(docs, reference).select(
+            "doc_id", "kept", "class_distance", "word_distance").collect()
+        return sorted(tuple((x is None, x or 0) for x in r) for r in rows)
+    want = judged()
+    monkeypatch.setattr(divergence, "BROADCAST", 1)
+    assert judged() == want
+
+
 def test_empty_table_and_passing(documents):
     none = documents.limit(0)
     assert divergence.verdicts(none, divergence.references(none)).count() == 0
