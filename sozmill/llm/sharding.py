@@ -2,8 +2,10 @@
 
 Groups are equal texts, ordered by a 64-bit hash. The smallest shard capacity
 is found by binary search, where a greedy pass checks a capacity. The driver
-never sees the groups: it keeps sums over ranges of the key, and only ranges in
-which a cut may fall are split further, by one small aggregation for each level.
+never sees the groups: it keeps sums over ranges of the key. Cutting ranges
+anywhere gives a lower bound of the capacity, leaving them whole an upper one;
+only the ranges at these cuts, two for each shard at most, are split further, by
+one small aggregation for each level, until the bounds meet.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from .common import stored
 
 FIRST_BITS, MORE_BITS = 12, 6
 ROWS_PER_BUCKET = 100_000
-_LOW, _HIGH = -(1 << 63), (1 << 63) - 1
+_HIGH = (1 << 63) - 1
 
 
 class Ranges:
@@ -27,6 +29,11 @@ class Ranges:
         self.sums = np.concatenate([[0], np.cumsum([r[2] for r in self.rows], dtype=np.int64)])
         self.open = np.array([a < b for a, b, _ in self.rows], dtype=bool)  # more than one group
 
+    @property
+    def largest_group(self) -> int:
+        """The largest range of a single group; no capacity is below it."""
+        return max((r[2] for r, more in zip(self.rows, self.open) if not more), default=0)
+
     @property
     def total(self) -> int:
         return int(self.sums[-1])
@@ -84,29 +91,39 @@ class Ranges:
         return out, wanted
 
 
-def _split(groups: DataFrame, ranges: list[tuple[int, int]], bits: int) -> list[tuple[int, int, int]]:
-    """Sizes of the parts of some key ranges: each is cut into ``2 ** bits`` at most."""
-    cell = None
-    for low, high in ranges:
-        shift = max(0, (high - low).bit_length() - bits)
-        inside = F.col("key").between(low, high)
-        value = F.struct(F.lit(low).alias("low"), F.shiftright("key", shift).alias("cell"))
-        cell = F.when(inside, value) if cell is None else cell.when(inside, value)
-    rows = (
-        groups.select(cell.alias("cell"), "key", "size").filter("cell is not null").groupBy("cell")
-        .agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("size"))
-        .select("low", "high", "size").collect()
-    )
-    return [tuple(r) for r in rows]
+def _summed(cells: DataFrame, *by) -> list[tuple[int, int, int]]:
+    rows = cells.groupBy(*by).agg(
+        F.min("key").alias("low"), F.max("key").alias("high"), F.sum("size").alias("size"))
+    return [tuple(r) for r in rows.select("low", "high", "size").collect()]
+
+
+def _first(groups: DataFrame) -> list[tuple[int, int, int]]:
+    """Sizes of the first cells, which share their upper ``FIRST_BITS`` bits."""
+    return _summed(groups, F.shiftright("key", 64 - FIRST_BITS))
+
 
+def _split(groups: DataFrame, ranges: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Sizes of the parts of some key ranges: each is cut into ``2 ** MORE_BITS`` at most.
 
-def _touched(found: Ranges, n: int, low: int, high: int) -> set[int]:
-    """Open ranges in which a cut may fall for a capacity between the bounds."""
-    out = set()
-    for a, b in zip(found.cuts(low, n, True), found.cuts(high, n, True)):
-        first, last = sorted((found.at(a), found.at(b)))
-        out.update(i for i in range(first, min(last, len(found.rows) - 1) + 1) if found.open[i])
-    return out or set(np.flatnonzero(found.open).tolist())
+    A range lies inside one first cell, which is the key of the join with the
+    few ranges, at most two for each cut between shards.
+    """
+    rows = [(low >> (64 - FIRST_BITS), low, high, max(0, (high - low).bit_length() - MORE_BITS))
+            for low, high in ranges]
+    wanted = groups.sparkSession.createDataFrame(rows, "cell long, first long, last long, bits int")
+    inside = groups.withColumn("cell", F.shiftright("key", 64 - FIRST_BITS)).join(
+        F.broadcast(wanted), "cell").filter(F.col("key").between(F.col("first"), F.col("last")))
+    return _summed(inside, "first", F.expr("shiftright(key, bits)"))
+
+
+def _undecided(found: Ranges, n: int, low: int, high: int) -> set[int]:
+    """Open ranges that are cut by the greedy passes for the two bounds.
+
+    At least one is: cuts for the lower bound that split no range would make it the least capacity.
+    """
+    cuts = [*found.cuts(low, n, True), *found.cuts(high, n, False)]
+    last = len(found.rows) - 1
+    return {i for i in (min(found.at(c), last) for c in cuts) if found.open[i]}
 
 
 def minimax_cuts(groups: DataFrame, n: int) -> list[int]:
@@ -114,18 +131,18 @@ def minimax_cuts(groups: DataFrame, n: int) -> list[int]:
 
     Rows of one key are one group. An empty table has no cuts, all in shard 0.
     """
-    rows = _split(groups, [(_LOW, _HIGH)], FIRST_BITS)
+    rows = _first(groups)
     while rows:
         found = Ranges(rows)
-        low, high = found.least(n, True), found.least(n, False)
+        low, high = max(found.least(n, True), found.largest_group), found.least(n, False)
         if low < high:
-            wanted = _touched(found, n, low, high)
+            wanted = _undecided(found, n, low, high)
         else:
             cuts, wanted = found.even_cuts(high, n)
         if not wanted:
             return [found.low[i] if i < len(found.rows) else _HIGH
                     for i in (int(np.searchsorted(found.sums, c, "left")) for c in cuts)]
-        part = _split(groups, [found.rows[i][:2] for i in sorted(wanted)], MORE_BITS)
+        part = _split(groups, [found.rows[i][:2] for i in sorted(wanted)])
         rows = [r for i, r in enumerate(found.rows) if i not in wanted] + part
     return []
 
