@@ -7,10 +7,14 @@ import functools
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import archives, bpe, cotraining, decontaminate, divergence, extraction, jaccard, language, licenses, sharding
+from . import (
+    archives, bpe, cotraining, decontaminate, divergence, extraction, jaccard, language, licenses, merkle, negatives,
+    packing, sharding,
+)
 from .common import ship, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +96,34 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         licenses.strongest().alias("score"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of at most 2,048 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, WORDS, 2048, 0, carry=lambda found: found.withColumn(
+        "ids_crc32", F.crc32("ids")).drop("ids")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the positives of every fiftieth vector, against all vectors."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=moved)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and what a tampered one folds to."""
+    docs = table(spark, sf_dir, "documents")
+    own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = F.when(hit, merkle.leaf(*own[:3], F.col("n_chars") + 1, own[4]))
+    made = merkle.manifest(docs, "lang", "doc_id", merkle.leaf(*own), doc_id=F.col("doc_id"), tampered=changed)
+    root = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return made.proofs().select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        root.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def shipped(query):
     """``query``, after the executors got this package."""
     @functools.wraps(query)
@@ -105,4 +137,5 @@ def queries() -> dict:
     return {f.__name__: shipped(f) for f in (
         op1_cotrained_quality, op2_byte_bpe, op3_divergence_rules, op4_ngram_jaccard_join,
         op5_decontamination, op6_language_id, op7_minimax_shards,
-        op8_arc_to_warc, op9_html_main_text, op10_license_scan)}
+        op8_arc_to_warc, op9_html_main_text, op10_license_scan, op11_best_fit_packing,
+        op12_hard_negatives, op13_merkle_manifest)}
