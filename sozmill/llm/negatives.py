@@ -349,8 +349,8 @@ def mine(
     lists = found.groupBy("row").agg(F.sort_array(F.collect_list(
         F.struct("positive_rank", low.alias("low"), high.alias("high")))).alias("l"))
     none = F.array(F.lit(1).cast("long"), F.lit(0).cast("long"))  # an empty range
-    limits = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(positives - 1)), lambda i: F.coalesce(
-        F.array(F.get("l", i)["low"], F.get("l", i)["high"]), none)))
+    limits = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(positives - 1)), lambda i: F.when(
+        i < F.size("l"), F.array(F.get("l", i)["low"], F.get("l", i)["high"])).otherwise(none)))
     asked = chosen.join(lists, "row").select(*chosen.columns, limits.alias("limits"))
     asking = packed(asked, many, ANCHORS_PER_BLOCK, positives)
     hard = _ranked(_meet(asking, blocks, dimension, _negatives(negatives, positives)), negatives, "row", "slot")
