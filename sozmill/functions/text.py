@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .encoding import high_characters, may_be_misread, read_back
 from .entities import unescape_html
 from .rules import (
     ASCII_CAPITAL_I,
@@ -34,7 +35,7 @@ from .rules import (
 )
 
 __all__ = [
-    "map_emoji", "repair_encoding", "nfc", "settle_entities", "unescape_html", "strip_tags", "tag_urls",
+    "high_characters", "map_emoji", "may_be_misread", "read_back", "repair_encoding", "nfc", "settle_entities", "unescape_html", "strip_tags", "tag_urls",
     "tag_emails", "tag_phones", "tag_mentions", "split_hashtags", "lower_az",
     "squeeze_punctuation", "squeeze_spaces", "tag_numbers", "drop_punctuation",
     "extract_tokens", "collapse_repeats", "fix_spelling", "mark_negation",
@@ -117,10 +118,11 @@ def has_wide(text: Column) -> Column:
 def may_need_repair(text: Column) -> Column:
     """False only where the emoji and encoding rules change nothing.
 
-    One pass over one character class; coarse, so that the class stays simple.
+    Passes over simple character classes; coarse, so that they stay simple.
     """
     leads = "".join(sorted({wrong[0] for wrong, _ in _mojibake_pairs()}))
-    return text.rlike(rf"[{leads}{_ASCII_CONTROL}\x{{206A}}-\x{{206F}}\x{{E000}}-\x{{1FFFF}}]")
+    odd = text.rlike(rf"[{leads}{_ASCII_CONTROL}\x{{206A}}-\x{{206F}}\x{{E000}}-\x{{1FFFF}}]")
+    return odd | may_be_misread(text)
 
 
 def narrow(text: Column) -> Column:
@@ -144,8 +146,8 @@ def drop_control(text: Column) -> Column:
 
 
 def repair_encoding(text: Column) -> Column:
-    """Repair common mojibake, wide forms, ligatures, controls; then NFC."""
-    out = drop_control(narrow(split_ligatures(repair_mojibake(F.coalesce(text, F.lit(""))))))
+    """Read misread lines back, repair common letters in the rest, wide forms, ligatures, controls; then NFC."""
+    out = drop_control(narrow(split_ligatures(repair_mojibake(read_back(F.coalesce(text, F.lit("")))))))
     return F.when(may_compose(out), nfc(out)).otherwise(out)
 
 
@@ -162,14 +164,26 @@ def may_have_url(text: Column) -> Column:
 def settle_entities(text: Column) -> Column:
     """Replace nested character references until none is left, in lines without ``<``.
 
-    A reading that changes a line takes the name of an ampersand away from
-    it, so there are no more readings than such names, and one.
+    A line is read again only while that changes it. It has more readings than
+    its references and names of ampersands at no time, as each uses up one.
     """
     def settled(line: Column) -> Column:
-        readings = F.regexp_count(line, F.lit("(?i)amp|#0*38|#x0*26")) + 1
-        return F.aggregate(
-            F.sequence(F.lit(1), readings), line,
-            lambda t, _: F.when(t.contains("&"), unescape_html(t)).otherwise(t))
+        most = F.regexp_count(line, F.lit("(?i)&|amp|#0*38|#x0*26")) * 2 + 1
+        # Two loops, as one can't be left: after the last reading only the outer one runs on.
+        some = F.sequence(F.lit(1), F.ceil(F.sqrt(most)).cast("int"))
+        start = F.struct(F.lit("").alias("before"), line.alias("now"))
+
+        def read(state: Column, _: Column) -> Column:
+            before, now = state["before"], state["now"]
+            settled = F.struct(F.lit(None).cast("string").alias("before"), now.alias("now"))
+            again = F.struct(now.alias("before"), unescape_html(now).alias("now"))
+            return F.when(before.isNull(), state).when(
+                (before == now) | ~now.rlike("&[#A-Za-z]"), settled).otherwise(again)
+
+        def read_some(state: Column, _: Column) -> Column:
+            return F.when(state["before"].isNull(), state).otherwise(F.aggregate(some, state, read))
+
+        return F.aggregate(some, start, read_some, lambda state: state["now"])
 
     lines = F.transform(F.split(text, "\n", -1), lambda line: F.when(
         line.contains("&") & ~line.contains("<"), settled(line)).otherwise(line))

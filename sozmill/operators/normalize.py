@@ -49,6 +49,7 @@ def _start(df: DataFrame, text: str) -> DataFrame:
 def _repair(df: DataFrame) -> DataFrame:
     """Encoding repair for odd rows, NFC where a character may compose."""
     odd = F.col(_ODD)
+    df = _apply(df, lambda t: odd & X.may_be_misread(t), X.read_back)
     df = _apply(df, lambda t: odd, lambda t: X.split_ligatures(X.repair_mojibake(t)))
     df = _apply(df, lambda t: odd & X.has_wide(t), X.narrow)
     return _apply(_apply(df, lambda t: odd, X.drop_control), X.may_compose, X.nfc)
