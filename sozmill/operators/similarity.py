@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions.vectors import cosine, cosine_from, dot, norm
+from ..functions.vectors import cosine
+from .neighbours import search
 
 # Probe pairs and seed words of the evaluation.
 SYNONYMS = (
@@ -56,66 +57,43 @@ def pair_means(similarities: DataFrame, *by: str) -> DataFrame:
     )
 
 
-# Seeds are carried to the vectors in arrays of about this many.
-SEEDS_AT_ONCE = 1000
-
-
 def nearest_neighbours(
     vectors: DataFrame, seeds: DataFrame, k: int = 5, query_vectors: DataFrame | None = None
 ) -> DataFrame:
     """The ``k`` most similar other words of each seed, as ``seed, rank, word, cosine``.
 
-    ``seeds`` is a table with a ``word`` column. Up to ``SEEDS_AT_ONCE`` seeds
-    travel as one array that every vector is compared with in place. Longer
-    lists are cut into such arrays by hash and joined on a salt of the vectors, of
-    which there are as many as shuffle partitions, so no group of seeds meets all
-    vectors in one task. Ties go to the word that sorts first. Seeds without a vector give
-    no row. ``query_vectors`` supplies seed vectors from another table, as for
-    words known only through their parts.
+    ``seeds`` is a table with a ``word`` column. Each task finds its best ``k`` of a seed by pivots and
+    triangle bounds, without scoring or sorting all pairs; the window sees only those. Ties go to
+    the word that sorts first. Seeds without a vector give no row, vectors without a length are no one's
+    neighbour. ``query_vectors`` supplies seed vectors from another table, as for words known only through their parts.
     """
     source = vectors if query_vectors is None else query_vectors
-    seeds = seeds.select("word").distinct()
-    wanted = source.join(seeds, "word", "left_semi")
-    table = vectors.select("word", "vector", norm(F.col("vector")).alias("__norm"))
-    groups = -(-seeds.count() // SEEDS_AT_ONCE)
-    if groups <= 1:
-        scored = _scores(table.withColumn("__seeds", wanted.agg(_packed()).scalar()))
-    else:
-        group = F.pmod(F.xxhash64("word"), F.lit(groups)).cast("int").alias("__group")
-        # Each vector is shuffled once, by salt; a salt meets the arrays one after the other.
-        parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__salt")
-        arrays = wanted.groupBy(group).agg(_packed().alias("__seeds")).select("__seeds", salts)
-        spread = table.withColumn("__salt", F.pmod(F.hash("word"), F.lit(parts)))
-        scored = _scores(spread.join(arrays, "__salt"))
-    # Spark keeps only the k best of each task before this window's shuffle.
+    wanted = source.join(seeds.select("word").distinct(), "word", "left_semi")
+    found = search(vectors, wanted, k).filter("word is not null")
     best = Window.partitionBy("seed").orderBy(F.desc("cosine"), "word")
-    return (
-        scored.filter((F.col("word") != F.col("seed")) & F.col("cosine").isNotNull())
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("seed", "rank", "word", "cosine")
-    )
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
+        "seed", "rank", "word", "cosine")
 
 
-def _packed() -> Column:
-    return F.collect_list(
-        F.struct(
-            F.col("word").alias("seed"),
-            F.col("vector").alias("vector"),
-            norm(F.col("vector")).alias("norm"),
-        )
-    )
+def list_overlap(one: DataFrame, other: DataFrame, k: int) -> DataFrame:
+    """How alike the neighbour lists of two models are, as ``seed, shared, overlap``.
 
-
-def _scores(table: DataFrame) -> DataFrame:
-    def score(s: Column) -> Column:
-        product = dot(F.col("vector"), s["vector"])
-        value = cosine_from(product, F.col("__norm"), s["norm"])
-        return F.struct(s["seed"].alias("seed"), value.alias("cosine"))
-
-    exploded = table.select("word", F.explode(F.transform("__seeds", score)).alias("s"))
-    return exploded.select(F.col("s.seed").alias("seed"), "word", F.col("s.cosine").alias("cosine"))
+    ``shared`` counts the words in both lists. ``overlap`` is the mean, over the depths 1 to ``k``, of the
+    share of words that both lists have in common so far; so the first places weigh most, and 1 means
+    the same words in the same order. A seed without neighbours in either list has 0.
+    """
+    lists = [df.groupBy("seed").agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias(name))
+             for df, name in ((one, "__a"), (other, "__b"))]
+    none = F.array().cast("array<string>")
+    both = lists[0].join(lists[1], "seed", "full").select(
+        "seed", *[F.coalesce(F.col(f"{n}.word"), none).alias(n) for n in ("__a", "__b")])
+
+    def common(depth: Column) -> Column:
+        return F.size(F.array_intersect(F.slice("__a", 1, depth), F.slice("__b", 1, depth)))
+
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(k)), F.lit(0.0),
+                        lambda t, depth: t + common(depth).cast("double") / depth)
+    return both.select("seed", common(F.lit(k)).cast("long").alias("shared"), (total / k).alias("overlap"))
 
 
 def neighbour_lists(neighbours: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -57,13 +57,63 @@ def word_vectors_from(grams: DataFrame, words: DataFrame, min_n: int = 3, max_n:
     )
 
 
+#: Slots of a table of hashed n-grams, as many as is usual for subword models.
+BUCKETS = 2_000_000
+
+
+def bucket(ngram: Column, buckets: int) -> Column:
+    """The slot of an n-gram: CRC-32 of its UTF-8 bytes, modulo the number of slots."""
+    return (F.crc32(ngram.cast("binary")) % buckets).cast("int")
+
+
+def _bucketed(words: DataFrame, buckets: int, min_n: int, max_n: int) -> DataFrame:
+    return explode_ngrams(words, min_n, max_n).withColumn("bucket", bucket(F.col("ngram"), buckets)).drop("ngram")
+
+
+def bucket_vectors(
+    vectors: DataFrame, buckets: int = BUCKETS, min_n: int = 3, max_n: int = 6
+) -> DataFrame:
+    """``bucket, words, vector``: as ``ngram_vectors``, with the n-grams hashed into ``buckets`` slots.
+
+    The table has at most that many rows, however many words and n-grams there are. N-grams that share
+    a slot share a vector; an n-gram of a word counts once, two in a slot count twice.
+    """
+    return _bucketed(vectors.select("word", "vector", "cnt"), buckets, min_n, max_n).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("words"), _mean(F.col("cnt").cast("double")).alias("vector"))
+
+
+def word_vectors_from_buckets(
+    table: DataFrame, words: DataFrame, buckets: int = BUCKETS, min_n: int = 3, max_n: int = 6
+) -> DataFrame:
+    """Mean of the slots of each word's n-grams; words without a filled slot are left out."""
+    parts = _bucketed(words.select("word").distinct(), buckets, min_n, max_n)
+    return parts.join(table.select("bucket", "vector"), "bucket").groupBy("word").agg(
+        F.count(F.lit(1)).alias("ngrams"), _mean().alias("vector"))
+
+
+def membership(composed: DataFrame, words: DataFrame) -> DataFrame:
+    """``word, in_vocab, has_vector`` for each of ``words``; ``composed`` comes from ``subword_vectors``.
+
+    A subword model answers for every word with a vector, but only its own words count as covered.
+    """
+    found = composed.select("word", "in_vocab", F.lit(True).alias("has_vector"))
+    return words.select("word").distinct().join(found, "word", "left").fillna(False, ["in_vocab", "has_vector"])
+
+
 def subword_vectors(
-    vectors: DataFrame, words: DataFrame, min_n: int = 3, max_n: int = 6
+    vectors: DataFrame, words: DataFrame, min_n: int = 3, max_n: int = 6, buckets: int | None = None
 ) -> DataFrame:
-    """A vector for each of ``words``: its own if known, else from n-grams."""
+    """A vector for each of ``words``: its own if known, else from n-grams.
+
+    With ``buckets`` the n-grams are hashed into so many slots.
+    """
     known = vectors.join(words.select("word").distinct(), "word", "left_semi")
     unknown = words.select("word").distinct().join(vectors.select("word"), "word", "left_anti")
-    built = word_vectors_from(ngram_vectors(vectors, min_n, max_n), unknown, min_n, max_n)
+    if buckets is None:
+        built = word_vectors_from(ngram_vectors(vectors, min_n, max_n), unknown, min_n, max_n)
+    else:
+        table = bucket_vectors(vectors, buckets, min_n, max_n)
+        built = word_vectors_from_buckets(table, unknown, buckets, min_n, max_n)
     return known.select(
         "word", F.col("vector").cast("array<double>").alias("vector"), F.lit(True).alias("in_vocab")
     ).unionByName(built.select("word", "vector", F.lit(False).alias("in_vocab")))

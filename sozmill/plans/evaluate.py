@@ -37,11 +37,12 @@ def evaluate(
 
 
 def evaluate_subwords(
-    vectors: DataFrame, counts: DataFrame, pairs: DataFrame, min_n: int = 3, max_n: int = 6
+    vectors: DataFrame, counts: DataFrame, pairs: DataFrame, min_n: int = 3, max_n: int = 6,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """As ``evaluate``, but every probe word has a vector through its n-grams."""
+    """As ``evaluate``, but every probe word has a vector through its n-grams, hashed or not."""
     words = pairs.select(F.col("a").alias("word")).union(pairs.select("b")).distinct()
-    composed = subword_vectors(vectors, words, min_n, max_n)
+    composed = subword_vectors(vectors, words, min_n, max_n, buckets)
     return evaluate(composed, counts, pairs, vocab=vectors)
 
 
