@@ -7,6 +7,7 @@ label already mapped to ``sentiment_value`` by the scheme of its source.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -29,6 +30,9 @@ CANONICAL = T.StructType(
     ]
 )
 READ_STATUS = "source string, status string, detail string"
+#: Holds the whole record where a row of a text format can't be read.
+CORRUPT = "__corrupt"
+TEXT_FORMATS = ("csv", "json")
 
 
 @dataclass(frozen=True)
@@ -36,7 +40,8 @@ class SourceSpec:
     """Where a labelled table is and how to read its label.
 
     ``order_col`` names a column that holds the row order. Without it the
-    order in the files is used.
+    order in the files is used. ``options`` are the reader's; ``schema`` among them
+    is the schema, which spares inferring it.
     """
 
     name: str
@@ -64,13 +69,38 @@ DEFAULT_SOURCES = (
 
 
 def read_table(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
-    """The raw table, or None if there is nothing at its path."""
+    """The raw table, or None if there is nothing at its path.
+
+    Tables of text formats have a column ``CORRUPT``: null, or the record that isn't
+    as the others are, such as a CSV row with another number of fields.
+    """
+    options = {k: v for k, v in spec.options.items() if k != "schema"}
+    reader = spark.read.format(spec.fmt).options(**options)
     try:
-        return spark.read.format(spec.fmt).options(**spec.options).load(spec.path)
+        df = (reader.schema(spec.options["schema"]) if "schema" in spec.options else reader).load(spec.path)
+        if "schema" in spec.options and spec.fmt in TEXT_FORMATS:
+            df.inputFiles()  # with a schema Spark looks for the files only now
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in (error.getCondition() or ""):
             return None
         raise
+    if spec.fmt not in TEXT_FORMATS:
+        return df
+    # All fields must be parsed, else a bad one that isn't asked for goes unseen.
+    fields = [f for f in df.schema if f.name != "_corrupt_record"]
+    return spark.read.format(spec.fmt).options(**options).options(
+        mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False,
+    ).schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])).load(spec.path)
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Readable rows, and the records that aren't; None for formats that have none."""
+    if CORRUPT not in df.columns:
+        return df, None
+    # Spark wants more than that column to be read.
+    others = F.array(*[F.col(f"`{c}`").isNull() for c in df.columns if c != CORRUPT])
+    bad = df.filter(F.col(CORRUPT).isNotNull() & (F.size(others) >= 0))
+    return df.filter(F.col(CORRUPT).isNull() & (F.size(others) >= 0)), bad
 
 
 def with_row_order(df: DataFrame, name: str = "row_ord", fmt: str = "parquet") -> DataFrame:
@@ -141,7 +171,7 @@ def _present(value: Column, data_type: T.DataType) -> Column:
 
 def canonical(df: DataFrame, spec: SourceSpec, source_ord: int = 0) -> DataFrame:
     """Project a raw table to the canonical columns; only these are read."""
-    df = df.drop(*JUNK_COLUMNS)
+    df, _ = split_corrupt(df.drop(*JUNK_COLUMNS))
     if spec.order_col is None:
         df = with_row_order(df, "__row_ord", spec.fmt)
         order = F.col("__row_ord")
@@ -168,9 +198,10 @@ def read_sources(spark: SparkSession, specs) -> tuple[DataFrame, DataFrame]:
     """Union of all readable sources in list order, and one status row each.
 
     A missing table or column skips that source, as its status row says; any
-    other failure is raised.
+    other failure is raised. Rows that can't be read are left out and counted in
+    ``bad_rows`` of the status, when that is computed; so no row is lost unreported.
     """
-    parts, status = [], []
+    parts, status, bad = [], [], []
     for source_ord, spec in enumerate(specs):
         raw = read_table(spark, spec)
         if raw is None:
@@ -182,8 +213,26 @@ def read_sources(spark: SparkSession, specs) -> tuple[DataFrame, DataFrame]:
             continue
         status.append((spec.name, "read", ""))
         parts.append(canonical(raw, spec, source_ord))
+        corrupt = split_corrupt(raw)[1]
+        if corrupt is not None:
+            bad.append(corrupt.select(F.lit(spec.name).alias("source")))
     rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], CANONICAL)
-    return rows, spark.createDataFrame(status, READ_STATUS)
+    said = spark.createDataFrame(status, READ_STATUS)
+    if not bad:
+        return rows, said.withColumn("bad_rows", F.lit(0).cast("long"))
+    counts = reduce(DataFrame.unionByName, bad).groupBy("source").agg(F.count(F.lit(1)).alias("bad_rows"))
+    return rows, said.join(counts, "source", "left").fillna(0, ["bad_rows"])
+
+
+def bad_records(spark: SparkSession, specs) -> DataFrame:
+    """The records themselves that can't be read: ``source, record``."""
+    parts = [spark.createDataFrame([], "source string, record string")]
+    for spec in specs:
+        raw = read_table(spark, spec)
+        corrupt = None if raw is None else split_corrupt(raw)[1]
+        if corrupt is not None:
+            parts.append(corrupt.select(F.lit(spec.name).alias("source"), F.col(CORRUPT).alias("record")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_cleaned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -193,21 +242,46 @@ def read_cleaned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return df.select(*extra, "cleaned_text")
 
 
+def read_corpus(spark: SparkSession, path: str, domain: str | None = None) -> DataFrame:
+    """Corpus lines as ``value``, with their ``domain`` if they were written by domain.
+
+    With a ``domain`` only its folder is listed and read.
+    """
+    df = spark.read.text(path)
+    if domain is None:
+        return df
+    if "domain" not in df.columns:
+        return df.filter(F.col("value").startswith(f"dom{domain} "))
+    return df.filter(F.col("domain") == domain)
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints that all executors share; one is chosen here only in local mode."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = f"{tempfile.gettempdir()}/checkpoints"
+    return folder
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint folder; it is removed when the session's JVM ends."""
+    folder = f"{checkpoint_folder(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage.
 
     Goes to the reliable checkpoint folder of the session, so the result
-    outlives lost executors. A folder is chosen here only in local mode.
+    outlives lost executors.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = f"{tempfile.gettempdir()}/checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint()
 
 
