@@ -452,6 +452,32 @@ GRAMS = f"""{VECTORS},
       GROUP BY word, i)
     GROUP BY word)"""
 
+def crc32(expr: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    codes = f"list_transform(string_split({expr}, ''), lambda c: ascii(c)::BIGINT)"
+    byte = ("list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: "
+            "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))")
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def slots(source: str, columns: str, buckets: int = 3000) -> str:
+    """The slot of each n-gram of each word."""
+    return f"SELECT {columns}, {crc32('ngram')} % {buckets} AS bucket FROM ({grams(source, columns)})"
+
+
+SLOTS = f"""{VECTORS},
+  slot_dims AS MATERIALIZED (
+    SELECT bucket, i, sum(cnt * vector[i]) / sum(cnt) AS x, count(*) AS words
+    FROM (SELECT bucket, cnt, vector, unnest(range(1, 65)) AS i FROM ({slots('vectors', 'word, cnt, vector')}))
+    GROUP BY bucket, i),
+  slot_vectors AS MATERIALIZED (
+    SELECT bucket, any_value(words) AS words, list(x ORDER BY i) AS vector FROM slot_dims GROUP BY bucket)"""
+
+HALF = """
+  half AS MATERIALIZED (SELECT word, list_concat(list_concat(
+    list_transform(vector[33:64], lambda x: -x), vector[1:16]), list_transform(range(16), lambda x: 0.0)) AS vector
+    FROM vectors)"""
+
 VECTOR_SUMS = """round(list_sum(vector), 6) AS total,
   round(sqrt(list_dot_product(vector, vector)), 6) AS length,
   round(list_sum(list_transform(vector, lambda x, i: x * i)), 5) AS moment"""
@@ -491,6 +517,50 @@ def oracle_sql() -> dict[str, str]:
       SELECT 'talk' AS source, 'read' AS status, (SELECT count(*) FROM conversations) AS n
       UNION ALL SELECT 'nothing', 'missing', 0 UNION ALL SELECT 'lacking', 'no columns', 0
       UNION ALL SELECT 'labels', 'read', (SELECT count(*) FROM labels)"""
+    cut = "(conv_id + turn) % 7 = 0"
+    sql["read_sources_bad_rows"] = f"""
+      SELECT 'labels' AS source, 'read' AS status, count(*) FILTER (WHERE doc_id % 10 IN (3, 7)) AS bad_rows,
+        count(*) FILTER (WHERE doc_id % 10 NOT IN (3, 7)) AS n,
+        count(quality) FILTER (WHERE doc_id % 10 NOT IN (3, 7)) AS labelled FROM labels
+      UNION ALL SELECT 'turns', 'read', count(*) FILTER (WHERE {cut}), count(*) FILTER (WHERE NOT {cut}),
+        count(role) FILTER (WHERE NOT {cut}) FROM conversations
+      UNION ALL SELECT 'nothing', 'missing', 0, 0, 0"""
+    sql["bad_records"] = f"""
+      SELECT 'labels' AS source, CASE WHEN doc_id % 10 = 3 THEN doc_id::VARCHAR
+        ELSE concat_ws(',', doc_id, quality, toxic) || ',more,fields' END AS record
+      FROM labels WHERE doc_id % 10 IN (3, 7)
+      UNION ALL SELECT 'turns', left(j, length(j) - 3) FROM (SELECT to_json(
+        {{'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}})::VARCHAR AS j FROM conversations WHERE {cut})"""
+    sql["junk_columns"] = f"""SELECT 'talk' AS source, 0 AS source_ord, conv_id * 1000 + turn AS row_ord, text,
+        role IS NOT NULL AS has_label, {tri('role')} AS sentiment_value,
+        'source,source_ord,row_ord,text,has_label,sentiment_value' AS columns FROM conversations"""
+    sql["sink_by_source"] = f"""WITH {ROWS}, r AS (SELECT * FROM rows_all
+        WHERE text IS NOT NULL AND has_label AND v IS NOT NULL AND (source = 'documents'
+          OR source = 'conversations' AND v = 1.0)),
+      c AS (SELECT source, count(*) AS n, sum(length(text))::BIGINT AS chars, sum(row_ord)::BIGINT AS mark
+            FROM r GROUP BY source)
+      SELECT source, n, chars, mark, CASE WHEN source <> 'documents' THEN n END AS written FROM c
+      UNION ALL SELECT 'benchmark', 0, 0, 0, 0"""
+    sql["corpus_store"] = f"""WITH {CORPUS}
+      SELECT value, (SELECT count(*) FROM corpus) AS lines FROM corpus WHERE domain = 'reviews'"""
+    sql["vector_store"] = f"""WITH {VECTORS}
+      SELECT kind, a, b, round(c, 6) AS cosine, (SELECT round(sum(CASE WHEN v.word || v.cnt IN (SELECT word FROM vectors)
+        THEN cnt ELSE 0 END) / sum(cnt)::DOUBLE, 9) FROM vectors v) AS coverage FROM ({pair_cosines()})"""
+    given = {
+        "vector_size": ("n::VARCHAR", "read"),
+        "window": ("CASE WHEN label % 3 = 0 THEN 'wide' ELSE (label + 2)::VARCHAR END",
+                   "CASE WHEN label % 3 = 0 THEN 'wrong type' ELSE 'read' END"),
+        "sample": ("CASE WHEN label % 2 = 0 THEN '0.001' ELSE 'much' END",
+                   "CASE WHEN label % 2 = 0 THEN 'read' ELSE 'wrong type' END"),
+    }
+    rows = []
+    for key in "vector_size window min_count epochs sample seed min_n max_n sg negative".split():
+        value, status = given.get(key, ("NULL", "missing"))
+        status = status if status.startswith("CASE") else q(status)
+        rows.append(f"SELECT label, {q(key)} AS key, {value} AS given, {status} AS status FROM l WHERE label <> 7")
+    sql["params_report"] = "WITH l AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label) " + " UNION ALL ".join(
+        [*rows, """SELECT label, 'colour', '[1,"red"]', 'unknown' FROM l WHERE label % 4 = 1""",
+         "SELECT label, NULL, NULL, 'no object' FROM l WHERE label = 7"])
     sql["head_n_sentences"] = f"""WITH {ROWS} SELECT source, row_ord, text FROM (
         SELECT *, source_ord AS so FROM rows_all ORDER BY source_ord, row_ord LIMIT 700)"""
 
@@ -506,6 +576,14 @@ def oracle_sql() -> dict[str, str]:
       SELECT page_id, {unescaped('t')} AS t FROM u4"""
     sql["html_url_email_tags"] = f"""SELECT page_id, {emails(urls(sub(
         f"html || ' ' || url || ' ' || {injected('length(html)')}", '<[^>]+>')))} AS t FROM pages"""
+    sql["encoding_round_trip"] = """SELECT doc_id, doc_id % 4 > 0 AND strlen(text) > length(text) AS garbled,
+      text AS t FROM documents"""
+    bare = sub("text", rf"[^{W}{S}<>.!?" + "']")
+    for mark in "!?.,;:":
+        bare = sub(bare, f"[{mark}]{{2,}}", mark)
+    sql["sentence_marks"] = f"""WITH {DOCS}, b AS (SELECT doc_id, trim({sub(bare, f'[{S}]+')}) AS t FROM docs)
+      SELECT doc_id, t, len(list_filter(regexp_split_to_array(t, '[.!?]+'),
+        lambda x: regexp_matches(x, '[^{S}]')))::BIGINT AS sentences FROM b"""
     sql["phone_number_tags"] = docs + (
         f"{phones('text')} AS phones, {sub(phones('text'), D + '+', ' <NUM> ')} AS numbers FROM docs")
     sql["mention_tags"] = docs + f"{mentions('text')} AS t FROM docs"
@@ -644,6 +722,45 @@ def oracle_sql() -> dict[str, str]:
       FROM seeds s CROSS JOIN (SELECT unnest(['plain', 'subword']) AS model) m
         LEFT JOIN best b ON b.model = m.model AND b.seed = s.word AND b.rank <= 5
       GROUP BY m.model, s.word"""
+    sql["neighbours_all"] = f"""WITH {VECTORS}
+      SELECT a.word AS seed, b.word, round({cos('a.vector', 'b.vector')}, 6) AS cosine
+      FROM vectors a JOIN vectors b ON a.word <> b.word
+      QUALIFY row_number() OVER (PARTITION BY a.word ORDER BY {cos('a.vector', 'b.vector')} DESC, b.word) = 1"""
+    ranked = " UNION ALL ".join(f"""SELECT '{name}' AS model, x.word AS seed, y.word, row_number() OVER (
+        PARTITION BY x.word ORDER BY {cos('x.vector', 'y.vector')} DESC, y.word) AS r
+      FROM {name} x JOIN {name} y ON y.word <> x.word JOIN seeds s ON s.word = x.word""" for name in ("vectors", "half"))
+    sql["negation_neighbours"] = f"""WITH {VECTORS}, {HALF.lstrip()},
+      seeds AS (SELECT word FROM vectors WHERE vec_id % 10 = 0
+                UNION ALL SELECT 'w' || (max(vec_id) + 1) FROM embeddings),
+      best AS MATERIALIZED (SELECT * FROM ({ranked}) WHERE r <= 5),
+      common AS (SELECT a.seed, greatest(a.r, b.r) AS depth FROM best a JOIN best b USING (seed, word)
+                 WHERE a.model = 'vectors' AND b.model = 'half')
+      SELECT s.word AS seed, count(depth) AS shared,
+        round(coalesce(sum(list_sum(list_transform(range(depth, 6), lambda d: 1.0 / d))), 0.0) / 5, 9)::DOUBLE AS overlap
+      FROM seeds s LEFT JOIN common c ON c.seed = s.word GROUP BY s.word"""
+    probes = f"""{SLOTS}, probe AS MATERIALIZED (SELECT kind, a, CASE WHEN b LIKE '%3' THEN b || 'x' ELSE b END AS b
+        FROM pairs),
+      asked AS (SELECT a AS word FROM probe UNION SELECT b FROM probe),
+      unknown AS (SELECT word FROM asked WHERE word NOT IN (SELECT word FROM vectors)),
+      composed AS MATERIALIZED (
+        SELECT word, vector FROM vectors
+        UNION ALL SELECT word, list(x ORDER BY i) FROM (
+          SELECT word, i, avg(v[i]) AS x FROM (
+            SELECT g.word, v.vector AS v, unnest(range(1, 65)) AS i
+            FROM ({slots('unknown', 'word')}) g JOIN slot_vectors v USING (bucket)) GROUP BY word, i) GROUP BY word)"""
+    sql["evaluate_subwords"] = f"""WITH {probes},
+      m AS ({means('(' + pair_cosines('composed').replace('FROM pairs p', 'FROM probe p') + ')')}),
+      cov AS (SELECT label, sum(CASE WHEN vec_id % 5 <> 0 THEN cnt ELSE 0 END) / sum(cnt)::DOUBLE AS c
+              FROM vectors GROUP BY label)
+      SELECT round(syn, 6) AS syn_mean, round(ant, 6) AS ant_mean, round(syn - ant, 6) AS separation,
+        (SELECT round(avg(c), 6) FROM cov) AS coverage FROM m"""
+    sql["subword_membership"] = f"""WITH {SLOTS},
+      words AS (SELECT word FROM vectors UNION SELECT word || 'x' FROM vectors
+                UNION SELECT 'q' || repeat('z', cnt::INT) FROM vectors),
+      filled AS (SELECT DISTINCT word FROM ({slots('words', 'word')}) JOIN slot_vectors USING (bucket))
+      SELECT word, word IN (SELECT word FROM vectors) AS in_vocab,
+        word IN (SELECT word FROM vectors) OR word IN (SELECT word FROM filled) AS has_vector FROM words"""
+    sql["bucket_table"] = f"WITH {SLOTS} SELECT bucket::INT AS bucket, words, {VECTOR_SUMS} FROM slot_vectors"
     sql["ngram_table"] = f"WITH {GRAMS} SELECT ngram, words, {VECTOR_SUMS} FROM gram_vectors"
     sql["subword_oov"] = f"WITH {GRAMS} SELECT word, ngrams, {VECTOR_SUMS} FROM unknown_vectors"
     sql["evaluation_record"] = f"""WITH {DOC_TOKENS}, {VECTORS.lstrip()},
@@ -696,6 +813,8 @@ def oracle_sql() -> dict[str, str]:
     five = f"""{DOC_TOKENS}, five AS (
         SELECT token AS word, count(*) AS cnt FROM tokens GROUP BY token HAVING count(*) >= 5)"""
     sql["word2vec_vectors"] = f"WITH {five} SELECT word, 32 AS size, cnt FROM five"
+    sql["word2vec_thinned"] = f"""WITH {DOC_TOKENS}
+      SELECT token AS word, 8 AS size, count(*) AS cnt FROM tokens GROUP BY token HAVING count(*) >= 20"""
     sql["param_sweep"] = f"""WITH {five}, c AS (
         SELECT avg(cov) AS cov FROM (SELECT source, count(v.word)::DOUBLE / count(*) AS cov
           FROM tokens t LEFT JOIN five v ON v.word = t.token GROUP BY source))

@@ -12,11 +12,16 @@ from ..functions.rules import INTENDED, OBSERVED, RulePack
 from ..operators import coverage as C, rows as R, similarity as S, subwords as B, tokens as K
 from ..operators.normalize import clean_text
 from ..operators.training import train_word2vec
-from ..plans import evaluate as E, tune as U
+from ..plans import evaluate as E, negation as G, tune as U
 from ..plans.clean import clean_rows, row_counts
 from ..plans.corpus import corpus_lines
 from ..plans.report import neighbour_report
-from ..sources.tables import SourceSpec, materialize, read_sources, spread
+from ..sources.models import load_bucketed, save_bucketed
+from ..sources.params import check_params
+from ..sources.sinks import write_corpus, write_sources, write_two_column
+from ..sources.tables import (
+    SourceSpec, bad_records, materialize, read_cleaned, read_corpus, read_sources, spread, work_folder,
+)
 from .snippets import SNIPPETS
 
 TRI_LABELS = ("pos", "neu", "neg", "müsbət", "2", "junk")
@@ -161,12 +166,129 @@ def read_sources_status(spark, sf):
         "source", "status", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+def bad_row_files(spark, sf) -> list[SourceSpec]:
+    """Labels as CSV and turns as JSON lines; every tenth label lacks fields or has too many, every seventh turn is cut."""
+    folder, id = work_folder(spark), F.col("doc_id")
+    fields = F.concat_ws(",", id, "quality", "toxic")
+    line = F.when(id % 10 == 3, id.cast("string")).when(id % 10 == 7, F.concat(fields, F.lit(",more,fields"))).otherwise(fields)
+    table(spark, sf, "labels").select(line.alias("value")).write.text(f"{folder}/labels")
+    whole = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    cut = F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, F.substr(whole, F.lit(1), F.length(whole) - 3)).otherwise(whole)
+    table(spark, sf, "conversations").select(cut.alias("value")).write.text(f"{folder}/turns")
+    return [
+        SourceSpec("labels", f"{folder}/labels", "toxic", "quality", "binary", "csv",
+                   {"schema": "doc_id long, quality string, toxic string"}, order_col="doc_id"),
+        SourceSpec("turns", f"{folder}/turns", "text", "role", "tri", "json",
+                   {"schema": "conv_id long, turn long, role string, text string"}),
+        SourceSpec("nothing", f"{folder}/nothing", fmt="csv"),
+    ]
+
+
+def read_sources_bad_rows(spark, sf):
+    """Rows read and rows that can't be, by source."""
+    rows, status = read_sources(spark, bad_row_files(spark, sf))
+    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if("has_label").alias("labelled"))
+    return status.join(counts, "source", "left").select(
+        "source", "status", "bad_rows", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "labelled")])
+
+
+def bad_records_kept(spark, sf):
+    """The records that can't be read, whole."""
+    return bad_records(spark, bad_row_files(spark, sf))
+
+
+def junk_columns_dropped(spark, sf):
+    """A table with columns that exports leave behind, read as a source."""
+    path = f"{work_folder(spark)}/exported"
+    table(spark, sf, "conversations").select(
+        F.col("turn").alias("Unnamed: 0"), F.col("conv_id").alias("index"), "text", F.col("role").alias("label"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("place")).write.parquet(path)
+    rows, _ = read_sources(spark, [SourceSpec("talk", path, "text", "label", "tri", order_col="place")])
+    return rows.withColumn("columns", F.lit(",".join(rows.columns)))
+
+
+# --- sinks -------------------------------------------------------------------
+
+def plain_rows(spark, sf) -> DataFrame:
+    """Labelled rows with their text as it is, for the sinks."""
+    rows = R.drop_missing(rows_all(spark, sf)).filter("sentiment_value is not null")
+    return rows.select("source", "source_ord", "row_ord", F.col("text").alias("cleaned_text"), "sentiment_value")
+
+
+def sink_by_source(spark, sf):
+    """All sources, then a run of two of them: one with other rows, one of which none is left; run twice."""
+    path, rows = f"{work_folder(spark)}/clean", plain_rows(spark, sf)
+    write_two_column(rows, path)
+    again = rows.filter("source = 'conversations' and sentiment_value = 1.0")
+    for _ in range(2):
+        counts = write_sources(again, path, ["conversations", "benchmark"])
+    said = spark.createDataFrame(list(counts.items()), "source string, written long")
+    stored = read_cleaned(spark, path).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("cleaned_text")).alias("chars"), F.sum("row_ord").alias("mark"))
+    return stored.join(said, "source", "full").select(
+        "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "chars", "mark")], "written")
+
+
+def corpus_store(spark, sf):
+    """The corpus written by domain, and of it the folder of one domain."""
+    path = f"{work_folder(spark)}/corpus"
+    lines = write_corpus(corpus_lines(rows_all(spark, sf, texts)), path, by_domain=True)
+    return read_corpus(spark, path, "reviews").select("value", F.lit(lines).cast("long").alias("lines"))
+
+
+def vector_store(spark, sf):
+    """Vectors stored in buckets; pairs and coverage looked up in the stored table."""
+    path = f"{work_folder(spark)}/model"
+    save_bucketed(word_vectors(spark, sf), path, 8)
+    vectors = load_bucketed(spark, path)
+    counts = vectors.select(F.lit("all").alias("source"), F.concat("word", F.col("cnt")).alias("token"), F.col("cnt"))
+    covered = C.macro_coverage(C.coverage(counts, vectors)).scalar()
+    return S.pair_similarities(vectors, label_pairs(spark, sf)).select(
+        "kind", "a", "b", F.round("cosine", 6).alias("cosine"), F.round(covered, 9).alias("coverage"))
+
+
+def params_stored(spark, sf):
+    """What is read of parameter files that lack keys, have others, or values of another type."""
+    kind = F.col("label")
+    body = F.concat(
+        F.lit('{"vector_size": '), F.col("n"), F.lit(', "window": '), F.when(kind % 3 == 0, F.lit('"wide"')).otherwise((kind + 2).cast("string")),
+        F.when(kind % 2 == 0, F.lit(', "min_count": null, "sample": 0.001')).otherwise(F.lit(', "sample": "much"')),
+        F.when(kind % 4 == 1, F.lit(', "colour": [1, "red"]')).otherwise(F.lit("")), F.lit("}"))
+    counts = table(spark, sf, "embeddings").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    objects = counts.select("label", F.when(kind == 7, F.lit("no object")).otherwise(body).alias("value"))
+    return check_params(objects)
+
+
 def head_n_sentences(spark, sf):
     return R.head(rows_all(spark, sf), 700).select("source", "row_ord", "text")
 
 
 # --- text rules --------------------------------------------------------------
 
+def garbled(text: Column, times: int, page: str = "cp1252") -> Column:
+    """The text's UTF-8 bytes read in a single-byte code page, so often."""
+    for _ in range(times):
+        latin = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+        text = F.translate(latin, "".join(map(chr, range(0x80, 0x100))), X.high_characters(page))
+    return text
+
+
+def encoding_round_trip(spark, sf):
+    """Texts as they are, garbled once and twice, read back; every third of the garbled in the Turkish code page."""
+    text, way = F.col("text"), F.col("doc_id") % 4
+    bad = F.when(way == 1, garbled(text, 1)).when(way == 2, garbled(text, 2)).when(
+        way == 3, garbled(text, 1, "cp1254")).otherwise(text)
+    docs = texts(spark, sf, "documents").select("doc_id", "text", bad.alias("bad"))
+    return docs.select("doc_id", (F.col("bad") != F.col("text")).alias("garbled"), X.read_back(F.col("bad")).alias("t"))
+
+
+def sentence_marks(spark, sf):
+    """Punctuation dropped but for sentence ends, squeezed, and the sentences that follow from it."""
+    kept = X.squeeze_spaces(X.squeeze_punctuation(X.drop_punctuation(F.col("text"), keep_sentence_punct=True)))
+    return docs(spark, sf).select("doc_id", kept.alias("t")).select(
+        "doc_id", "t", F.size(X.split_sentences(F.col("t"))).cast("long").alias("sentences"))
+
+
 def html_unescape(spark, sf):
     """Each page, which has markup, and on a line of its own a snippet, most of which have none."""
     html = F.concat_ws("\n", "html", pick(SNIPPETS, F.length("html")))
@@ -401,6 +523,52 @@ def model_neighbours(spark, sf):
     return found.withColumn("neighbours", F.array_join("neighbours", " "))
 
 
+def half_vectors(spark, sf) -> DataFrame:
+    """The given vectors with the latter half of their components turned round, as another model."""
+    half = F.transform("vector", lambda x, i: F.when(i < 32, x).otherwise(-x).cast("float"))
+    shuffled = F.concat(F.slice(half, 33, 32), F.slice(half, 1, 16), F.array_repeat(F.lit(0.0).cast("float"), 16))
+    return word_vectors(spark, sf).withColumn("vector", shuffled)
+
+
+def negation_neighbours(spark, sf):
+    """Neighbours of every tenth word in two models, and how many they share."""
+    vectors = word_vectors(spark, sf)
+    seeds = vectors.filter("vec_id % 10 = 0").select("word").union(
+        table(spark, sf, "embeddings").select(F.concat(F.lit("w"), F.max("vec_id") + 1)))
+    found = G.negation_overlap(vectors, half_vectors(spark, sf), seeds, 5)
+    return found.select("seed", "shared", F.round("overlap", 9).alias("overlap"))
+
+
+def neighbours_all(spark, sf):
+    """The nearest other word of every word."""
+    vectors = word_vectors(spark, sf)
+    found = S.nearest_neighbours(vectors, vectors, 1)
+    return found.select("seed", "word", F.round("cosine", 6).alias("cosine"))
+
+
+def evaluate_subwords(spark, sf):
+    """Pairs of known and unknown words; the latter's vectors come from hashed n-grams."""
+    vectors = word_vectors(spark, sf)
+    pairs = label_pairs(spark, sf).withColumn(
+        "b", F.when(F.substr("b", F.length("b"), F.lit(1)) == "3", F.concat("b", F.lit("x"))).otherwise(F.col("b")))
+    counts = vectors.select(F.col("label").cast("string").alias("source"), F.concat(
+        "word", F.when(F.col("vec_id") % 5 == 0, "x").otherwise("")).alias("token"), F.col("cnt"))
+    record = E.evaluate_subwords(vectors, counts, pairs, buckets=3000)
+    return rounded(record, "syn_mean", "ant_mean", "separation", "coverage")
+
+
+def subword_membership(spark, sf):
+    """Which words are in the vocabulary, and which have a vector through hashed n-grams."""
+    vectors = word_vectors(spark, sf)
+    words = vectors.select("word").union(vectors.select(F.concat("word", F.lit("x")))).union(
+        vectors.select(F.concat(F.lit("q"), F.repeat(F.lit("z"), F.col("cnt").cast("int")))))
+    return B.membership(B.subword_vectors(vectors, words, 3, 6, 3000), words)
+
+
+def bucket_table(spark, sf):
+    return vector_sums(B.bucket_vectors(word_vectors(spark, sf), 3000))
+
+
 def vector_sums(df: DataFrame) -> DataFrame:
     v = F.col("vector")
     total = F.aggregate(v, F.lit(0.0), lambda t, x: t + x)
@@ -478,6 +646,13 @@ def word2vec_vectors(spark, sf):
     return vectors.select("word", F.size("vector").alias("size"), "cnt")
 
 
+def word2vec_thinned(spark, sf):
+    """Frequent words thinned by built-in functions; the vocabulary is that of the whole texts."""
+    cleaned = materialize(clean_docs(spark, sf).select("cleaned_text"))
+    vectors = train_word2vec(cleaned, {**TOY, "vector_size": 8, "min_count": 20, "sample": 0.001}, num_partitions=8)
+    return vectors.select("word", F.size("vector").alias("size"), "cnt")
+
+
 def param_sweep(spark, sf):
     """Two trials over all documents, one of them thinned; pairs are the commonest words."""
     cleaned = materialize(clean_docs(spark, sf)).select(
@@ -502,7 +677,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_large_order": dedup_large_order,
         "read_sources_rows": read_sources_rows,
         "read_sources_status": read_sources_status,
+        "read_sources_bad_rows": read_sources_bad_rows,
+        "bad_records": bad_records_kept,
+        "junk_columns": junk_columns_dropped,
+        "sink_by_source": sink_by_source,
+        "corpus_store": corpus_store,
+        "vector_store": vector_store,
+        "params_report": params_stored,
         "head_n_sentences": head_n_sentences,
+        "encoding_round_trip": encoding_round_trip,
+        "sentence_marks": sentence_marks,
         "emoji_tags": doc_rule(X.map_emoji),
         "mojibake_repair": doc_rule(X.repair_encoding),
         "html_unescape": html_unescape,
@@ -536,6 +720,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stopword_candidates": stopword_candidates,
         "stopword_comparison": stopword_comparison,
         "model_neighbours": model_neighbours,
+        "neighbours_all": neighbours_all,
+        "negation_neighbours": negation_neighbours,
+        "evaluate_subwords": evaluate_subwords,
+        "subword_membership": subword_membership,
+        "bucket_table": bucket_table,
         "subsample_tokens": subsample_tokens,
         "pair_cosine": pair_cosine,
         "separation_score": separation_score,
@@ -546,5 +735,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_trial": best_trial,
         "model_compare": model_compare,
         "word2vec_vectors": word2vec_vectors,
+        "word2vec_thinned": word2vec_thinned,
         "param_sweep": param_sweep,
     }
