@@ -17,52 +17,133 @@ columns are read.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, lean, slices, stored
+from .common import lean, slices, stored
 from .sharding import numbered
 
-#: A text slice that is tokenised at once.
-SLICE_BYTES = 256 << 10
+#: A slice of texts that is tokenised at once, words that the library gets at once, and how many are remembered.
+SLICE_BYTES, WORDS_AT_ONCE, KNOWN_WORDS = 4 << 20, 128, 250_000
+#: Words of Latin-1 letters, perhaps with a mark after them: their normal form is their lower case.
+_LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)").fullmatch
+#: Stands between words that are encoded together.
+MARK = "\x01"
 #: Rounds of the solver; each adds a configuration for a length at most.
 ROUNDS = 40
 #: How fast prices fall, the share of a length's need that a round covers, and what long pieces are worth more.
 RATE, STEP, LONG = 1.0, 0.5, 0.2
 #: A round takes configurations that are as full as this share of its fullest.
 FULL = 0.999
+# Characters that byte-level vocabularies have for bytes: printable ones stand for themselves, others follow.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARACTERS = {b: chr(b) for b in _PRINTED} | {
+    b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 PIECES = "piece int, start long, length long, ids binary"
 
 
+class Encoder:
+    """Token ids of texts, word by word, for a vocabulary that never looks across white space.
+
+    Each distinct word between ASCII white space is encoded by the library, once while it
+    is remembered; a text's ids are its words' one after the other. Both its
+    normalization and its splits leave such words apart. The words met last are remembered, a bounded number.
+    """
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.model = self.tokenizer.model
+        self.tails = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+                      for c in ["", *".,;:!?"]}
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of each word. Words with the mark, if any, go alone; else it tells the words of a line apart."""
+        if self.mark is None or any(MARK in w for w in words):
+            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            return [np.array(f.ids, "<u4").tobytes() for f in found]
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            [f" {MARK} ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ids == self.mark).tolist()
+        raw = ids.tobytes()
+        return [raw[4 * low:4 * high] for low, high in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)])]
+
+    def _plain(self, word: str) -> bytes:
+        """The ids of a lower-case Latin word, which is one piece for the model, as its bytes' characters."""
+        form = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        return array("I", [token.id for token in self.model.tokenize(form)]).tobytes()
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        known, older = self.known, self.older
+        new = []
+        for word in itertools.filterfalse(known.__contains__, words):
+            if word in older:
+                known[word] = older[word]
+                continue
+            latin = _LATIN(word)
+            if latin is None:
+                new.append(word)
+                continue
+            # Such a word has one lower-case form, and the mark after it is a token of its own.
+            base, tail = latin[1].lower(), self.tails[latin[2]]
+            ids = known.get(base) or older.get(base) or self._plain(base)
+            known[base] = ids
+            known[word] = ids + tail
+        for start in range(0, len(new), WORDS_AT_ONCE):
+            some = new[start:start + WORDS_AT_ONCE]
+            known.update(zip(some, self._learn(some)))
+        out = list(map(known.__getitem__, words))
+        if len(known) > KNOWN_WORDS:
+            # The larger of these was needed for one slice only.
+            self.known, self.older = {}, known if len(known) < 2 * KNOWN_WORDS else {}
+        return out
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian 32-bit ids of each text of a string array without nulls."""
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        ids = pa.array(self._ids(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        if not len(ids):
+            return [b""] * len(texts)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        cuts = ends[lists.offsets.to_numpy()].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        return [bytes(raw[low:high]) for low, high in zip(cuts, cuts[1:])]
+
+
 def pieces(docs: DataFrame, id: str, text: str, vocabulary: str, size: int, end: int) -> DataFrame:
     """``id, piece, start, length, ids`` of every document; ``ids`` are little-endian unsigned 32-bit."""
     content = open(vocabulary, encoding="utf-8").read()
     shared = docs.sparkSession.sparkContext.broadcast(content)  # a vocabulary file
 
     def run(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
-        last = np.array([end], "<u4")
+        encode, last = Encoder(shared.value), np.array([end], "<u4").tobytes()
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
-            texts = as_bytes(batch.column(1))
+            texts = pc.fill_null(batch.column(1), "")
             for low, high in slices(texts, SLICE_BYTES):
-                found = tokenizer.encode_batch_fast(
-                    [t.decode() for t in texts.slice(low, high - low).to_pylist()], add_special_tokens=False)
                 rows, columns = [], ([], [], [], [])
-                for i, one in enumerate(found, low):
-                    ids = np.concatenate([np.array(one.ids, "<u4"), last])
-                    for piece, start in enumerate(range(0, len(ids), size)):
-                        part = ids[start:start + size]
+                for i, ids in enumerate(encode(texts.slice(low, high - low)), low):
+                    ids += last
+                    for piece, start in enumerate(range(0, len(ids) // 4, size)):
+                        part = ids[4 * start:4 * (start + size)]
                         rows.append(i)
-                        for column, value in zip(columns, (piece, start, len(part), part.tobytes())):
+                        for column, value in zip(columns, (piece, start, len(part) // 4, part)):
                             column.append(value)
-                types = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(rows))] + [pa.array(c, t) for c, t in zip(columns, types)],
                     names=["id", "piece", "start", "length", "ids"])
