@@ -22,16 +22,14 @@ MIN_WORDS, MAX_REPEATED_PERCENT, RUN = 10, 20, 5
 #: Character classes; what is in none of them (other letters, marks) is the last bin.
 CLASSES = {"upper": "\\p{Lu}", "digit": "\\p{Nd}", "point": "\\p{P}", "symbol": "\\p{S}"}
 COMMON_WORDS = 16
-#: Common words are looked for among short words, which keeps their counts small.
-COMMON_LENGTH = 5
-#: A language has its own reference from so many words; the word rule can't judge one of fewer.
-LEAST_WORDS = 10_000
 #: So many references are broadcast, the largest first; documents of other languages are joined to theirs.
 BROADCAST = 4096
 #: A distance beyond ``limit + slack / sqrt(length)`` rejects, as histograms of short texts are noisy.
 #: The guards are the lengths, in characters or words, from which a rule holds at all.
 CLASS_LIMIT, CLASS_SLACK, GUARD_CHARS = 0.20, 1.2, 200
 WORD_LIMIT, WORD_SLACK, GUARD_WORDS = 0.18, 1.0, 60
+#: What a reference adds to a limit, over the square root of its words or characters: those of few are noisy, too.
+WORD_REF_SLACK, CLASS_REF_SLACK = 3.0, 3.0
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -123,7 +121,7 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row a language of ``LEAST_WORDS`` or more: ``ref_lang, ref_classes, ref_words, ref_counts``.
+    """One row a language: ``ref_lang, ref_classes, ref_words, ref_counts``.
 
     ``ref_words`` are hashes of the commonest words, ``ref_counts`` their counts
     and that of all other words. The row of a null language has the classes of all
@@ -142,8 +140,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
         F.lit(None).cast("string").alias("ref_lang"), F.array(*[f"c{k}" for k in bins]).alias("ref_classes"),
         F.lit(None).cast("array<long>").alias("ref_words"), F.lit(None).cast("array<double>").alias("ref_counts"))
     words = docs.filter(F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.explode(words_of(F.col(text))).alias("word"),
-    ).filter(F.length("word") <= COMMON_LENGTH)
+        F.col(lang).alias("lang"), F.explode(words_of(F.col(text))).alias("word"))
     counted = words.select("lang", F.xxhash64("word").alias("hash")).groupBy("lang", "hash").agg(
         F.count(F.lit(1)).alias("n"))
     by_rank = Window.partitionBy("lang").orderBy(F.desc("n"), "hash")
@@ -152,26 +149,29 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
         F.sort_array(F.collect_list(F.struct("rank", "hash", F.col("n").cast("double").alias("n")))).alias("common"))
     counts = F.coalesce(F.col("common.n"), F.array().cast("array<double>"))
     rest = F.col("n") - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-    own = totals.filter(F.col("lang").isNotNull() & (F.col("n") >= LEAST_WORDS)).join(common, "lang", "left").select(
+    own = totals.filter(F.col("lang").isNotNull()).join(common, "lang", "left").select(
         F.col("lang").alias("ref_lang"), F.array(*[f"c{k}" for k in bins]).alias("ref_classes"),
         F.coalesce(F.col("common.hash"), F.array().cast("array<long>")).alias("ref_words"),
         F.concat(counts, F.array(rest)).alias("ref_counts"))
     return stored(own.unionByName(of_all))
 
 
+def _total(counts) -> Column:
+    return F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+
+
 def _held(docs: DataFrame, reference: DataFrame, lang: str) -> DataFrame:
     """``docs`` with the reference of their language, or null."""
-    own = reference.filter(F.col("ref_lang").isNotNull())
+    own = reference.filter(F.col("__ref_lang").isNotNull())
+    same = F.col(lang) == F.col("__ref_lang")
     if own.count() <= BROADCAST:
-        return docs.join(F.broadcast(own), F.col(lang) == F.col("ref_lang"), "left")
-    words = F.aggregate("ref_counts", F.lit(0.0), lambda a, x: a + x)
-    large = stored(own.orderBy(words.desc(), "ref_lang").limit(BROADCAST))
-    small = own.join(F.broadcast(large.select("ref_lang")), "ref_lang", "left_anti")
-    first = docs.join(F.broadcast(large), F.col(lang) == F.col("ref_lang"), "left")
-    none = F.col("ref_lang").isNull()
+        return docs.join(F.broadcast(own), same, "left")
+    large = stored(own.orderBy(_total("__ref_counts").desc(), "__ref_lang").limit(BROADCAST))
+    small = own.join(F.broadcast(large.select("__ref_lang")), "__ref_lang", "left_anti")
+    first = docs.join(F.broadcast(large), same, "left")
+    none = F.col("__ref_lang").isNull()
     # Each of these languages has less than 1 / BROADCAST of all words, so none is a hot key.
-    others = first.filter(none & F.col(lang).isNotNull()).select(*docs.columns).join(
-        small, F.col(lang) == F.col("ref_lang"), "left")
+    others = first.filter(none & F.col(lang).isNotNull()).select(*docs.columns).join(small, same, "left")
     return first.filter(~none | F.col(lang).isNull()).unionByName(others)
 
 
@@ -180,42 +180,46 @@ def verdicts(docs: DataFrame, reference: DataFrame, text: str = "text", lang: st
 
     ``reference`` comes from ``references`` and is broadcast, so no text is
     shuffled, but for languages beyond the ``BROADCAST`` largest. Null is a text without
-    words: it fails the base. A null language or one of few words is held against the
+    words: it fails the base. A null language is held against the
     character classes of all documents; its words can't be judged. A distance
     is null where that is so or the document is under the guard, and the rule then
-    passes; so it does if there is no reference. Repeated rows get equal verdicts; columns of
-    these names are replaced.
+    passes; so it does if there is no reference. The fewer words a reference has, the more
+    it lets pass. Repeated rows get equal verdicts; columns of these names are replaced.
     """
     added = (*BASE, "class_distance", "word_distance", "base_failed", "kept")
     docs = docs.drop(*added)
-    of_all = F.broadcast(reference.filter(F.col("ref_lang").isNull()).select(
-        F.lit(True).alias("__all"), F.col("ref_classes").alias("__ref_classes")))
+    # Apart from all names that documents may have.
+    reference = reference.toDF(*[f"__{c}" for c in reference.columns])
+    of_all = F.broadcast(reference.filter(F.col("__ref_lang").isNull()).select(
+        F.lit(True).alias("__all"), F.col("__ref_classes").alias("__all_classes")))
     held = _held(docs, reference, lang).withColumn("__all", F.lit(True)).join(of_all, "__all", "left")
-    held = held.withColumn("ref_classes", F.coalesce("ref_classes", "__ref_classes")).drop(
-        "__all", "ref_lang", "__ref_classes")
+    held = held.withColumn("__ref_classes", F.coalesce("__ref_classes", "__all_classes")).drop(
+        "__all", "__ref_lang", "__all_classes")
     measured = measure(held, text)
-    counts = F.transform("ref_words", lambda w: (
+    counts = F.transform("__ref_words", lambda w: (
         F.size("__hashes") - F.size(F.array_remove("__hashes", w))).cast("double"))
     measured = measured.withColumn("__counts", F.when(F.col("n_words") >= GUARD_WORDS, counts))
-    histogram = F.concat("__counts", F.array(F.col("n_words") - F.aggregate(
-        "__counts", F.lit(0.0), lambda a, x: a + x)))
+    histogram = F.concat("__counts", F.array(F.col("n_words") - _total("__counts")))
     far = measured.withColumns({
         "class_distance": F.when(F.col("word_chars") >= GUARD_CHARS, distance(
-            F.col("__classes").cast("array<double>"), F.col("ref_classes"))),
-        "word_distance": distance(histogram, F.col("ref_counts")),
+            F.col("__classes").cast("array<double>"), F.col("__ref_classes"))),
+        "word_distance": distance(histogram, F.col("__ref_counts")),
         "base_failed": (F.col("n_words") < MIN_WORDS) | (
             100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")),
     })
 
-    def near(name, limit, slack, length):
-        return F.coalesce(F.col(name) <= limit + slack / F.sqrt(length), F.lit(True))
+    def near(name, limit, slack, length, ref_slack, reference):
+        size = F.greatest(_total(reference), F.lit(1.0))
+        return F.coalesce(F.col(name) <= limit + slack / F.sqrt(length) + ref_slack / F.sqrt(size), F.lit(True))
 
-    kept = (~F.col("base_failed") & near("class_distance", CLASS_LIMIT, CLASS_SLACK, "word_chars")
-            & near("word_distance", WORD_LIMIT, WORD_SLACK, "n_words"))
-    # From a generator: a filter on a plain column would be moved below the projections and
+    kept = (
+        ~F.col("base_failed")
+        & near("class_distance", CLASS_LIMIT, CLASS_SLACK, "word_chars", CLASS_REF_SLACK, "__ref_classes")
+        & near("word_distance", WORD_LIMIT, WORD_SLACK, "n_words", WORD_REF_SLACK, "__ref_counts"))
+    # From a generator: a filter on plain columns would be moved below the projections and
     # drag copies of all their expressions with it.
-    return far.select("*", F.explode(F.array(kept)).alias("kept")).drop(
-        "__hashes", "__classes", "__counts", "ref_classes", "ref_words", "ref_counts")
+    found = F.struct(*added[:-1], kept.alias("kept"))
+    return far.select(*docs.columns, F.inline(F.array(found)))
 
 
 def passing(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:

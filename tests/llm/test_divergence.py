@@ -58,7 +58,44 @@ def test_rare_and_unknown_languages(session):
     assert found.kept.all()
     assert found.word_distance[found.lang == "fr"].notna().all()
     rare = found[found.lang.isna() | found.lang.fillna("").str.startswith("few")]
-    assert len(rare) > 10 and rare.word_distance.isna().all() and rare.class_distance.notna().any()
+    assert len(rare) > 10 and rare.word_distance[rare.lang.isna()].isna().all() and rare.class_distance.notna().any()
+    assert rare.word_distance[rare.lang.notna()].notna().all()
+
+
+def test_a_smaller_table_gives_the_same_verdicts(session):
+    """Clean documents are kept, and bad ones rejected, by references of all documents, of a tenth and of a fiftieth."""
+    docs = session.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = session.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    clean = docs.join(labels.filter("quality = 1"), "doc_id", "left_semi").cache()
+    for share in (1, 10, 50):
+        part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+        judged = divergence.verdicts(clean, divergence.references(part)).filter("not base_failed")
+        assert judged.filter("not kept").count() == 0
+        # Every language of the part has a reference, however small.
+        langs = {r.lang for r in part.filter("lang is not null").select("lang").distinct().collect()}
+        found = judged.filter(F.col("lang").isin(list(langs)) & (F.col("n_words") >= divergence.GUARD_WORDS))
+        assert found.filter("word_distance is null").count() == 0
+
+
+def test_names_that_clash(documents):
+    clash = documents
+    names = ("ref_lang", "ref_classes", "ref_words", "ref_counts", "rank", "hash", "n", "c", "common", "word")
+    for name in names:
+        clash = clash.withColumn(name, F.lit("x"))
+    reference = divergence.references(clash)
+    got = divergence.verdicts(clash, reference)
+    assert [c for c in clash.columns if c in got.columns] == clash.columns
+    want = divergence.verdicts(documents, divergence.references(documents))
+    columns = ["doc_id", *divergence.BASE, "kept", "class_distance", "word_distance"]
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+    assert divergence.passing(clash, reference).columns == clash.columns
+
+
+def test_long_words_can_be_common(session):
+    text = "alphabetical " * 30 + " ".join(f"w{i}" for i in range(60))
+    docs = session.createDataFrame([(i, text, "xx") for i in range(5)], "doc_id long, text string, lang string")
+    row = divergence.references(docs).filter("ref_lang = 'xx'").first()
+    assert row.ref_counts[0] == 150.0 and sum(row.ref_counts) == 450.0
 
 
 def test_more_references_than_are_broadcast(session, monkeypatch):
