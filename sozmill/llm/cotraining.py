@@ -14,17 +14,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import as_bytes, lean, slices, stored, with_fields
-from .logistic import Linear, fit_logistic, probability
+from .logistic import Climb, Linear, Standard, fit_logistic, probability, solve_logistic, sums
 from .words import find_words, mix, row_shingles
 
-#: Bound of the labelled rows that are fitted on, on average over hashes of the ids.
+#: Bound of the labelled rows that are fitted on, half of it for each label, on average over hashes of the ids.
 LABELLED = 12_000
-#: Bound of the pseudo-labels of each kind that a view gives in a round.
+#: All pseudo-labels of a kind that a view gives in a round weigh as much as so many labels, together, or one each.
 EXCHANGED = 1_500
 ROUNDS = 3
+#: Steps of Newton's method in a round, each a pass over all documents. A round begins where the one before ended.
+STEPS = 5
 #: A view is sure beyond this calibrated probability.
 SURE = 0.97
 #: One labelled document in so many is kept for the calibration.
@@ -143,10 +147,12 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(values), dtype=np.float16).reshape(len(values), -1).astype(np.float32)
 
 
-def _hash_share(rows: DataFrame, count: int, bound: int) -> DataFrame:
-    """About ``bound`` of the rows, by a hash of the key."""
-    share = min(1.0, bound / max(1, count))
-    return rows.filter(F.pmod(F.xxhash64("key", F.lit("share")), F.lit(1 << 30)) < int(share * (1 << 30)))
+def _hash_share(rows: DataFrame, counts: dict[int, int], bound: int) -> DataFrame:
+    """About ``bound`` rows of each ``kind``, by a hash of the key."""
+    share = F.lit(0)
+    for kind, count in counts.items():
+        share = F.when(F.col("kind") == kind, int(min(1.0, bound / count) * (1 << 30))).otherwise(share)
+    return rows.filter(F.pmod(F.xxhash64("key", F.lit("share")), F.lit(1 << 30)) < share)
 
 
 def _of_keys(known: DataFrame, keys: np.ndarray) -> DataFrame:
@@ -160,24 +166,126 @@ def _of_keys(known: DataFrame, keys: np.ndarray) -> DataFrame:
     return known.mapInArrow(lean(run), known.schema)
 
 
-def _sure(known: DataFrame, model: CoModel, labelled: np.ndarray) -> DataFrame:
-    """``known`` rows of which a view is sure, with that view and its verdict; ``labelled`` keys left out."""
+def _sure(known: DataFrame, model: CoModel, labelled: np.ndarray, run_batch, end, schema: str) -> DataFrame:
+    """Runs ``run_batch(task, view, features of the other view, verdicts)`` on the rows of which a view is sure.
+
+    Rows with ``labelled`` keys are left out. ``end(task)`` gives what a task adds to the result.
+    """
     shared = known.sparkSession.sparkContext.broadcast((model, labelled))
 
     def run(batches):
         fitted, keys = shared.value
+        task: dict = {}
         for batch in batches:
             batch = batch.filter(pa.array(~np.isin(batch.column(0).to_numpy(), keys)))
             if not batch.num_rows:
                 continue
+            features = [_matrix(batch.column(1)), _matrix(batch.column(2))]
             for view in (0, 1):
-                p = probability(fitted.calibrated(view, _matrix(batch.column(1 + view))))
+                p = probability(fitted.calibrated(view, features[view]))
                 mask = (p >= SURE) | (p <= 1 - SURE)
-                part = batch.filter(pa.array(mask))
-                part = part.append_column("view", pa.array(np.full(part.num_rows, view, dtype=np.int32)))
-                yield part.append_column("verdict", pa.array((p[mask] >= 0.5).astype(np.int32)))
+                if mask.any():
+                    run_batch(task, view, features[1 - view][mask], (p[mask] >= 0.5).astype(np.int64))
+        yield from end(task)
+
+    return known.mapInArrow(lean(run), schema)
+
+
+def _sure_counts(known: DataFrame, model: CoModel, labelled: np.ndarray) -> np.ndarray:
+    """Rows of which a view is sure, by view and verdict."""
+    def run_batch(task, view, _, verdict):
+        task[view] = task.get(view, 0) + np.bincount(verdict, minlength=2)
+
+    def end(task):
+        rows = [(view, kind, int(n)) for view, counts in task.items() for kind, n in enumerate(counts)]
+        if rows:
+            yield pa.RecordBatch.from_pylist([dict(zip(("view", "verdict", "n"), r)) for r in rows], pa.schema(
+                [("view", pa.int32()), ("verdict", pa.int32()), ("n", pa.int64())]))
+
+    found = _sure(known, model, labelled, run_batch, end, "view int, verdict int, n long")
+    out = np.zeros((2, 2))
+    for r in found.groupBy("view", "verdict").agg(F.sum("n").alias("n")).collect():
+        out[r.view, r.verdict] = r.n
+    return out
+
 
-    return known.mapInArrow(lean(run), with_fields(known, "view int, verdict int"))
+def _rows_added(found: DataFrame) -> dict[int, np.ndarray]:
+    """By view, the sum of matrices that tasks gave row by row, as ``view, place, row``."""
+    added = found.groupBy("view", "place").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("row"))).alias("row")).orderBy("view", "place").collect()
+    out: dict[int, list] = {}
+    for r in added:
+        out.setdefault(r.view, []).append(r.row)
+    return {view: np.array(rows) for view, rows in out.items()}
+
+
+def _as_rows(view: int, matrix: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([view] * len(matrix), pa.int32()), pa.array(range(len(matrix)), pa.int32()),
+         pa.array(matrix.tolist(), pa.list_(pa.float64()))], ["view", "place", "row"])
+
+
+_ROWS = "view int, place int, row array<double>"
+
+
+def _standards(known: DataFrame) -> list[Standard]:
+    """Means and deviations of each view's features over all documents."""
+    def run(batches):
+        total: dict = {}
+        for batch in batches:
+            for view in (0, 1):
+                x = _matrix(batch.column(1 + view)).astype(np.float64) if batch.num_rows else None
+                if x is not None:
+                    total[view] = total.get(view, 0.0) + np.stack([x.sum(axis=0), (x * x).sum(axis=0), np.full(x.shape[1], len(x))])
+        for view, matrix in total.items():
+            yield _as_rows(view, matrix)
+
+    out = []
+    for _, (total, squares, n) in sorted(_rows_added(known.mapInArrow(lean(run), _ROWS)).items()):
+        middle = total / n
+        out.append(Standard.of_moments(middle, np.sqrt(np.maximum(0.0, squares / n - middle ** 2))))
+    return out
+
+
+def _sure_sums(known: DataFrame, model: CoModel, labelled: np.ndarray, weight: np.ndarray,
+               standards: list[Standard], at: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """For each view: log likelihood, gradient and curvature of all pseudo-labels that it is given.
+
+    A task adds its rows up; the tasks' matrices are added in an aggregation, so that
+    what reaches the driver has the size of one.
+    """
+    def run_batch(task, view, features, verdict):
+        given = 1 - view
+        value, gradient, curvature = sums(standards[given](features), verdict, weight[view][verdict], at[given])
+        first = np.zeros(len(gradient))
+        first[0] = value
+        task[given] = task.get(given, 0.0) + np.concatenate([[first, gradient], curvature])
+
+    def end(task):
+        for view, matrix in task.items():
+            yield _as_rows(view, matrix)
+
+    added = _rows_added(_sure(known, model, labelled, run_batch, end, _ROWS))
+    return [(float(m[0, 0]), m[1], m[2:]) for m in (
+        added.get(view, np.zeros((len(w) + 2, len(w)))) for view, w in enumerate(at))]
+
+
+def _labelled(known: DataFrame, labels: DataFrame, id: str, label: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, labels and weights of a bounded draw, by label, from the documents that have one.
+
+    The weights give each label its share of all labelled documents again.
+    """
+    truth = labels.groupBy(F.xxhash64(id).alias("key")).agg(F.avg(label).alias("label")).filter("label is not null")
+    kind = (F.col("label") >= 0.5).cast("int").alias("kind")
+    own = stored(truth.join(known.select("key").distinct(), "key", "left_semi").select("key", kind))
+    counts = {r.kind: r.n for r in own.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sample = _hash_share(own, counts, LABELLED // 2).toArrow().sort_by("key")
+    key, kinds = (sample.column(c).to_numpy() for c in ("key", "kind"))
+    weight = np.ones(len(key))
+    for k, n in counts.items():
+        drawn = int((kinds == k).sum())
+        weight[kinds == k] = n / max(1, drawn) * len(key) / sum(counts.values())
+    return key, kinds.astype(float), weight
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
@@ -186,58 +294,45 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
     None where there are fewer than ``LEAST`` of either label: nothing can be told apart then. Several labels
     of an id are averaged, null ones left out; ids without a document do nothing. About
-    ``LABELLED`` labelled rows are fitted on, and ``EXCHANGED`` pseudo-labels for each view,
-    verdict and round; all documents are scored for those.
+    ``LABELLED`` labelled rows are fitted on, drawn by label. All documents are scored in each round, and all
+    of which a view is sure take part in the other's fit.
     """
-    truth = labels.groupBy(F.xxhash64(id).alias("key")).agg(F.avg(label).alias("label")).filter(
-        "label is not null").persist()
     known = stored(views(docs.filter(F.col(id).isNotNull()), F.xxhash64(id), text, list(metadata)))
-    sample = _hash_share(truth, truth.count(), LABELLED).toArrow().sort_by("key")
-    truth.unpersist()
-    key, y = (sample.column(name).to_numpy() for name in ("key", "label"))
+    key, y, weight = _labelled(known, labels, id, label)
     rows = _of_keys(known, key).dropDuplicates(["key"]).toArrow().sort_by("key")
-    found = rows.column("key").to_numpy()
-    y = (y[np.searchsorted(key, found)] >= 0.5).astype(float)
-    key = found
-    x = [_matrix(rows.column(name)) if len(key) else None for name in ("text_view", "metadata_view")]
+    if not len(key):
+        return None
+    x = [_matrix(rows.column(name)) for name in ("text_view", "metadata_view")]
     held = mix(key.astype(np.uint64)) % np.uint64(CALIBRATION) == 0
     if min((y[part] == kind).sum() for part in (held, ~held) for kind in (0, 1)) < LEAST:
         return None
-    extra = [(x[view][:0], y[:0]) for view in (0, 1)]  # what each view was given
-    for turn in range(ROUNDS + 1):
-        fitted = tuple(
-            fit_logistic(np.concatenate([x[view][~held], extra[view][0]]), np.concatenate([y[~held], extra[view][1]]))
-            for view in (0, 1))
-        scales = tuple(fit_logistic(fitted[view].logits(x[view][held])[:, None], y[held]) for view in (0, 1))
-        model = CoModel(fitted, scales, Linear(np.ones(2, dtype=np.float32), 0.0))
-        if turn == ROUNDS:
+    standards = _standards(known)
+    own = [standard(v[~held]) for standard, v in zip(standards, x)]
+    at = [solve_logistic(v, y[~held], weight[~held]) for v in own]
+
+    def model() -> CoModel:
+        fitted = tuple(standard.linear(w) for standard, w in zip(standards, at))
+        scales = tuple(fit_logistic(f.logits(v[held])[:, None], y[held], weight=weight[held]) for f, v in zip(fitted, x))
+        return CoModel(fitted, scales, Linear(np.ones(2, dtype=np.float32), 0.0))
+
+    for _ in range(ROUNDS):
+        giver = model()
+        counts = _sure_counts(known, giver, key)
+        if not counts.any():
             break
-        extra = _exchange(known, model, key)
-    logits = np.stack([model.calibrated(view, x[view][held]) for view in (0, 1)], axis=1)
-    model.joined = fit_logistic(logits, y[held])
-    return model
-
-
-def _exchange(known: DataFrame, model: CoModel, labelled: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Features and pseudo-labels that each view is given by the other."""
-    sure = _sure(known, model, labelled)
-    counts = {(r.view, r.verdict): r.n for r in
-              sure.groupBy("view", "verdict").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return [(np.zeros((0, len(model.views[v].weights)), dtype=np.float32), np.zeros(0)) for v in (0, 1)]
-    parts = [_hash_share(sure.filter((F.col("view") == v) & (F.col("verdict") == k)), n, EXCHANGED)
-             for (v, k), n in sorted(counts.items())]
-    picked = parts[0]
-    for part in parts[1:]:
-        picked = picked.unionByName(part)
-    rows = picked.dropDuplicates(["key", "view"]).toArrow().sort_by([("key", "ascending"), ("view", "ascending")])
-    out = []
-    for view, name in enumerate(("text_view", "metadata_view")):
-        given = rows.filter(pc.equal(rows.column("view"), 1 - view))
-        verdict = np.array(given.column("verdict").to_pylist(), dtype=np.float64)
-        size = len(model.views[view].weights)
-        out.append((_matrix(given.column(name)).reshape(-1, size) if len(verdict) else
-                    np.zeros((0, size), dtype=np.float32), verdict))
+        each = np.minimum(1.0, EXCHANGED / np.maximum(counts, 1))
+        climbs = [Climb(w) for w in at]
+        for _ in range(STEPS):
+            given = _sure_sums(known, giver, key, each, standards, [c.at for c in climbs])
+            moved = [
+                climb.update(*(a + b for a, b in zip(sums(mine, y[~held], weight[~held], climb.at), more)))
+                for climb, mine, more in zip(climbs, own, given)]
+            if max(moved) < 1e-3:
+                break
+        at = [climb.best for climb in climbs]
+    out = model()
+    logits = np.stack([out.calibrated(view, x[view][held]) for view in (0, 1)], axis=1)
+    out.joined = fit_logistic(logits, y[held], weight=weight[held])
     return out
 
 
