@@ -58,9 +58,14 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """The page's blocks; node 0 is the page itself."""
+    """The page's blocks; node 0 is the page itself.
+
+    Where the open elements of a name stand in the stack is kept by name, so a
+    tag costs the same however deep it lies.
+    """
     page = Page(["#page"], [-1], [()], [0], [False], [0], [])
     stack, in_link, at = [0], False, 0
+    places: dict[str, list[int]] = {}
 
     def text(piece: str) -> None:
         node = stack[-1]
@@ -71,10 +76,22 @@ def parse(source: str) -> Page:
 
     def pop_to(depth: int) -> None:
         nonlocal in_link
+        for node in stack[depth:]:
+            places[page.tag[node]].pop()
         del stack[depth:]
         in_link = False
         page.runs.append((stack[-1], None))
 
+    def innermost(names) -> int:
+        """Depth of the innermost open element of some names, 0 if none is open."""
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def end_open(ended, stop) -> None:
+        """End the innermost element of some names, not beyond those of others."""
+        depth = innermost(ended)
+        if depth > innermost(stop):
+            pop_to(depth)
+
     size = len(source)
     while at < size:
         match = _TAG.search(source, at)
@@ -94,13 +111,10 @@ def parse(source: str) -> Page:
             elif name == "br":
                 text(" ")
             elif name in BLOCKS:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if page.tag[stack[depth]] == name:
-                        pop_to(depth)
-                        break
+                end_open((name,), ())
             continue
         name = name.lower()
-        if not match[0].endswith(">") or _OPEN_QUOTE.search(match["rest"]) and not source.count(">", at):
+        if not match[0].endswith(">") or _OPEN_QUOTE.search(match["rest"]) and source.find(">", at) < 0:
             break  # cut off by the end of the page
         if name in RAW:
             end = re.compile(f"(?i)</{name}(?=[\\s/>])[^>]*>?").search(source, at)
@@ -118,20 +132,9 @@ def parse(source: str) -> Page:
         if name not in BLOCKS:
             continue
         if name in CLOSES_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] == "p":
-                    pop_to(depth)
-                    break
-                if page.tag[stack[depth]] in ("table", "td", "th", "button"):
-                    break
+            end_open(("p",), ("table", "td", "th", "button"))
         if name in ENDS:
-            ended, stop = ENDS[name]
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] in ended:
-                    pop_to(depth)
-                    break
-                if page.tag[stack[depth]] in stop:
-                    break
+            end_open(*ENDS[name])
         rest = match["rest"] or ""
         names, given = (), None
         if "=" in rest:
@@ -147,13 +150,17 @@ def parse(source: str) -> Page:
         page.link.append(0)
         page.runs.append((up, None))
         if not rest.endswith("/") or name not in ("svg", "object", "iframe"):
+            places.setdefault(name, []).append(len(stack))
             stack.append(len(page.tag) - 1)
             in_link = False
     return page
 
 
 def assemble(page: Page, wanted: list[bool]) -> str:
-    """Text of the wanted elements, blocks joined by a space, character references decoded."""
+    """Text of the wanted elements, blocks joined by a space, character references decoded.
+
+    References are decoded in each run of text, as one can't reach over a tag.
+    """
     parts, open_run, last = [], [], -1
     for node, piece in page.runs:
         if piece is None or not wanted[node] or (open_run and node != last):
@@ -161,8 +168,8 @@ def assemble(page: Page, wanted: list[bool]) -> str:
                 parts.append("".join(open_run))
                 open_run = []
         if piece is not None and wanted[node]:
-            open_run.append(piece)
+            open_run.append(html.unescape(piece))
             last = node
     if open_run:
         parts.append("".join(open_run))
-    return " ".join(word for part in parts for word in html.unescape(part).split())
+    return " ".join(word for part in parts for word in part.split())

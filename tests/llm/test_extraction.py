@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +26,22 @@ def test_parser(source, text):
     assert all_text(source) == text
 
 
+@pytest.mark.parametrize("source, blocks", [
+    ("<div>" * 200_000, 200_001), ("</div>" * 160_000, 1), ("<p>" * 300_000, 300_001), ("<td></p>" * 120_000, 120_001),
+    ("<div>" * 50_000 + "</span></p></ul>" * 50_000, 50_001), ("<p title='" * 100_000, 1), ("<!--" * 250_000, 1),
+    ("<li><ul>" * 100_000, 200_001), ("&amp;<b>" * 100_000, 1),
+])
+def test_a_megabyte_of_tags(source, blocks):
+    begun = time.perf_counter()
+    page = parse(source)
+    assemble(page, [True] * len(page.tag))
+    assert time.perf_counter() - begun < 10 and len(page.tag) == blocks
+
+
+def test_references_end_at_tags():
+    assert all_text("&am<b>p;</b> x &lt<i>;</i> &am<!-- -->p; &amp;<b>lt;</b>") == "&amp; x <; &amp; &lt;"
+
+
 def article(source):
     body = re.search(r"<article>(.*?)(</article>|$)", source, re.S)[1]
     body = re.sub(r"</?(p|h1|br)\b[^>]*>", " ", body)
