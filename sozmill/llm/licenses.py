@@ -9,8 +9,10 @@ taken by priority; one that lies inside a detection taken before is dropped.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -184,19 +186,51 @@ class Scanner:
             for order, rule, pattern in self.by_keyword[keyword]:
                 for match in pattern.finditer(words):
                     found.append((order, match.start(), match.end(), rule))
-        found.sort(key=lambda x: (-x[3].priority, x[1] - x[2], x[1], x[0]))
-        taken = []
-        for _, start, stop, rule in found:
-            if not any(a <= start and stop <= b for a, b, _ in taken):
-                taken.append((start, stop, rule))
-        return [(rule, words.count(b" ", 0, start), words.count(b" ", 0, stop))
-                for start, stop, rule in sorted(taken, key=lambda x: x[:2])]
+        kept = uncontained([(-rule.priority, start, stop, order) for order, start, stop, rule in found])
+        taken = sorted((found[i] for i in kept), key=lambda x: x[1:3])
+        at = word_numbers(words, [x for _, start, stop, _ in taken for x in (start, stop)])
+        return [(rule, at[start], at[stop]) for _, start, stop, rule in taken]
 
     def phrases(self, words: bytes) -> list[tuple[str, int]]:
         """Places of the base phrases: label and first word."""
-        return [(label, words.count(b" ", 0, match.start()))
-                for pattern, plain, _, label in self.base if b" %b " % plain in words
-                for match in pattern.finditer(words)]
+        found = [(label, match.start()) for pattern, plain, _, label in self.base if b" %b " % plain in words
+                 for match in pattern.finditer(words)]
+        at = word_numbers(words, [start for _, start in found])
+        return [(label, at[start]) for label, start in found]
+
+
+def uncontained(spans: list[tuple[int, int, int, int]]) -> list[int]:
+    """Which of some ``rank, start, stop, order`` lie in no span taken before them.
+
+    Smaller ranks come first, then longer spans, then smaller orders. A span that lies in one that was
+    dropped also lies in the one that took its place, so it is enough to look at all spans that come first: of
+    smaller rank, by the furthest stop of those that start no later; of equal rank in one sweep.
+    """
+    by_rank = defaultdict(list)
+    for i, (rank, start, stop, order) in enumerate(spans):
+        by_rank[rank].append((start, -stop, order, i))
+    out, starts, reach = [], [], []  # of smaller ranks: starts in order, furthest stop so far
+    for rank in sorted(by_rank):
+        own, furthest, left = sorted(by_rank[rank]), -1, []
+        for start, stop, _, i in own:
+            before = bisect_right(starts, start)
+            if furthest < -stop and (not before or reach[before - 1] < -stop):
+                left.append((start, -stop))
+                out.append(i)
+            furthest = max(furthest, -stop)
+        both = sorted([*zip(starts, reach), *left])
+        starts = [start for start, _ in both]
+        reach = list(accumulate((stop for _, stop in both), max))
+    return out
+
+
+def word_numbers(words: bytes, places: list[int]) -> dict[int, int]:
+    """Blanks before each of some places, counted in one pass."""
+    out, last, number = {}, 0, 0
+    for place in sorted(set(places)):
+        number += words.count(b" ", last, place)
+        out[place], last = number, place
+    return out
 
 
 _DETECTION = "struct<label:string,rule:string,priority:int,start:int,stop:int>"

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +63,30 @@ def test_containment_and_priority(scanner):
         ("apache-2.0", licenses.GRANT, 0, 8), ("apache", licenses.LOOSE, 10, 12)]
 
 
+def test_containment_equals_brute_force():
+    rng = random.Random(2)
+    for _ in range(2000):
+        spans = [(rng.randrange(3), a, a + rng.randrange(1, 6), k)
+                 for k, a in enumerate(rng.choices(range(12), k=rng.randrange(14)))]
+        taken = []
+        for i in sorted(range(len(spans)), key=lambda i: (spans[i][0], spans[i][1] - spans[i][2], spans[i][1], spans[i][3])):
+            _, start, stop, _ = spans[i]
+            if not any(spans[j][1] <= start and stop <= spans[j][2] for j in taken):
+                taken.append(i)
+        assert sorted(licenses.uncontained(spans)) == sorted(taken)
+
+
+def test_a_text_of_many_mentions(scanner):
+    n = 100_000
+    words = (" " + "licensed under the apache license version 2 0 and mit license " * n).encode()
+    begun = time.perf_counter()
+    found, places = scanner.detect(words, scanner.wanted(words)), scanner.phrases(words)
+    assert time.perf_counter() - begun < 20
+    assert len(found) == len(places) == 2 * n
+    assert [f[1:] for f in found[:3]] == [(0, 8), (9, 11), (11, 19)] and found[-1][2] == 11 * n
+    assert {rule.label for rule, _, _ in found} == {"apache-2.0", "mit"}
+
+
 def base(text):
     w = brute.words(text)
     return sorted((label, i) for phrase, label in licenses.BASE.items() for i in range(len(w))
