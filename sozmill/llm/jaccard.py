@@ -17,12 +17,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, filter_bits, in_filter, lean, slices, stored, with_fields, without
+from .common import as_bytes, filter_bits, in_bits, in_filter, lean, slices, stored, with_fields, without
 from .words import find_words, mix, shingles
 
 NGRAM, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9995, 64
 #: A block has two chunks; a chunk holds about so many n-grams and members.
 CHUNK_NGRAMS, CHUNK_MEMBERS = 1 << 18, 1024
+#: A node of more edges than this has them dealt to several tasks.
+HUB = 1024
 #: Up to so many pairs a member are compared one by one, more by a matrix product.
 SPARSE = 4
 _COLUMNS = 4096
@@ -231,6 +233,27 @@ def verified(members: DataFrame, threshold: float) -> DataFrame:
     return members.mapInArrow(lean(run), "cls binary, links long, other binary")
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``edges`` of ``a, b`` with the ``m`` of their ``a``.
+
+    The edges of a node with more than ``HUB`` of them are dealt into parts of about that many, which meet as many
+    copies of its row, so the middle of a large star isn't one task's. A filter of fixed size finds them.
+    """
+    top = least.agg(F.max("degree")).first()[0] or 0
+    row = least.select("a", "m")
+    if top <= HUB:
+        return edges.join(row, "a")
+    hubs = stored(least.filter(F.col("degree") > HUB).select("a", "m", F.xxhash64("a").alias("key")))
+    parts = -(-top // HUB)
+    copies = hubs.select("a", "m", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    maybe = in_bits(hubs, "key")
+    keyed = edges.withColumn("key", F.xxhash64("a"))
+    dealt = stored(keyed.filter(maybe("key")).withColumn("part", F.pmod(F.xxhash64("b"), F.lit(parts)).cast("int"))
+                   .join(copies, ["a", "part"], "left").select("a", "b", "m"))
+    others = keyed.filter(~maybe("key")).select("a", "b").unionByName(dealt.filter("m is null").select("a", "b"))
+    return others.join(row, "a").unionByName(dealt.filter("m is not null"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``a, b``, the root being the least node that hangs together.
 
@@ -239,8 +262,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     def stars(edges, small):
         both = edges if small else edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        joined = both.join(least.withColumn("m", F.least("a", "m")), "a")
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
+        joined = _with_least(both, least.withColumn("m", F.least("a", "m")))
         if small:  # every neighbour of a is smaller than a
             moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
                 least.select("a", F.col("m").alias("b")))

@@ -105,3 +105,26 @@ def test_components(session):
         session.createDataFrame(chain, "a binary, b binary")).collect()}
     assert {got[bytes([i])] for i in range(41)} == {bytes([0])}
     assert got[b"z"] == got[b"y"] == b"x" and b"q" not in got
+
+
+def test_components_of_large_stars(session, monkeypatch):
+    """Nodes of many edges are dealt out; the groups are those of a plain union of sets."""
+    monkeypatch.setattr(jaccard, "HUB", 5)
+    draw = random.Random(4)
+    edges = [(0, i) for i in range(1, 200)] + [(500, i) for i in range(300, 420)] + [(420, 501), (501, 502)]
+    edges += [(draw.randrange(1000, 1300), draw.randrange(1000, 1300)) for _ in range(160)]
+    name = lambda i: b"%04d" % i
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    frame = session.createDataFrame([(name(a), name(b)) for a, b in edges], "a binary, b binary")
+    got = {bytes(r.node): bytes(r.root) for r in jaccard.components(frame).collect()}
+    assert got == {name(x): name(root(x)) for x in parent}
