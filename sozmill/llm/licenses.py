@@ -17,6 +17,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from . import license_notices as notices
 from .common import as_bytes, lean, slices, with_fields
 from .words import LOWER, find_words
 
@@ -107,8 +108,8 @@ SENTENCES = (
 )
 
 # Priorities: what names a license exactly comes first. The score goes with it.
-IDENTIFIER, GRANT, NAMED, SENTENCE, LOOSE = 5, 4, 3, 2, 1
-SCORES = {IDENTIFIER: 1.0, GRANT: 0.95, NAMED: 0.85, SENTENCE: 0.8, LOOSE: 0.6}
+EXPRESSION, IDENTIFIER, GRANT, NAMED, SENTENCE, LOOSE = 6, 5, 4, 3, 2, 1
+SCORES = {EXPRESSION: 1.0, IDENTIFIER: 1.0, GRANT: 0.95, NAMED: 0.85, SENTENCE: 0.8, LOOSE: 0.6}
 BASE_SCORE = 0.5
 
 _GRANT = ("(?:licensed|released|distributed|available|provided|published|covered|offered) "
@@ -126,7 +127,7 @@ class Rule:
 
 
 def build_rules() -> tuple[Rule, ...]:
-    """All rules, made from the tables above, by priority and then in their order."""
+    """All rules by priority and then in their order: those of families and versions, and those written one by one."""
     rules = []
 
     def add(label, keyword, priority, pattern):
@@ -157,8 +158,11 @@ def build_rules() -> tuple[Rule, ...]:
                 add(label, keyword, GRANT, f"{_GRANT}(?:a )?{name} {body}")
                 add(label, keyword, NAMED, f"{name} {body}")
         add(f"cc-{term}", "commons", LOOSE, f"creative commons (?:{words}){_LICENSE}")
-    for label, keyword, words in SENTENCES:
-        add(label, keyword, SENTENCE, words)
+    for priority, table in (
+            (EXPRESSION, notices.EXPRESSIONS), (GRANT, notices.NOTICES), (NAMED, notices.ADDRESSES),
+            (SENTENCE, notices.EXCEPTIONS), (SENTENCE, notices.PASSAGES), (SENTENCE, SENTENCES)):
+        for label, keyword, words in table:
+            add(label, keyword, priority, words)
     return tuple(sorted(rules, key=lambda r: -r.priority))
 
 

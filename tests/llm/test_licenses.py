@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from sozmill.llm import licenses
+from sozmill.llm import license_notices as notices, licenses
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +31,18 @@ def labels(scanner, text):
     ("distributed under the Creative Commons Attribution-ShareAlike 3.0 license", ["cc-by-sa-3.0"]),
     ("the 3-clause BSD license and the ISC license", ["bsd-3-clause", "isc"]),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy", ["mit"]),
-    ("I apache the mit in general", []), ("", []), ("submit licenses", []),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["mit-or-apache-2.0"]),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note", ["gpl-2.0-with-linux-syscall-note"]),
+    ("See https://www.apache.org/licenses/LICENSE-2.0 for it", ["apache-2.0"]),
+    ("https://creativecommons.org/licenses/by-nc-sa/4.0/", ["cc-by-nc-sa-4.0"]),
+    ("it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either "
+     "version 2.1 of the License, or (at your option) any later version.", ["lgpl-2.1"]),
+    ("The origin of this software must not be misrepresented; you must not claim", ["zlib"]),
+    ("Neither the name of the University nor the names of its contributors may be used to endorse or promote products",
+     ["bsd-3-clause"]),
+    ("The Software shall be used for Good, not Evil.", ["json"]), ("Business Source License 1.1", ["busl-1.1"]),
+    ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", ["bsd"]),
+    ("I apache the mit in general", []), ("this is in the public domain of thought", []), ("", []), ("submit licenses", []),
 ])
 def test_rules(scanner, text, found):
     assert labels(scanner, text) == found
@@ -49,8 +60,10 @@ def test_keywords_gate_nothing_that_matches():
     """Each reading of a rule needs its keyword."""
     for _, keyword, names, _ in licenses.FAMILIES:
         assert all(keyword in name.split() for name in names.split("|")), names
-    for _, keyword, words in licenses.SENTENCES:
-        needed = re.sub(r"\(\?:[^()]*\)[?*]", "", words)
+    written = [t for name in ("EXPRESSIONS", "NOTICES", "ADDRESSES", "EXCEPTIONS", "PASSAGES") for t in getattr(notices, name)]
+    assert len(written) > 140 and len(set(written)) == len(written)
+    for _, keyword, words in [*licenses.SENTENCES, *written]:
+        needed = re.sub(r"\(\?:[^()]*\)(?:[?*]|\{\d+,\d+\})", "", words)
         readings = re.sub(r"\(\?:[^()]*\)", "", needed)
         assert keyword in readings.split() or all(
             keyword in x.split() for group in re.findall(r"\(\?:([^()]*)\)", needed) for x in group.split("|")), words
