@@ -541,6 +541,20 @@ def oracle_sql() -> dict[str, str]:
             FROM r GROUP BY source)
       SELECT source, n, chars, mark, CASE WHEN source <> 'documents' THEN n END AS written FROM c
       UNION ALL SELECT 'benchmark', 0, 0, 0, 0"""
+    sql["pruned_read"] = f"""WITH {ROWS}
+      SELECT source, count(*) AS n, sum(length(text))::BIGINT AS chars, max(length(text))::INT AS longest FROM rows_all
+      WHERE text IS NOT NULL AND has_label AND v IS NOT NULL GROUP BY source"""
+    sql["empty_guard"] = f"""WITH {ROWS}, r AS (SELECT * FROM rows_all
+        WHERE text IS NOT NULL AND has_label AND v IS NOT NULL)
+      SELECT unnest(['documents', 'conversations', 'benchmark', 'nowhere']) AS source, unnest([
+        (SELECT count(*) > 0 FROM r WHERE source = 'documents'), (SELECT count(*) > 0 FROM r WHERE source = 'conversations'),
+        (SELECT count(*) > 0 FROM r WHERE source = 'benchmark'), false]) AS has_rows"""
+    talk = "talk AS (SELECT conv_id * 1000 + turn AS row_ord, role AS source, text FROM conversations WHERE text IS NOT NULL)"
+    sql["tuned_as_reported"] = f"""WITH {talk}, {cleaned('talk', 'source, row_ord')},
+      tokens AS (SELECT source, unnest(string_split(cleaned_text, ' ')) AS token FROM base),
+      three AS (SELECT token AS word FROM tokens GROUP BY token HAVING count(*) >= 3)
+      SELECT true AS same, round(avg(c), 9) AS coverage FROM (SELECT source, count(word)::DOUBLE / count(*) AS c
+        FROM tokens LEFT JOIN three ON word = token GROUP BY source)"""
     sql["corpus_store"] = f"""WITH {CORPUS}
       SELECT value, (SELECT count(*) FROM corpus) AS lines FROM corpus WHERE domain = 'reviews'"""
     sql["vector_store"] = f"""WITH {VECTORS}

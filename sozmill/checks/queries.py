@@ -20,7 +20,7 @@ from ..sources.models import load_bucketed, save_bucketed
 from ..sources.params import check_params
 from ..sources.sinks import write_corpus, write_sources, write_two_column
 from ..sources.tables import (
-    SourceSpec, bad_records, materialize, read_cleaned, read_corpus, read_sources, spread, work_folder,
+    SourceSpec, bad_records, materialize, read_cleaned, read_corpus, read_sources, require_rows, spread, work_folder,
 )
 from .snippets import SNIPPETS
 
@@ -229,6 +229,49 @@ def sink_by_source(spark, sf):
         "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "chars", "mark")], "written")
 
 
+def pruned_read(spark, sf):
+    """The text column of a stored clean table, and where its rows come from; nothing else of it is read."""
+    path = f"{work_folder(spark)}/clean"
+    write_two_column(plain_rows(spark, sf), path)
+    return read_cleaned(spark, path).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("cleaned_text")).alias("chars"),
+        F.max(F.length("cleaned_text")).alias("longest"))
+
+
+def empty_guard(spark, sf):
+    """Whether each source has a sentence to train on; of the last only blank ones are given."""
+    rows, found = plain_rows(spark, sf), []
+    for name in ("documents", "conversations", "benchmark", "nowhere"):
+        sentences = rows.filter(F.col("source") == name)
+        try:
+            require_rows(sentences)
+            found.append((name, True))
+        except RuntimeError:
+            found.append((name, False))
+    return spark.createDataFrame(found, "source string, has_rows boolean")
+
+
+def tuned_as_reported(spark, sf):
+    """A trial of the sweep against the same fit and evaluation by hand, on the conversations."""
+    talk = spread(table(spark, sf, "conversations"))
+    cleaned = materialize(clean_text(talk.filter("text is not null")).select(
+        F.col("role").alias("source"), F.lit(0).alias("source_ord"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("row_ord"), "cleaned_text"))
+    top = K.vocabulary(K.token_counts(cleaned, ()), 3).orderBy(F.desc("cnt"), "word").limit(4).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("cnt") * -1, "word"))).alias("w"))
+    pairs = top.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.get("w", i)["word"].alias("a"), F.get("w", i + 1)["word"].alias("b"))
+        for k, i in (("syn", 0), ("ant", 2))])).alias("p")).select("p.*")
+    params = {**TOY, "vector_size": 8, "min_count": 3}
+    tuned = U.sweep(cleaned, pairs, [{"trial": 0, **params}], num_partitions=1)
+    vectors = train_word2vec(cleaned, params, num_partitions=1)
+    reported = E.evaluate(vectors, K.token_counts(cleaned), pairs)
+    same = [F.abs(F.col(f"t.{m}") - F.col(f"r.{m}")) < 1e-9 for m in ("syn_mean", "ant_mean", "separation", "coverage")]
+    one = F.lit(1).alias("__one")
+    return tuned.select("*", one).alias("t").join(reported.select("*", one).alias("r"), "__one").select(
+        reduce(lambda a, b: a & b, same).alias("same"), F.round("r.coverage", 9).alias("coverage"))
+
+
 def corpus_store(spark, sf):
     """The corpus written by domain, and of it the folder of one domain."""
     path = f"{work_folder(spark)}/corpus"
@@ -420,11 +463,12 @@ def corpus_domain_filter(spark, sf):
 # --- tokens, vocabularies, coverage -------------------------------------------
 
 def doc_counts(spark, sf, *by):
-    return K.token_counts(clean_docs(spark, sf), by or ("source",))
+    """Token counts of the cleaned documents, stored: both the vocabulary and the groups are read from them."""
+    return materialize(K.token_counts(clean_docs(spark, sf), by or ("source",)))
 
 
 def vocab_min_count(spark, sf):
-    return K.vocabulary(doc_counts(spark, sf), 3)
+    return K.vocabulary(K.token_counts(clean_docs(spark, sf)), 3)
 
 
 def coverage_by_source(spark, sf):
@@ -444,9 +488,9 @@ def coverage_macro(spark, sf):
 
 def coverage_empty_source(spark, sf):
     """A source without tokens counts as 0 in the mean."""
-    cleaned = clean_docs(spark, sf)
-    counts = K.token_counts(cleaned.filter("source <> 'src1'"), ("source",))
-    groups = cleaned.select("source").distinct()
+    all_counts = doc_counts(spark, sf)
+    counts = all_counts.filter("source <> 'src1'")
+    groups = table(spark, sf, "documents").select("source").distinct()
     record = E.evaluate(word_vectors(spark, sf), counts, label_pairs(spark, sf), K.vocabulary(counts, 3), groups)
     return rounded(record, "syn_mean", "ant_mean", "separation", "coverage")
 
@@ -592,8 +636,7 @@ def subword_oov(spark, sf):
 
 
 def evaluation_record(spark, sf):
-    cleaned = clean_docs(spark, sf)
-    counts = K.token_counts(cleaned, ("source",))
+    counts = doc_counts(spark, sf)
     record = E.evaluate(
         word_vectors(spark, sf), counts, label_pairs(spark, sf), K.vocabulary(counts, 3))
     return rounded(record, "syn_mean", "ant_mean", "separation", "coverage")
@@ -681,6 +724,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bad_records": bad_records_kept,
         "junk_columns": junk_columns_dropped,
         "sink_by_source": sink_by_source,
+        "pruned_read": pruned_read,
+        "empty_guard": empty_guard,
+        "tuned_as_reported": tuned_as_reported,
         "corpus_store": corpus_store,
         "vector_store": vector_store,
         "params_report": params_stored,

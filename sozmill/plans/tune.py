@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import random
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..operators.rows import head
 from ..operators.tokens import token_counts
@@ -71,7 +71,11 @@ def sweep(
         rows.append({**trial, **record.first().asDict()})
     for frame in (sentences, train_counts, counts):
         frame.unpersist()
-    results = cleaned.sparkSession.createDataFrame(rows)
+    # Declared types: a parameter may be null in every trial.
+    real = {"sample", "syn_mean", "ant_mean", "separation", "coverage"}
+    names = list(dict.fromkeys(name for row in rows for name in row))
+    schema = T.StructType([T.StructField(n, T.DoubleType() if n in real else T.LongType()) for n in names])
+    results = cleaned.sparkSession.createDataFrame([tuple(row.get(n) for n in names) for row in rows], schema)
     return results.withColumn("score", score(F.col("separation"), F.col("coverage")))
 
 

@@ -12,7 +12,7 @@ from sozmill.sources.params import (
     SCHEMA, SUBWORD_DEFAULTS, WORD2VEC_DEFAULTS, check_params, load_params, params_report, save_params,
 )
 from sozmill.sources.sinks import write_corpus, write_sources, write_two_column
-from sozmill.sources.tables import SourceSpec, bad_records, read_corpus, read_sources
+from sozmill.sources.tables import SourceSpec, bad_records, read_cleaned, read_corpus, read_sources
 
 CLEAN = "source string, cleaned_text string, sentiment_value double"
 
@@ -44,6 +44,17 @@ def test_runs_replace_their_own_sources(spark, tmp_path):
     assert write_sources(first.limit(0), str(path), [], bare=True) == {}
 
 
+def test_only_what_is_used_is_read(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0, i, "general", f"söz {i}", 1.0) for i in range(9)],
+                                 "source string, source_ord int, row_ord long, domain string, cleaned_text string, sentiment_value double")
+    path = str(tmp_path / "clean")
+    write_two_column(rows, path)
+    read = read_cleaned(spark, path).select("cleaned_text")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<cleaned_text:string>" in plan and read.count() == 9
+    assert "sentiment_value" not in read_cleaned(spark, path).columns
+
+
 def test_one_domain_reads_one_folder(spark, tmp_path):
     lines = spark.createDataFrame(
         [(f"dom{d} söz {i}", d) for i in range(20) for d in ("news", "reviews", "general")], "value string, domain string")
