@@ -9,6 +9,7 @@ sorted group, and only its vectors are scored. A task keeps ``k`` words a seed.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,14 +128,14 @@ def search(vectors: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
     chosen = table.orderBy(F.xxhash64("word"), "word").limit(PIVOTS).collect()
     if not chosen:
         return spark.createDataFrame([], FOUND)
-    size = len(chosen[0].vector)
+    lengths = Counter(len(r.vector) for r in chosen)
+    size = max(lengths, key=lambda n: (lengths[n], n))  # a model has one; others have no direction
     given = np.array([r.vector if len(r.vector) == size else [0.0] * size for r in chosen], np.float64)
     pivots, fine = unit(np.nan_to_num(given))
     pivots = pivots[fine] if fine.any() else np.eye(1, size)
     asked = seeds.select("word", F.col("vector").cast("array<double>").alias("vector"))
-    groups = -(-asked.count() // SEEDS_AT_ONCE)
-    if groups <= 1:
-        rows = asked.collect()  # SEEDS_AT_ONCE at most
+    rows = asked.limit(SEEDS_AT_ONCE + 1).collect()
+    if len(rows) <= SEEDS_AT_ONCE:
         shared = spark.sparkContext.broadcast((pivots, [r.word for r in rows], np.array(
             [r.vector if r.vector and len(r.vector) == size else [0.0] * size for r in rows], np.float64).reshape(-1, size)))
 
@@ -147,7 +148,7 @@ def search(vectors: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
 
         return table.mapInArrow(run, FOUND)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts, groups = int(spark.conf.get("spark.sql.shuffle.partitions")), -(-asked.count() // SEEDS_AT_ONCE)
     shares = max(1, -(-2 * parts // groups))
     shared = spark.sparkContext.broadcast(pivots)
     share = F.pmod(F.xxhash64("word", F.lit(1)), F.lit(shares)).cast("int").alias("share")
