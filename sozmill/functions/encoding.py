@@ -48,9 +48,14 @@ def may_be_misread(text: Column) -> Column:
     return text.rlike(r"[^\x00-\x7F]{2}") & text.rlike(_any_sequence())
 
 
+#: Control characters, the replacement character, and phonetic letters and marks but for the Azerbaijani schwa: a
+#: capital before a closing quotation mark would be read as one of these.
+_UNLIKELY = r"[\x{80}-\x{9F}\x{FFFD}\x{250}-\x{258}\x{25A}-\x{2BF}]"
+
+
 def misreading_cost(line: Column) -> Column:
-    """How much of a line looks misread: sequences of UTF-8 bytes in any page, and control characters."""
-    return F.regexp_count(line, F.lit(_any_sequence())) + F.regexp_count(line, F.lit(r"[\x{80}-\x{9F}\x{FFFD}]"))
+    """How much of a line looks misread: sequences of UTF-8 bytes in any page, and unlikely characters."""
+    return F.regexp_count(line, F.lit(_any_sequence())) + F.regexp_count(line, F.lit(_UNLIKELY))
 
 
 def reading(line: Column, page: str) -> Column:
