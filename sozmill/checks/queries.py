@@ -506,7 +506,8 @@ def stopword_comparison(spark, sf):
 
 
 def subsample_tokens(spark, sf):
-    draw = (F.col("doc_id") * 7919 + F.col("pos") * 104729) % 1000003 / F.lit(1000003.0)
+    # Places are ints, whose product would overflow from the 20,506th word of a text on.
+    draw = (F.col("doc_id") * 7919 + F.col("pos").cast("long") * 104729) % 1000003 / F.lit(1000003.0)
     cleaned = materialize(clean_docs(spark, sf).select("doc_id", "cleaned_text"))
     kept = K.subsample_tokens(cleaned, K.token_counts(cleaned, ()), 0.001, draw=draw)
     return kept.groupBy("token").agg(

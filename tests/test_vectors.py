@@ -215,3 +215,15 @@ def test_reports_with_the_short_lists(spark):
     lists = {(r.model, r.seed): r.neighbours for r in neighbour_report(vectors, vectors, k=2).collect()}
     assert len(lists) == 18 and len(lists["plain", "yaxşı"]) == 2
     assert lists["plain", "mükəmməl"] == [] and "yaxşı" not in lists["subword", "yaxşı"]
+
+
+def test_places_of_very_long_texts(spark, tmp_path):
+    """A text of 25,000 words, whose places overflowed the product in the query's draw."""
+    from sozmill.checks import queries as Q
+
+    text = "word other " * 12_500
+    row = [(1, text, "en", "src1", len(text))]
+    spark.createDataFrame(row, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    kept = {r.token: r.kept for r in Q.subsample_tokens(spark, str(tmp_path)).collect()}
+    assert 0 < kept["word"] < 12_500
