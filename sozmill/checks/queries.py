@@ -378,10 +378,11 @@ def negation_scope(spark, sf):
 
 
 def negation_toggle(spark, sf):
-    words = X.join_tokens(lower_tokens(F.col("text")))
-    both = docs(spark, sf).select(F.explode(F.array(
-        F.struct(F.lit(False).alias("on"), words.alias("t")),
-        F.struct(F.lit(True).alias("on"), X.mark_negation(words).alias("t")))).alias("b"))
+    # The words are a column of their own, so that they are taken once.
+    words = docs(spark, sf).select(X.join_tokens(lower_tokens(F.col("text"))).alias("words"))
+    both = words.select(F.explode(F.array(
+        F.struct(F.lit(False).alias("on"), F.col("words").alias("t")),
+        F.struct(F.lit(True).alias("on"), X.mark_negation(F.col("words")).alias("t")))).alias("b"))
     counts = K.token_counts(both.select("b.on", "b.t"), ("on",), "t")
     on = F.col("on")
     return counts.agg(
