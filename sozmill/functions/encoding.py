@@ -23,34 +23,46 @@ def high_characters(page: str) -> str:
     return "".join(bytes([b]).decode(page, "ignore") or chr(b) for b in range(0x80, 0x100))
 
 
-def _class(chars: str) -> str:
-    return "".join(rf"\x{{{ord(c):X}}}" for c in chars)
-
-
 def _sequence(page: str) -> str:
     """What a character of two to four UTF-8 bytes looks like in a code page."""
     high = high_characters(page)
-    rest, two, three, four = (_class(high[a - 0x80:b - 0x80]) for a, b in (
+    rest, two, three, four = (_ranges(high[a - 0x80:b - 0x80]) for a, b in (
         (0x80, 0xC0), (0xC2, 0xE0), (0xE0, 0xF0), (0xF0, 0xF5)))
-    return rf"(?:[{two}][{rest}]|[{three}][{rest}]{{2}}|[{four}][{rest}]{{3}})"
+    return rf"(?![\x00-\x7F])(?:[{two}][{rest}]|[{three}][{rest}]{{2}}|[{four}][{rest}]{{3}})"
+
+
+def _ranges(chars) -> str:
+    """Body of a character class, with runs of characters as ranges."""
+    runs: list[list[int]] = []
+    for c in sorted({ord(c) for c in chars}):
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in runs)
+
+
+#: Java asks a class with many letters beyond Latin-1 for each of them in turn. So one test for ASCII
+#: comes first in all patterns, and the classes look back at what it let pass.
+_HIGH = r"[^\x00-\x7F]"
 
 
 @lru_cache(maxsize=None)
 def _any_sequence() -> str:
     """A lead byte and a further one, in any code page; coarse."""
-    leads = sorted({c for page in CODE_PAGES for c in high_characters(page)[0x42:0x75]})
-    rest = sorted({c for page in CODE_PAGES for c in high_characters(page)[:0x40]})
-    return f"[{_class(''.join(leads))}][{_class(''.join(rest))}]"
+    leads = {c for page in CODE_PAGES for c in high_characters(page)[0x42:0x75]}
+    rest = {c for page in CODE_PAGES for c in high_characters(page)[:0x40]}
+    return f"{_HIGH}{_HIGH}(?<=[{_ranges(leads)}][{_ranges(rest)}])"
 
 
 def may_be_misread(text: Column) -> Column:
-    """False only where no line can be read otherwise; the first test is cheap and seldom true."""
-    return text.rlike(r"[^\x00-\x7F]{2}") & text.rlike(_any_sequence())
+    """False only where no line can be read otherwise."""
+    return text.rlike(_any_sequence())
 
 
 #: Control characters, the replacement character, and phonetic letters and marks but for the Azerbaijani schwa: a
 #: capital before a closing quotation mark would be read as one of these.
-_UNLIKELY = r"[\x{80}-\x{9F}\x{FFFD}\x{250}-\x{258}\x{25A}-\x{2BF}]"
+_UNLIKELY = rf"{_HIGH}(?<=[\x{{80}}-\x{{9F}}\x{{FFFD}}\x{{250}}-\x{{258}}\x{{25A}}-\x{{2BF}}])"
 
 
 def misreading_cost(line: Column) -> Column:
@@ -62,7 +74,9 @@ def reading(line: Column, page: str) -> Column:
     """The line's bytes in a code page read as UTF-8; null if it has no such bytes or they are no UTF-8."""
     high = high_characters(page)
     as_latin = F.translate(line, high, "".join(map(chr, range(0x80, 0x100))))
-    fits = line.rlike(rf"^[\x00-\x7F{_class(high)}]*$") & line.rlike(_sequence(page))
+    # A next-line character at the end is let pass, as before a pattern's end.
+    alien = rf"{_HIGH}(?<![{_ranges(high)}])(?!(?<=\x{{85}})\z)"
+    fits = line.rlike(_sequence(page)) & ~line.rlike(alien)
     return F.when(fits, F.try_validate_utf8(F.encode(as_latin, "ISO-8859-1").cast("string")))
 
 
@@ -79,12 +93,20 @@ def read_back(text: Column) -> Column:
     """Undo misread UTF-8 line by line, however often it happened.
 
     A reading takes two characters or more for one, so a line has no more
-    readings than its run of such characters can be halved.
+    readings than its run of such characters can be halved. Once a line is its own
+    best reading, the rounds left only pass it on.
     """
     def settled(line: Column) -> Column:
-        odd = F.greatest(F.lit(1), F.regexp_count(line, F.lit(r"[^\x00-\x7F]")))
+        odd = F.greatest(F.lit(1), F.regexp_count(line, F.lit(_HIGH)))
         rounds = F.sequence(F.lit(1), F.floor(F.log2(odd)).cast("int") + 1)
-        return F.aggregate(rounds, line, lambda now, _: F.when(may_be_misread(now), _better(now)).otherwise(now))
+        start = F.struct(F.lit("").alias("before"), line.alias("now"))
+
+        def read(state: Column, _: Column) -> Column:
+            before, now = state["before"], state["now"]
+            again = F.struct(now.alias("before"), F.when(may_be_misread(now), _better(now)).otherwise(now).alias("now"))
+            return F.when(before == now, state).otherwise(again)
+
+        return F.aggregate(rounds, start, read, lambda state: state["now"])
 
     lines = F.transform(F.split(text, "\n", -1), lambda line: F.when(
         may_be_misread(line), settled(line)).otherwise(line))

@@ -61,10 +61,16 @@ _ASCII_TAG_I = rf"(#(?=[A-Za-z0-9_]+(?![{WORD}]))|\G(?!^))([A-HJ-Za-z0-9_]*)I"
 
 # --- T1-T3: emoji, encoding, entities --------------------------------------
 
+def symbols(words) -> str:
+    """Any of ``words``; where none starts with an ASCII character, those are passed over by one test."""
+    plain = not words or any(not w or w[0] < "\x80" for w in words)
+    return any_of(words) if plain else rf"(?![\x00-\x7F])(?:{any_of(words)})"
+
+
 def map_emoji(text: Column, rules: RulePack = OBSERVED) -> Column:
     """Put a sentiment tag in place of each listed emoji."""
-    out = F.regexp_replace(text, any_of(rules.emoji_positive), " <EMO_POS> ")
-    return F.regexp_replace(out, any_of(rules.emoji_negative), " <EMO_NEG> ")
+    out = F.regexp_replace(text, symbols(rules.emoji_positive), " <EMO_POS> ")
+    return F.regexp_replace(out, symbols(rules.emoji_negative), " <EMO_NEG> ")
 
 
 def _mojibake_pairs() -> list[tuple[str, str]]:
@@ -121,7 +127,8 @@ def may_need_repair(text: Column) -> Column:
     Passes over simple character classes; coarse, so that they stay simple.
     """
     leads = "".join(sorted({wrong[0] for wrong, _ in _mojibake_pairs()}))
-    odd = text.rlike(rf"[{leads}{_ASCII_CONTROL}\x{{206A}}-\x{{206F}}\x{{E000}}-\x{{1FFFF}}]")
+    # Printable ASCII is passed over by one test.
+    odd = text.rlike(rf"(?![\x20-\x7E])[{leads}{_ASCII_CONTROL}\x{{206A}}-\x{{206F}}\x{{E000}}-\x{{1FFFF}}]")
     return odd | may_be_misread(text)
 
 
@@ -142,13 +149,13 @@ def repair_mojibake(text: Column) -> Column:
 
 
 def drop_control(text: Column) -> Column:
-    return F.regexp_replace(text, _CONTROL, "")
+    return F.regexp_replace(text, rf"(?![\x20-\x7E]){_CONTROL}", "")
 
 
 def repair_encoding(text: Column) -> Column:
     """Read misread lines back, repair common letters in the rest, wide forms, ligatures, controls; then NFC."""
-    out = drop_control(narrow(split_ligatures(repair_mojibake(read_back(F.coalesce(text, F.lit("")))))))
-    return F.when(may_compose(out), nfc(out)).otherwise(out)
+    # Composed unasked: a test before it would have the whole chain computed once more.
+    return nfc(drop_control(narrow(split_ligatures(repair_mojibake(read_back(F.coalesce(text, F.lit(""))))))))
 
 
 # --- T4-T9: markup, special items, hashtags --------------------------------
@@ -165,9 +172,12 @@ def settle_entities(text: Column) -> Column:
     """Replace nested character references until none is left, in lines without ``<``.
 
     A line is read again only while that changes it. It has more readings than
-    its references and names of ampersands at no time, as each uses up one.
+    its references and names of ampersands at no time, as each uses up one. What stands
+    before its first ampersand is never read.
     """
-    def settled(line: Column) -> Column:
+    def settled(whole: Column) -> Column:
+        place = F.locate("&", whole)
+        line = F.substr(whole, place)
         most = F.regexp_count(line, F.lit("(?i)&|amp|#0*38|#x0*26")) * 2 + 1
         # Two loops, as one can't be left: after the last reading only the outer one runs on.
         some = F.sequence(F.lit(1), F.ceil(F.sqrt(most)).cast("int"))
@@ -183,7 +193,8 @@ def settle_entities(text: Column) -> Column:
         def read_some(state: Column, _: Column) -> Column:
             return F.when(state["before"].isNull(), state).otherwise(F.aggregate(some, state, read))
 
-        return F.aggregate(some, start, read_some, lambda state: state["now"])
+        done = F.aggregate(some, start, read_some, lambda state: state["now"])
+        return F.concat(F.substr(whole, F.lit(1), place - 1), done)
 
     lines = F.transform(F.split(text, "\n", -1), lambda line: F.when(
         line.contains("&") & ~line.contains("<"), settled(line)).otherwise(line))
@@ -206,7 +217,7 @@ def may_have_phone(text: Column) -> Column:
     """Coarse test: seven characters in a row that a phone number could have."""
     space = r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F\x20\x85\xA0"
     run = rf"[0123456789{space}\-()\x{{300}}-\x{{10FFFF}}]"
-    return text.rlike(rf"{run}{{6}}[\p{{Nd}}]|{run}{{7}}")
+    return text.rlike(rf"{run}{{6}}(?:[\p{{Nd}}]|{run})")
 
 
 def tag_phones(text: Column, tag: str = "<PHONE>") -> Column:

@@ -153,8 +153,8 @@ def _char(tag: str) -> str:
 
 
 def _chars_for_emoji(text: Column, rules: RulePack) -> Column:
-    text = F.regexp_replace(text, any_of(rules.emoji_positive), f" {_char('<EMO_POS>')} ")
-    return F.regexp_replace(text, any_of(rules.emoji_negative), f" {_char('<EMO_NEG>')} ")
+    text = F.regexp_replace(text, X.symbols(rules.emoji_positive), f" {_char('<EMO_POS>')} ")
+    return F.regexp_replace(text, X.symbols(rules.emoji_negative), f" {_char('<EMO_NEG>')} ")
 
 
 def protect_items(df: DataFrame, text: str, rules: RulePack) -> DataFrame:

@@ -81,3 +81,30 @@ def test_references_in_references(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.t for r in df.select(X.settle_entities(F.col("t")).alias("t")).collect()]
     assert got == ["<x", "& x", "a & b ©", "<", "<b>&amp;amp;</b>", "<\n<i>&amp;lt;"]
+
+
+def seconds(df):
+    begun = time.perf_counter()
+    df.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - begun
+
+
+def test_plain_letters_are_passed_over(spark):
+    """The search for misread letters takes little more than one for a simple class; it took ten times as long."""
+    text = F.repeat(F.lit("a long line of plain text with one şə of its own and no other " * 20), 400)
+    df = spark.range(16).select(F.concat(text, F.col("id").cast("string")).alias("t")).repartition(4).cache()
+    df.count()
+    search, plain = df.select(E.may_be_misread(F.col("t"))), df.select(F.col("t").rlike(r"[^\x00-\x{FFFF}]"))
+    for found in (search, plain):
+        seconds(found)
+    assert min(seconds(search) for _ in range(3)) < 5 * min(seconds(plain) for _ in range(3)) + 0.1
+
+
+def test_repair_computes_its_chain_once(spark):
+    df = spark.createDataFrame([("x",)], "t string").select(X.repair_encoding(F.col("t")).alias("t"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("translate(") <= 1 + len(E.CODE_PAGES)
+
+
+def test_what_stands_before_a_reference(spark):
+    df = spark.createDataFrame([("amp;x &amp;amp;lt; y\nə &am&amp;p;",)], "t string")
+    assert df.select(X.settle_entities(F.col("t")).alias("t")).first().t == "amp;x < y\nə &am&p;"
