@@ -153,6 +153,15 @@ def test_training_is_repeatable(spark, cleaned):
     assert all(len(r.vector) == 8 and r.cnt > 0 for r in one)
 
 
+def test_training_counts_the_texts_once(spark, cleaned):
+    params = dict(vector_size=4, window=2, min_count=2, epochs=1, sample=None)
+    vectors = train_word2vec(cleaned, params, num_partitions=1)
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "split" not in plan
+    assert {(r.word, r.cnt) for r in vectors.collect()} == {
+        (r.word, r.cnt) for r in K.vocabulary(K.token_counts(cleaned, ()), 2).collect()}
+
+
 def test_thinning_keeps_the_vocabulary(spark):
     lines = ["a b c d e f g h"] * 40 + ["rare a b", "a rare", "once a"]
     df = spark.createDataFrame([(x,) for x in lines], "cleaned_text string")
