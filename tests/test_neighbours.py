@@ -63,6 +63,45 @@ def test_odd_vectors(spark):
     assert S.nearest_neighbours(vectors, seeds.limit(0), 3).count() == 0
 
 
+def test_many_seeds_send_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(N, "SEEDS_AT_ONCE", 7)
+    vectors, sent = clustered(spark), []
+    real = type(vectors).mapInArrow
+    monkeypatch.setattr(type(vectors), "mapInArrow", lambda df, *args: sent.append(df) or real(df, *args))
+    found = N.search(vectors, vectors, 1)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A block of seven seeds each would send every vector 429 times.
+    assert sent[0].count() <= 3000 * 3 * (math.sqrt(parts) + 1)
+    assert sent[0].rdd.getNumPartitions() >= parts
+    monkeypatch.setattr(N, "HELD", 500 * 16 * 8)  # six blocks, whatever the partitions
+    N.search(vectors, vectors, 1)
+    assert sent[1].filter("kind = 0").groupBy("cell").count().agg(F.max("count")).first()[0] < 650
+    assert N.work(found).first().pairs == 3000 * 3000
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_all_words_with_copies_ties_and_small_runs(spark, monkeypatch, k):
+    for name, value in (("SEEDS_AT_ONCE", 7), ("RUN", 16), ("SEEDS_A_RUN", 5), ("PAIRS", 9)):
+        monkeypatch.setattr(N, name, value, raising=False)
+    copies = spark.createDataFrame([(f"c{i:02d}", [0.5] * 16, 1) for i in range(40)] + [
+        ("zero", [0.0] * 16, 1), ("none", None, 1), ("short", [1.0], 1)], SCHEMA)
+    vectors = clustered(spark, 400).union(copies)
+    got = {}
+    for r in S.nearest_neighbours(vectors, vectors, k).collect():
+        got.setdefault(r.seed, {})[r["rank"]] = r.word
+    want = brute(vectors.filter("word <> 'short'"), [r.word for r in vectors.collect() if r.word != "short"], k)
+    assert {s: [found[i] for i in sorted(found)] for s, found in got.items()} == want
+    assert want["c00"][0] == "c01" and want["c39"][0] == "c00"
+
+
+def test_a_repeated_word_keeps_its_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(N, "SEEDS_AT_ONCE", 7)
+    vectors = clustered(spark, 60)
+    want = brute(vectors, [f"w{i}" for i in range(60)], 1)
+    twice = vectors.union(vectors).union(vectors).coalesce(1)
+    assert {r.seed: [r.word] for r in S.nearest_neighbours(twice, twice, 1).collect()} == want
+
+
 def test_overlap(spark):
     schema = "seed string, rank int, word string"
     one = spark.createDataFrame([("s", i, w) for i, w in enumerate("abcd", 1)] + [("only", 1, "x")], schema)
