@@ -253,3 +253,69 @@ def test_thinning_draws_as_the_coin(spark):
         plan = thinned(df, [("a", 0.3), ("b", 0.6)], seed)
         assert [r.tokens for r in plan.collect()] == expected
         assert "from_json" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_training_stays_off_the_driver(spark, cleaned):
+    """The vectors are rows of tasks: no local relation, and no Spark ML model."""
+    params = dict(vector_size=4, window=2, min_count=2, epochs=2, sample=None)
+    plan = train_word2vec(cleaned, params, num_partitions=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LocalTableScan" not in plan
+
+
+def test_codes_are_huffmans():
+    import heapq
+
+    from sozmill.operators.skipgram import canonical, code_lengths
+
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 10, 700):
+        counts = np.sort((rng.pareto(1, n) * 5 + 1).astype(int))[::-1]
+        lengths = code_lengths(counts)
+        heap, cost = counts.tolist(), 0
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            heapq.heappush(heap, both := heapq.heappop(heap) + heapq.heappop(heap))
+            cost += both
+        assert (lengths * counts).sum() == cost
+        codes, shift = canonical(lengths)
+        nodes = {(int(c) >> int(n - d)) + int(shift[d]) for c, n in zip(codes, lengths) for d in range(n)}
+        assert nodes == set(range(n - 1)) and len(set(zip(codes, lengths))) == n
+
+
+def test_a_step_is_that_of_each_pair():
+    from sozmill.operators.skipgram import Model
+
+    rng = np.random.default_rng(5)
+    vectors, nodes = (rng.normal(size=(7, 4)).astype(np.float32) for _ in range(2))
+    model = Model(np.array([50, 30, 20, 9, 5, 3, 2]), vectors.copy(), nodes.copy())
+    center, context = np.array([0, 0, 3, 6]), np.array([[1, 2], [3, 3], [1, 5], [0, 1]])
+    near = np.array([[1, 1], [1, 0], [1, 1], [0, 1]], bool)
+    model.train(center, context, near, 0.1)
+    more, more_nodes = np.zeros((7, 4)), np.zeros((7, 4))
+    for i, j in zip(*np.nonzero(near)):
+        word, other = center[i], context[i, j]
+        code, length = int(model.codes[word]), int(model.lengths[word])
+        for depth in range(length):
+            node, bit = (code >> length - depth) + model.shift[depth], code >> length - depth - 1 & 1
+            step = 0.1 * (1 - bit - 1 / (1 + np.exp(-vectors[other] @ nodes[node])))
+            more[other] += step * nodes[node]
+            more_nodes[node] += step * vectors[other]
+    assert model.vectors == pytest.approx(vectors + more, abs=1e-5)
+    assert model.nodes == pytest.approx(nodes + more_nodes, abs=1e-5)
+
+
+@pytest.mark.parametrize("sample", [None, 0.05])
+def test_words_of_like_contexts_are_near(spark, sample):
+    rng = np.random.default_rng(7)
+    topics = [[f"{t}{i}" for i in range(6)] for t in "abc"]
+    lines = [" ".join(rng.choice(topics[i % 3], 8)) for i in range(1500)]
+    df = spark.createDataFrame([(x,) for x in lines], "cleaned_text string")
+    params = dict(vector_size=12, window=4, min_count=2, epochs=3, sample=sample)
+    for parts in (1, 3):
+        found = table_of(train_word2vec(df, params, num_partitions=parts))
+        same = np.mean([cos(found["a0"], found[w]) for w in topics[0][1:]])
+        other = np.mean([cos(found["a0"], found[w]) for w in topics[1]])
+        assert same > other + 0.3
+    again = table_of(train_word2vec(df.repartition(5), params, num_partitions=1))
+    once = table_of(train_word2vec(df, params, num_partitions=1))
+    assert all((once[w] == again[w]).all() for w in once)
