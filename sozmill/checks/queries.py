@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -263,8 +264,11 @@ def tuned_as_reported(spark, sf):
         F.struct(F.lit(k).alias("kind"), F.get("w", i)["word"].alias("a"), F.get("w", i + 1)["word"].alias("b"))
         for k, i in (("syn", 0), ("ant", 2))])).alias("p")).select("p.*")
     params = {**TOY, "vector_size": 8, "min_count": 3}
-    tuned = U.sweep(cleaned, pairs, [{"trial": 0, **params}], num_partitions=1)
-    vectors = train_word2vec(cleaned, params, num_partitions=1)
+    # Each fit is one task, so both run at once.
+    with ThreadPoolExecutor(2) as both:
+        sweep = both.submit(U.sweep, cleaned, pairs, [{"trial": 0, **params}], num_partitions=1)
+        vectors = both.submit(train_word2vec, cleaned, params, num_partitions=1).result()
+        tuned = sweep.result()
     reported = E.evaluate(vectors, K.token_counts(cleaned), pairs)
     same = [F.abs(F.col(f"t.{m}") - F.col(f"r.{m}")) < 1e-9 for m in ("syn_mean", "ant_mean", "separation", "coverage")]
     one = F.lit(1).alias("__one")
